@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from likertlake.functions import columns as C
@@ -16,7 +16,7 @@ from likertlake.operators.star import ID
 
 
 def trait_descriptives(scores: DataFrame, spec: Instrument) -> DataFrame:
-    stats = S.moments(star.score_counts(scores, spec))
+    stats = S.summary(star.score_counts(scores, spec))
     names = ("media", "desvio_padrao", "mediana", "minimo", "maximo")
     return stats.select("traco", *[F.round(c, 2).alias(c) for c in names]).orderBy(
         F.desc("media"), "traco"
@@ -24,14 +24,12 @@ def trait_descriptives(scores: DataFrame, spec: Instrument) -> DataFrame:
 
 
 def score_bands(scores: DataFrame, spec: Instrument, per_unit: int = 2) -> DataFrame:
-    counts = star.score_counts(scores, spec)
+    """Respondents per band of score and their share; a missing score is a band of its own."""
+    counts = star.score_counts(scores, spec, keep_null=True)
     bands = counts.groupBy("traco", C.band("valor", per_unit).alias("faixa")).agg(
         F.sum("n").alias("qtd")
     )
-    total = scores.agg(F.count(F.lit(1))).scalar()
-    return bands.withColumn("percentual", F.round(100 * F.col("qtd") / total, 2)).orderBy(
-        "traco", "faixa"
-    )
+    return S.share_of_total(bands, "qtd", by=["traco"]).orderBy("traco", "faixa")
 
 
 def lattice_histogram(scores: DataFrame, cuts: DataFrame, spec: Instrument) -> DataFrame:
@@ -40,21 +38,29 @@ def lattice_histogram(scores: DataFrame, cuts: DataFrame, spec: Instrument) -> D
     A mean of k items moves in steps of 1/k, so bins centred on those steps leave
     no artificial gaps. Attainable bins nobody reached appear with zero.
     """
-    counts = star.score_counts(scores, spec)
-    steps = [len(t.items) for t in spec.traits]
-    by_trait = F.create_map(*[x for t, k in zip(spec.traits, steps) for x in (F.lit(t.label), F.lit(k))])
-    step = by_trait[F.col("traco")]
-    bin_of = F.round((F.col("valor") - spec.lo) * step).cast("int")
-    seen = counts.select("traco", bin_of.alias("bin"), "n")
-    span = (spec.hi - spec.lo) * step
+    steps = F.create_map(
+        *[x for t in spec.traits for x in (F.lit(t.label), F.lit(len(t.items)))]
+    )
+    step = steps[F.col("traco")]
+    seen = star.score_counts(scores, spec).select(
+        "traco", F.round((F.col("valor") - spec.lo) * step).cast("int").alias("bin"), "valor", "n"
+    )
     attainable = cuts.select(
-        "traco", F.explode(F.sequence(F.lit(0), span)).alias("bin"), F.lit(0).cast("bigint").alias("n")
+        "traco",
+        F.explode(F.sequence(F.lit(0), (spec.hi - spec.lo) * step)).alias("bin"),
+        F.lit(0.0).alias("valor"),
+        F.lit(0).cast("bigint").alias("n"),
+    )
+    by_trait = Window.partitionBy("traco")
+    mean = F.sum(F.col("valor") * F.col("n")).over(by_trait) / F.sum("n").over(by_trait)
+    binned = (
+        seen.unionByName(attainable)
+        .withColumn("media", F.round(mean, 4))
+        .groupBy("traco", "bin", "media")
+        .agg(F.sum("n").alias("qtd"))
     )
-    binned = seen.unionByName(attainable).groupBy("traco", "bin").agg(F.sum("n").alias("qtd"))
-    means = S.moments(counts).select("traco", F.round("media", 4).alias("media"))
     return (
-        binned.join(means, "traco")
-        .join(cuts.select("traco", "corte"), "traco")
+        binned.join(F.broadcast(cuts.select("traco", "corte")), "traco")
         .select(
             "traco",
             "bin",

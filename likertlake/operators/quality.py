@@ -4,13 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from likertlake.functions import columns as C
 from likertlake.instrument import Instrument
 from likertlake.operators import statistics as S
 
+# Nine decimals tell any two means of up to a few dozen items apart.
+PROVISIONAL_DIGITS = 9
+
 
 # -- completeness -----------------------------------------------------------
 
@@ -60,14 +63,18 @@ def domain_violation_count(df: DataFrame, cols: Sequence[str], lo: int, hi: int)
 
 
 def domain_profile(df: DataFrame, cols: Sequence[str], missing: int = 0) -> DataFrame:
-    return S.profile_columns(
-        df,
-        cols,
-        {
-            "minimo": F.min,
-            "maximo": F.max,
-            "media_validos": lambda c: F.round(F.avg(F.when(F.col(c) > missing, F.col(c))), 2),
-        },
+    """Observed range of each column and the mean of its valid values.
+
+    Reads the value counts, so range and mean of all columns cost one count per
+    cell and the rest runs on a handful of rows per column.
+    """
+    counts = S.value_counts(df, {c: c for c in cols}, group="campo", keep_null=True)
+    value, n = F.col("valor"), F.col("n")
+    valid = value > missing
+    return counts.groupBy("campo").agg(
+        F.min(value).alias("minimo"),
+        F.max(value).alias("maximo"),
+        F.round(F.sum(F.when(valid, value * n)) / F.sum(F.when(valid, n)), 2).alias("media_validos"),
     )
 
 
@@ -123,15 +130,50 @@ def distinct_value_histogram(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 # -- outliers ---------------------------------------------------------------
 
 
-def provisional_scores(df: DataFrame, spec: Instrument, keep: Sequence[str] = ()) -> DataFrame:
-    """Trait means over answered items, before any reverse coding."""
+def _valid_sums(df: DataFrame, spec: Instrument, keep: Sequence[str] = ()) -> DataFrame:
     return df.select(
-        *keep, *[C.mean_of_valid(t.item_ids, spec.missing).alias(t.slug) for t in spec.traits]
+        *keep,
+        *[
+            x
+            for t in spec.traits
+            for x in (
+                C.sum_of_valid(t.item_ids, spec.missing).alias(f"_sum_{t.slug}"),
+                C.count_of_valid(t.item_ids, spec.missing).alias(f"_n_{t.slug}"),
+            )
+        ],
+    )
+
+
+def _valid_mean(total: str, n: str) -> Column:
+    return F.when(F.col(n) > 0, C.ratio(total, n, PROVISIONAL_DIGITS))
+
+
+def provisional_scores(df: DataFrame, spec: Instrument, keep: Sequence[str] = ()) -> DataFrame:
+    """Trait means over answered items, before any reverse coding; null without answers."""
+    sums = _valid_sums(df, spec, keep)
+    return sums.select(
+        *keep, *[_valid_mean(f"_sum_{t.slug}", f"_n_{t.slug}").alias(t.slug) for t in spec.traits]
     )
 
 
 def provisional_counts(df: DataFrame, spec: Instrument) -> DataFrame:
-    return S.value_counts(provisional_scores(df, spec), {t.slug: t.slug for t in spec.traits})
+    """Value counts of the provisional scores, counted as whole-number pairs first."""
+    cells = [
+        x
+        for t in spec.traits
+        for x in (F.lit(t.slug), F.col(f"_sum_{t.slug}"), F.col(f"_n_{t.slug}"))
+    ]
+    pairs = _valid_sums(df, spec).select(
+        F.stack(F.lit(len(spec.traits)), *cells).alias("traco", "_sum", "_answered")
+    )
+    counted = (
+        pairs.where(F.col("_answered") > 0)
+        .groupBy("traco", "_sum", "_answered")
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+    return counted.groupBy("traco", _valid_mean("_sum", "_answered").alias("valor")).agg(
+        F.sum("n").alias("n")
+    )
 
 
 # -- context ----------------------------------------------------------------

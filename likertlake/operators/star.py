@@ -133,8 +133,9 @@ def trait_scores_from_facts(responses: DataFrame, spec: Instrument) -> DataFrame
     )
 
 
-def score_counts(scores: DataFrame, spec: Instrument) -> DataFrame:
-    return S.value_counts(scores, {t.label: t.score_column for t in spec.traits})
+def score_counts(scores: DataFrame, spec: Instrument, keep_null: bool = False) -> DataFrame:
+    cols = {t.label: t.score_column for t in spec.traits}
+    return S.value_counts(scores, cols, keep_null=keep_null)
 
 
 def cutoffs(scores: DataFrame, spec: Instrument, prob: float = 0.75) -> DataFrame:

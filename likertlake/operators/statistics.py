@@ -13,6 +13,8 @@ Two shapes cover everything the analyses need:
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from functools import reduce
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -41,15 +43,21 @@ def profile_columns(
 
 
 def value_counts(
-    df: DataFrame, cols: Mapping[str, str], group: str = "traco", value: str = "valor"
+    df: DataFrame,
+    cols: Mapping[str, str],
+    group: str = "traco",
+    value: str = "valor",
+    keep_null: bool = False,
 ) -> DataFrame:
-    """``(group, value, n)`` for several columns in one scan; nulls are left out.
+    """``(group, value, n)`` for several columns in one scan.
 
     ``cols`` maps the group label to the column. The map-side combine brings each
     task down to the distinct values before anything is shuffled.
     """
-    wide = df.select(*[F.col(c).alias(label) for label, c in cols.items()])
-    long = wide.unpivot([], list(cols), group, value).where(F.col(value).isNotNull())
+    cells = [x for label, c in cols.items() for x in (F.lit(label), F.col(c))]
+    long = df.select(F.stack(F.lit(len(cols)), *cells).alias(group, value))
+    if not keep_null:
+        long = long.where(F.col(value).isNotNull())
     return long.groupBy(group, value).agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -58,76 +66,104 @@ def grouped_value_counts(df: DataFrame, group: str, col: str, value: str = "valo
     return rows.groupBy(group, value).agg(F.count(F.lit(1)).alias("n"))
 
 
-def quantiles(
-    counts: DataFrame,
-    probs: Mapping[str, float],
-    group: str = "traco",
-    value: str = "valor",
-    width: float = 1.0,
+def _attach(rows: DataFrame, small: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Join ``small``, derived from the same counts, back onto them.
+
+    Keys compare null-safe: a null group finds itself, and no null filter is
+    inferred that would make two reads of one aggregate differ and run it twice.
+    """
+    renamed = small.withColumnsRenamed({k: f"_key_{k}" for k in keys})
+    same = reduce(and_, (F.col(k).eqNullSafe(F.col(f"_key_{k}")) for k in keys))
+    return rows.join(renamed, same).drop(*[f"_key_{k}" for k in keys])
+
+
+def _ranked(counts: DataFrame, group: str, value: str) -> DataFrame:
+    """Cumulative count ``_upto`` and group ``_total`` next to every value."""
+    by_group = Window.partitionBy(group)
+    running = by_group.orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
+    return counts.select(
+        "*", F.sum("n").over(running).alias("_upto"), F.sum("n").over(by_group).alias("_total")
+    )
+
+
+def _ranked_in_bands(
+    counts: DataFrame, probs: Sequence[float], group: str, value: str, width: float
 ) -> DataFrame:
-    """Exact discrete quantiles per group: smallest value with share >= p.
+    """As :func:`_ranked`, for the bands that hold a wanted rank only.
 
-    Works in two levels. Totals per band of ``width`` give every band its offset
-    in the cumulative order, and only the few bands that hold a wanted rank are
-    ordered value by value. So a window partition never holds more than the
-    distinct values of one band, however many rows or values a group has.
+    Totals per band of ``width`` give every band its offset in the cumulative
+    order; only the few bands that hold a wanted rank are ordered value by value.
+    So no window partition holds more than the distinct values of one band.
     """
     banded = counts.withColumn("_band", F.floor(F.col(value) / width))
-    totals = banded.groupBy(group, "_band").agg(F.sum("n").alias("_size"))
+    sizes = banded.groupBy(group, "_band").agg(F.sum("n").alias("_size"))
     by_group = Window.partitionBy(group)
     running = by_group.orderBy("_band").rowsBetween(Window.unboundedPreceding, 0)
-    totals = totals.select(
+    bands = sizes.select(
         group,
         "_band",
         (F.sum("_size").over(running) - F.col("_size")).alias("_before"),
         "_size",
         F.sum("_size").over(by_group).alias("_total"),
     )
-    hit = None
-    for p in probs.values():
+    hits = []
+    for p in probs:
         rank = F.lit(p) * F.col("_total")
-        inside = (F.col("_before") < rank) & (rank <= F.col("_before") + F.col("_size"))
-        inside = inside | ((F.col("_before") == 0) & (rank <= 0))
-        hit = inside if hit is None else hit | inside
-    wanted = totals.where(hit).drop("_size")
+        first = (F.col("_before") == 0) & (rank <= 0)
+        hits.append(first | ((F.col("_before") < rank) & (rank <= F.col("_before") + F.col("_size"))))
+    wanted = bands.where(reduce(or_, hits))
     inner = Window.partitionBy(group, "_band").orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
-    ranked = banded.join(wanted, [group, "_band"]).withColumn(
+    return _attach(banded, wanted, [group, "_band"]).withColumn(
         "_upto", F.col("_before") + F.sum("n").over(inner)
     )
+
+
+def _at_rank(p: float, value: str) -> Column:
+    return F.when(F.col("_upto") >= F.lit(p) * F.col("_total"), F.col(value))
+
+
+def quantiles(
+    counts: DataFrame,
+    probs: Mapping[str, float],
+    group: str = "traco",
+    value: str = "valor",
+    width: float | None = None,
+) -> DataFrame:
+    """Exact discrete quantiles per group: smallest value with share >= p.
+
+    Without ``width`` one task orders the distinct values of a group, which suits a
+    lattice of a few hundred. With ``width`` it orders the distinct values of one
+    band of that width, which suits money in cents and the like.
+    """
+    if width is None:
+        ranked = _ranked(counts, group, value)
+    else:
+        ranked = _ranked_in_bands(counts, list(probs.values()), group, value, width)
     return ranked.groupBy(group).agg(
-        *[
-            F.min(F.when(F.col("_upto") >= F.lit(p) * F.col("_total"), F.col(value))).alias(name)
-            for name, p in probs.items()
-        ]
+        *[F.min(_at_rank(p, value)).alias(name) for name, p in probs.items()]
     )
 
 
-def moments(counts: DataFrame, group: str = "traco", value: str = "valor") -> DataFrame:
-    """Count, mean, sample deviation, exact median and range per group."""
+def summary(counts: DataFrame, group: str = "traco", value: str = "valor") -> DataFrame:
+    """Count, mean, sample deviation, range, discrete quartiles and exact median.
+
+    Expects values on a lattice: everything comes from the counts in one lineage,
+    with the mean taken off before squaring.
+    """
     by_group = Window.partitionBy(group)
     weight = F.col("n")
     mean = F.sum(F.col(value) * weight).over(by_group) / F.sum(weight).over(by_group)
-    centred = counts.withColumn("_mean", mean)
-    spread = F.sum(weight * (F.col(value) - F.col("_mean")) * (F.col(value) - F.col("_mean")))
+    ranked = _ranked(counts, group, value).withColumn("_mean", mean)
+    off = F.col(value) - F.col("_mean")
     size = F.sum(weight)
-    return centred.groupBy(group).agg(
+    return ranked.groupBy(group).agg(
         size.alias("n"),
         F.first("_mean").alias("media"),
-        F.when(size > 1, F.sqrt(spread / (size - 1))).alias("desvio_padrao"),
-        F.percentile(value, 0.5, weight).alias("mediana"),
+        F.when(size > 1, F.sqrt(F.sum(weight * off * off) / (size - 1))).alias("desvio_padrao"),
         F.min(value).alias("minimo"),
+        *[F.min(_at_rank(p, value)).alias(q) for q, p in (("q25", 0.25), ("q50", 0.5), ("q75", 0.75))],
         F.max(value).alias("maximo"),
-    )
-
-
-def summary(
-    counts: DataFrame, group: str = "traco", value: str = "valor", width: float = 1.0
-) -> DataFrame:
-    """Typed summary: count, mean, stddev, min, quartiles (discrete), max."""
-    quart = quantiles(counts, {"q25": 0.25, "q50": 0.5, "q75": 0.75}, group, value, width)
-    base = moments(counts, group, value).drop("mediana")
-    return base.join(quart, group).select(
-        group, "n", "media", "desvio_padrao", "minimo", "q25", "q50", "q75", "maximo"
+        F.percentile(value, 0.5, weight).alias("mediana"),
     )
 
 
@@ -137,21 +173,31 @@ def iqr_outliers(
     value: str = "valor",
     factor: float = 1.5,
     digits: int = 9,
-    width: float = 1.0,
+    width: float | None = None,
 ) -> DataFrame:
     """Interquartile fences and the rows beyond them, low and high side apart.
 
     Fences are rounded before they are compared, because a fence can fall on an
     attainable value and then differ from it in the last bit only.
     """
-    quart = quantiles(counts, {"q1": 0.25, "q3": 0.75}, group, value, width)
+    if width is None:
+        by_group = Window.partitionBy(group)
+        quartiled = _ranked(counts, group, value).select(
+            group,
+            value,
+            "n",
+            F.min(_at_rank(0.25, value)).over(by_group).alias("q1"),
+            F.min(_at_rank(0.75, value)).over(by_group).alias("q3"),
+        )
+    else:
+        quart = quantiles(counts, {"q1": 0.25, "q3": 0.75}, group, value, width)
+        quartiled = _attach(counts, quart, [group])
     spread = F.lit(factor) * (F.col("q3") - F.col("q1"))
-    fences = quart.select(
-        group,
-        "q1",
-        "q3",
-        F.round(F.col("q1") - spread, digits).alias("limite_inf"),
-        F.round(F.col("q3") + spread, digits).alias("limite_sup"),
+    fenced = quartiled.withColumns(
+        {
+            "limite_inf": F.round(F.col("q1") - spread, digits),
+            "limite_sup": F.round(F.col("q3") + spread, digits),
+        }
     )
     x = F.round(F.col(value), digits)
 
@@ -159,18 +205,26 @@ def iqr_outliers(
         return F.sum(F.when(cond, F.col("n")).otherwise(0))
 
     low, high = x < F.col("limite_inf"), x > F.col("limite_sup")
-    return (
-        counts.join(fences, group)
-        .groupBy(group, "q1", "q3", "limite_inf", "limite_sup")
-        .agg(beyond(low).alias("n_low"), beyond(high).alias("n_high"), beyond(low | high).alias("n_total"))
+    return fenced.groupBy(group, "q1", "q3", "limite_inf", "limite_sup").agg(
+        beyond(low).alias("n_low"), beyond(high).alias("n_high"), beyond(low | high).alias("n_total")
     )
 
 
+def pearson(a: str, b: str) -> Column:
+    """Pearson correlation over rows where both are present; null for a constant column.
+
+    The built-in ``corr`` divides by zero there, which is an error in ANSI mode.
+    """
+    x = F.when(F.col(b).isNotNull(), F.col(a))
+    y = F.when(F.col(a).isNotNull(), F.col(b))
+    return F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
+
+
 def correlations(
     df: DataFrame, pairs: Mapping[str, tuple[str, str]], digits: int = 4, name: str = "par_de_tracos"
 ) -> DataFrame:
     """Pearson correlation of several pairs in one scan; pairs with a null are skipped."""
-    wide = df.agg(*[F.corr(a, b).alias(f"c{i}") for i, (a, b) in enumerate(pairs.values())])
+    wide = df.agg(*[pearson(a, b).alias(f"c{i}") for i, (a, b) in enumerate(pairs.values())])
     cells = [x for i, label in enumerate(pairs) for x in (F.lit(label), F.round(f"c{i}", digits))]
     return wide.select(F.stack(F.lit(len(pairs)), *cells).alias(name, "correlacao"))
 
@@ -180,7 +234,7 @@ def correlation_matrix(df: DataFrame, cols: Mapping[str, str], digits: int = 4)
     labels = list(cols)
     index = [(i, j) for i in range(len(labels)) for j in range(i, len(labels))]
     wide = df.agg(
-        *[F.corr(cols[labels[i]], cols[labels[j]]).alias(f"c{i}_{j}") for i, j in index]
+        *[pearson(cols[labels[i]], cols[labels[j]]).alias(f"c{i}_{j}") for i, j in index]
     )
     cells = []
     for i, label in enumerate(labels):
@@ -189,7 +243,9 @@ def correlation_matrix(df: DataFrame, cols: Mapping[str, str], digits: int = 4)
     return wide.select(F.stack(F.lit(len(labels)), *cells).alias("traco", *labels))
 
 
-def share_of_total(df: DataFrame, n: str, name: str = "percentual", digits: int = 2) -> DataFrame:
-    """Percent of the total over an already aggregated result."""
-    total = F.sum(n).over(Window.partitionBy())
+def share_of_total(
+    df: DataFrame, n: str, name: str = "percentual", digits: int = 2, by: Sequence[str] = ()
+) -> DataFrame:
+    """Percent of the total, over an already aggregated result."""
+    total = F.sum(n).over(Window.partitionBy(*by))
     return df.withColumn(name, F.round(100 * F.col(n) / total, digits))

@@ -79,10 +79,15 @@ class Lake:
         layers: Layers,
         work: Workspace,
         spec: Instrument = SHORT_FORM_27,
+        keep: Sequence[str] = (),
     ) -> None:
-        """``raw`` yields the text rows with lineage columns; ``order_by`` identifies a row."""
+        """``raw`` yields the text rows with lineage columns; ``order_by`` identifies a row.
+
+        ``keep`` names order columns that stay in the silver table.
+        """
         self.spark, self.raw, self.spec = tune(spark), raw, spec
         self.order_by, self.layers, self.work = list(order_by), layers, work
+        self.keep = list(keep)
         self._lock = threading.RLock()
         self._built: set[str] = set()
         self._landed: str | None = None
@@ -121,7 +126,7 @@ class Lake:
             valid = cleaning.clean(self.typed(), self.spec)
             numbered = ids.dense_id(valid, self.order_by, self.work, parts)
             ordered = numbered.select(
-                star.ID, *self.spec.item_ids, "country", "source", files.INGESTED, *self.order_by
+                star.ID, *self.spec.item_ids, "country", "source", files.INGESTED, *self.keep
             )
             return ordered.repartition(parts, star.ID)
 
@@ -158,6 +163,11 @@ class Lake:
         for table in (self.items, self.profiles, self.respondents, self.responses, self.scores):
             table()
 
+    def preview(self, rows: int = 10) -> DataFrame:
+        """The first respondents. Ids are dense, so a filter finds them without a full sort."""
+        first = self.silver().where(F.col(star.ID) <= rows)
+        return first.select(star.ID, *self.spec.item_ids).orderBy(star.ID)
+
     # -- files --------------------------------------------------------------
 
     def landed(self) -> str:
@@ -165,7 +175,8 @@ class Lake:
         with self._lock:
             if self._landed is None:
                 path = self.work.path("landed")
-                files.write_delimited(self.bronze().select(*self.order_by, *self.spec.raw_columns), path)
+                rows = self.bronze().select(*self.keep, *self.spec.raw_columns)
+                files.write_delimited(rows, path)
                 self._landed = path
             return self._landed
 
@@ -208,7 +219,7 @@ def derived_lake(spark: SparkSession, sf_dir: str) -> Lake:
                 scan = files.with_lineage(survey.read_orders(spark, sf_dir))
                 return survey.derive_survey(scan, keep=[files.INGESTED, files.ORIGIN])
 
-            _lakes[key] = Lake(spark, raw, [survey.KEY], layers, work)
+            _lakes[key] = Lake(spark, raw, [survey.KEY], layers, work, keep=[survey.KEY])
         return _lakes[key]
 
 

@@ -113,7 +113,7 @@ def provisional_scores(lake: Lake) -> DataFrame:
 
 
 def _six_digits(summary: DataFrame) -> DataFrame:
-    return summary.withColumns({c: F.round(c, 6) for c in ("media", "desvio_padrao")})
+    return summary.withColumns({c: F.round(c, 6) for c in ("media", "desvio_padrao")}).drop("mediana")
 
 
 @_on_lake
@@ -166,7 +166,7 @@ def silver_table(lake: Lake) -> DataFrame:
 
 @_on_lake
 def preview(lake: Lake) -> DataFrame:
-    return lake.silver().select(star.ID, *ITEMS).orderBy(star.ID).limit(10)
+    return lake.preview()
 
 
 # -- gold -------------------------------------------------------------------
@@ -194,7 +194,7 @@ def responses_long(lake: Lake) -> DataFrame:
 
 @_on_lake
 def responses_by_dimension(lake: Lake) -> DataFrame:
-    """The same facts through the item dimension table, for one trait dictionary kept apart."""
+    """The same facts with trait and direction joined from the item dimension table."""
     long = star.long_answers(lake.silver(), ITEMS)
     return star.reverse_by_dimension(long, lake.items(), SPEC.lo, SPEC.hi)
 
