@@ -62,6 +62,10 @@ class Instrument:
     def reversed_ids(self) -> frozenset[str]:
         return frozenset(i.id for t in self.traits for i in t.items if i.reversed)
 
+    @property
+    def midpoint(self) -> float:
+        return (self.lo + self.hi) / 2
+
     @property
     def raw_columns(self) -> list[str]:
         return [*self.item_ids, *self.context]

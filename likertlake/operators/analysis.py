@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from likertlake.functions import columns as C
@@ -16,7 +16,7 @@ from likertlake.operators.star import ID
 
 
 def trait_descriptives(scores: DataFrame, spec: Instrument) -> DataFrame:
-    stats = S.summary(star.score_counts(scores, spec))
+    stats = S.summary(star.score_counts(scores, spec), origin=spec.midpoint)
     names = ("media", "desvio_padrao", "mediana", "minimo", "maximo")
     return stats.select("traco", *[F.round(c, 2).alias(c) for c in names]).orderBy(
         F.desc("media"), "traco"
@@ -29,7 +29,10 @@ def score_bands(scores: DataFrame, spec: Instrument, per_unit: int = 2) -> DataF
     bands = counts.groupBy("traco", C.band("valor", per_unit).alias("faixa")).agg(
         F.sum("n").alias("qtd")
     )
-    return S.share_of_total(bands, "qtd", by=["traco"]).orderBy("traco", "faixa")
+    total = scores.agg(F.count(F.lit(1))).scalar()
+    return bands.withColumn("percentual", F.round(100 * F.col("qtd") / total, 2)).orderBy(
+        "traco", "faixa"
+    )
 
 
 def lattice_histogram(scores: DataFrame, cuts: DataFrame, spec: Instrument) -> DataFrame:
@@ -42,25 +45,20 @@ def lattice_histogram(scores: DataFrame, cuts: DataFrame, spec: Instrument) -> D
         *[x for t in spec.traits for x in (F.lit(t.label), F.lit(len(t.items)))]
     )
     step = steps[F.col("traco")]
-    seen = star.score_counts(scores, spec).select(
-        "traco", F.round((F.col("valor") - spec.lo) * step).cast("int").alias("bin"), "valor", "n"
+    counts = star.score_counts(scores, spec)
+    seen = counts.select(
+        "traco", F.round((F.col("valor") - spec.lo) * step).cast("int").alias("bin"), "n"
     )
     attainable = cuts.select(
         "traco",
         F.explode(F.sequence(F.lit(0), (spec.hi - spec.lo) * step)).alias("bin"),
-        F.lit(0.0).alias("valor"),
         F.lit(0).cast("bigint").alias("n"),
     )
-    by_trait = Window.partitionBy("traco")
-    mean = F.sum(F.col("valor") * F.col("n")).over(by_trait) / F.sum("n").over(by_trait)
-    binned = (
-        seen.unionByName(attainable)
-        .withColumn("media", F.round(mean, 4))
-        .groupBy("traco", "bin", "media")
-        .agg(F.sum("n").alias("qtd"))
-    )
+    binned = seen.unionByName(attainable).groupBy("traco", "bin").agg(F.sum("n").alias("qtd"))
+    means = S.moments(counts, origin=spec.midpoint).select("traco", F.round("media", 4).alias("media"))
+    beside = cuts.select("traco", "corte").join(means, "traco", "left")
     return (
-        binned.join(F.broadcast(cuts.select("traco", "corte")), "traco")
+        binned.join(F.broadcast(beside), "traco")
         .select(
             "traco",
             "bin",

@@ -18,6 +18,7 @@ def dense_id(
     work: Workspace,
     partitions: int,
     name: str = "id_respondente",
+    unique: bool = True,
 ) -> DataFrame:
     """Number rows 1..N in the order of ``order_by``, as ``row_number`` would.
 
@@ -27,14 +28,19 @@ def dense_id(
     earlier parts. That count table has at most ``partitions`` rows, which bounds
     both its running sum and its broadcast.
 
-    ``order_by`` should identify a row. Rows with equal keys land in one part and
-    are numbered in an arbitrary but, once written, fixed order.
+    ``order_by`` should identify a row. Where it may not, ``unique=False`` settles
+    ties by reading order, so that a key shared by many rows still spreads over
+    several parts.
     """
+    keys, source = list(order_by), df
+    if not unique:
+        source = df.withColumn("_tie", F.monotonically_increasing_id())
+        keys.append("_tie")
     ranged = (
-        df.repartitionByRange(partitions, *order_by)
-        .sortWithinPartitions(*order_by)
+        source.repartitionByRange(partitions, *keys)
+        .sortWithinPartitions(*keys)
         .select(
-            "*",
+            *df.columns,
             F.spark_partition_id().alias("_part"),
             F.monotonically_increasing_id().bitwiseAND(F.lit(_POSITION_MASK)).alias("_pos"),
         )

@@ -20,6 +20,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+# Bands of the quantile search: 64 per doubling, linear below one hundredth.
+BAND_UNIT, BANDS_PER_DOUBLING = 0.01, 64
+
+
 def profile_columns(
     df: DataFrame,
     cols: Sequence[str],
@@ -77,25 +81,35 @@ def _attach(rows: DataFrame, small: DataFrame, keys: Sequence[str]) -> DataFrame
     return rows.join(renamed, same).drop(*[f"_key_{k}" for k in keys])
 
 
-def _ranked(counts: DataFrame, group: str, value: str) -> DataFrame:
-    """Cumulative count ``_upto`` and group ``_total`` next to every value."""
-    by_group = Window.partitionBy(group)
-    running = by_group.orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
-    return counts.select(
-        "*", F.sum("n").over(running).alias("_upto"), F.sum("n").over(by_group).alias("_total")
-    )
+def _band(value: str) -> Column:
+    """Order-preserving band number: even steps near zero, then about 1 % per band.
+
+    Doubles of any size fall into some 130,000 bands, so a table of band totals is
+    small for any data, stray codes included.
+    """
+    size = F.log2(F.lit(1.0) + F.abs(F.col(value)) / F.lit(BAND_UNIT))
+    return F.floor(F.signum(F.col(value)) * size * F.lit(BANDS_PER_DOUBLING))
+
+
+Rank = Callable[[Column], Column]
+
 
+def share(p: float) -> Rank:
+    """Rank of the smallest value that at least the share ``p`` does not exceed."""
+    return lambda total: F.greatest(F.ceil(F.lit(p) * total), F.lit(1))
 
-def _ranked_in_bands(
-    counts: DataFrame, probs: Sequence[float], group: str, value: str, width: float
+
+def values_at(
+    counts: DataFrame, ranks: Mapping[str, Rank], group: str = "traco", value: str = "valor"
 ) -> DataFrame:
-    """As :func:`_ranked`, for the bands that hold a wanted rank only.
+    """Exact values at the given ranks of each group.
 
-    Totals per band of ``width`` give every band its offset in the cumulative
-    order; only the few bands that hold a wanted rank are ordered value by value.
-    So no window partition holds more than the distinct values of one band.
+    Totals per band place every band in the cumulative order, and only the few
+    bands that hold a wanted rank are ordered value by value. A window partition
+    holds one row per band of a group, or the distinct values of one band; never
+    the values, let alone the rows, of a whole group.
     """
-    banded = counts.withColumn("_band", F.floor(F.col(value) / width))
+    banded = counts.withColumn("_band", _band(value))
     sizes = banded.groupBy(group, "_band").agg(F.sum("n").alias("_size"))
     by_group = Window.partitionBy(group)
     running = by_group.orderBy("_band").rowsBetween(Window.unboundedPreceding, 0)
@@ -106,64 +120,68 @@ def _ranked_in_bands(
         "_size",
         F.sum("_size").over(by_group).alias("_total"),
     )
-    hits = []
-    for p in probs:
-        rank = F.lit(p) * F.col("_total")
-        first = (F.col("_before") == 0) & (rank <= 0)
-        hits.append(first | ((F.col("_before") < rank) & (rank <= F.col("_before") + F.col("_size"))))
-    wanted = bands.where(reduce(or_, hits))
+    total, end = F.col("_total"), F.col("_before") + F.col("_size")
+    wanted = bands.where(
+        reduce(or_, ((F.col("_before") < rank(total)) & (rank(total) <= end) for rank in ranks.values()))
+    )
     inner = Window.partitionBy(group, "_band").orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
-    return _attach(banded, wanted, [group, "_band"]).withColumn(
+    ranked = _attach(banded, wanted, [group, "_band"]).withColumn(
         "_upto", F.col("_before") + F.sum("n").over(inner)
     )
-
-
-def _at_rank(p: float, value: str) -> Column:
-    return F.when(F.col("_upto") >= F.lit(p) * F.col("_total"), F.col(value))
+    return ranked.groupBy(group).agg(
+        *[
+            F.min(F.when(F.col("_upto") >= rank(total), F.col(value))).alias(name)
+            for name, rank in ranks.items()
+        ]
+    )
 
 
 def quantiles(
-    counts: DataFrame,
-    probs: Mapping[str, float],
-    group: str = "traco",
-    value: str = "valor",
-    width: float | None = None,
+    counts: DataFrame, probs: Mapping[str, float], group: str = "traco", value: str = "valor"
 ) -> DataFrame:
-    """Exact discrete quantiles per group: smallest value with share >= p.
-
-    Without ``width`` one task orders the distinct values of a group, which suits a
-    lattice of a few hundred. With ``width`` it orders the distinct values of one
-    band of that width, which suits money in cents and the like.
-    """
-    if width is None:
-        ranked = _ranked(counts, group, value)
-    else:
-        ranked = _ranked_in_bands(counts, list(probs.values()), group, value, width)
-    return ranked.groupBy(group).agg(
-        *[F.min(_at_rank(p, value)).alias(name) for name, p in probs.items()]
-    )
-
+    """Exact discrete quantiles per group: smallest value with share >= p."""
+    return values_at(counts, {name: share(p) for name, p in probs.items()}, group, value)
 
-def summary(counts: DataFrame, group: str = "traco", value: str = "valor") -> DataFrame:
-    """Count, mean, sample deviation, range, discrete quartiles and exact median.
 
-    Expects values on a lattice: everything comes from the counts in one lineage,
-    with the mean taken off before squaring.
-    """
-    by_group = Window.partitionBy(group)
-    weight = F.col("n")
-    mean = F.sum(F.col(value) * weight).over(by_group) / F.sum(weight).over(by_group)
-    ranked = _ranked(counts, group, value).withColumn("_mean", mean)
-    off = F.col(value) - F.col("_mean")
-    size = F.sum(weight)
-    return ranked.groupBy(group).agg(
+def moments(
+    counts: DataFrame, group: str = "traco", value: str = "valor", origin: float = 0.0
+) -> DataFrame:
+    """Count, mean, sample deviation and range. ``origin`` near the values keeps digits."""
+    n, off = F.col("n"), F.col(value) - F.lit(origin)
+    size, first, second = F.sum(n), F.sum(n * off), F.sum(n * off * off)
+    spread = F.greatest(second - first * first / size, F.lit(0.0))
+    return counts.groupBy(group).agg(
         size.alias("n"),
-        F.first("_mean").alias("media"),
-        F.when(size > 1, F.sqrt(F.sum(weight * off * off) / (size - 1))).alias("desvio_padrao"),
+        (first / size + F.lit(origin)).alias("media"),
+        F.when(size > 1, F.sqrt(F.try_divide(spread, size - 1))).alias("desvio_padrao"),
         F.min(value).alias("minimo"),
-        *[F.min(_at_rank(p, value)).alias(q) for q, p in (("q25", 0.25), ("q50", 0.5), ("q75", 0.75))],
         F.max(value).alias("maximo"),
-        F.percentile(value, 0.5, weight).alias("mediana"),
+    )
+
+
+def summary(
+    counts: DataFrame, group: str = "traco", value: str = "valor", origin: float = 0.0
+) -> DataFrame:
+    """:func:`moments` with discrete quartiles and the interpolated median."""
+    ranks = {
+        "q25": share(0.25),
+        "q50": share(0.5),
+        "q75": share(0.75),
+        "_lower": lambda total: F.floor((total + 1) / 2),
+        "_upper": lambda total: F.floor(total / 2) + 1,
+    }
+    placed = values_at(counts, ranks, group, value)
+    return _attach(placed, moments(counts, group, value, origin), [group]).select(
+        group,
+        "n",
+        "media",
+        "desvio_padrao",
+        "minimo",
+        "q25",
+        "q50",
+        "q75",
+        "maximo",
+        ((F.col("_lower") + F.col("_upper")) / 2).alias("mediana"),
     )
 
 
@@ -173,27 +191,15 @@ def iqr_outliers(
     value: str = "valor",
     factor: float = 1.5,
     digits: int = 9,
-    width: float | None = None,
 ) -> DataFrame:
     """Interquartile fences and the rows beyond them, low and high side apart.
 
     Fences are rounded before they are compared, because a fence can fall on an
     attainable value and then differ from it in the last bit only.
     """
-    if width is None:
-        by_group = Window.partitionBy(group)
-        quartiled = _ranked(counts, group, value).select(
-            group,
-            value,
-            "n",
-            F.min(_at_rank(0.25, value)).over(by_group).alias("q1"),
-            F.min(_at_rank(0.75, value)).over(by_group).alias("q3"),
-        )
-    else:
-        quart = quantiles(counts, {"q1": 0.25, "q3": 0.75}, group, value, width)
-        quartiled = _attach(counts, quart, [group])
+    quart = quantiles(counts, {"q1": 0.25, "q3": 0.75}, group, value)
     spread = F.lit(factor) * (F.col("q3") - F.col("q1"))
-    fenced = quartiled.withColumns(
+    fences = quart.withColumns(
         {
             "limite_inf": F.round(F.col("q1") - spread, digits),
             "limite_sup": F.round(F.col("q3") + spread, digits),
@@ -205,8 +211,10 @@ def iqr_outliers(
         return F.sum(F.when(cond, F.col("n")).otherwise(0))
 
     low, high = x < F.col("limite_inf"), x > F.col("limite_sup")
-    return fenced.groupBy(group, "q1", "q3", "limite_inf", "limite_sup").agg(
-        beyond(low).alias("n_low"), beyond(high).alias("n_high"), beyond(low | high).alias("n_total")
+    return (
+        _attach(counts, fences, [group])
+        .groupBy(group, "q1", "q3", "limite_inf", "limite_sup")
+        .agg(beyond(low).alias("n_low"), beyond(high).alias("n_high"), beyond(low | high).alias("n_total"))
     )
 
 
@@ -243,9 +251,7 @@ def correlation_matrix(df: DataFrame, cols: Mapping[str, str], digits: int = 4)
     return wide.select(F.stack(F.lit(len(labels)), *cells).alias("traco", *labels))
 
 
-def share_of_total(
-    df: DataFrame, n: str, name: str = "percentual", digits: int = 2, by: Sequence[str] = ()
-) -> DataFrame:
-    """Percent of the total, over an already aggregated result."""
-    total = F.sum(n).over(Window.partitionBy(*by))
+def share_of_total(df: DataFrame, n: str, name: str = "percentual", digits: int = 2) -> DataFrame:
+    """Percent of the total, over an already aggregated handful of rows."""
+    total = F.sum(n).over(Window.partitionBy())
     return df.withColumn(name, F.round(100 * F.col(n) / total, digits))

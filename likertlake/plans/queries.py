@@ -118,7 +118,7 @@ def _six_digits(summary: DataFrame) -> DataFrame:
 
 @_on_lake
 def score_summary(lake: Lake) -> DataFrame:
-    return _six_digits(S.summary(quality.provisional_counts(lake.typed(), SPEC)))
+    return _six_digits(S.summary(quality.provisional_counts(lake.typed(), SPEC), origin=SPEC.midpoint))
 
 
 @_on_lake
@@ -216,7 +216,7 @@ def trait_scores_pivot(lake: Lake) -> DataFrame:
 
 @_on_lake
 def gold_score_summary(lake: Lake) -> DataFrame:
-    return _six_digits(S.summary(star.score_counts(lake.scores(), SPEC)))
+    return _six_digits(S.summary(star.score_counts(lake.scores(), SPEC), origin=SPEC.midpoint))
 
 
 @_on_lake
@@ -364,10 +364,10 @@ def table_description(lake: Lake) -> DataFrame:
 
 @_on_tables
 def iqr_outliers_price(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Price outliers per return flag; prices are whole cents, banded by 100."""
+    """Price outliers per return flag; prices are whole cents, so they repeat."""
     lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
     counts = S.grouped_value_counts(lines, "l_returnflag", "l_extendedprice")
-    return S.iqr_outliers(counts, "l_returnflag", digits=6, width=100.0)
+    return S.iqr_outliers(counts, "l_returnflag", digits=6)
 
 
 @_on_tables

@@ -85,6 +85,17 @@ def test_ids_do_not_depend_on_partitions_or_key_spread(spark):
         assert {r.k: r.id for r in got} == want
 
 
+def test_ids_spread_a_shared_key(spark):
+    """A third of the rows carry one key: ids stay dense and in key order."""
+    df = spark.range(900).selectExpr("IF(id % 3 = 0, 50, id) AS k", "id AS row").repartition(6)
+    work = Workspace(spark, "ids")
+    got = ids.dense_id(df, ["k"], work, 8, "id", unique=False)
+    rows = got.orderBy("id").collect()
+    assert [r.id for r in rows] == list(range(1, 901))
+    assert [r.k for r in rows] == sorted(r.k for r in rows)
+    assert len({r.row for r in rows}) == 900 and set(got.columns) == {"id", "k", "row"}
+
+
 def test_percentages_sum_to_hundred(spark, lake):
     from likertlake.operators import analysis
 

@@ -1,5 +1,8 @@
 """Hand-written edge tables for the rules that are easy to get wrong."""
 
+import math
+import statistics
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -120,19 +123,44 @@ def test_outliers_on_each_side(spark):
     values = [1.0] + [3.0] * 4 + [3.5] * 4 + [9.0, None]
     df = spark.createDataFrame([("a", v) for v in values] + [(None, 1.0)], "g string, x double")
     counts = S.grouped_value_counts(df, "g", "x")
-    for width in (None, 1.0, 100.0):
-        rows = {r.g: r for r in S.iqr_outliers(counts, "g", width=width).collect()}
-        assert (rows["a"].n_low, rows["a"].n_high, rows["a"].n_total) == (1, 1, 2), width
-        assert (rows["a"].q1, rows["a"].q3) == (3.0, 3.5)
-        assert rows[None].n_total == 0
-
-
-def test_banded_quantiles_equal_plain_ones(spark):
-    df = spark.range(5000).selectExpr("id % 3 AS g", "round(pow(id % 977, 1.7), 2) AS x")
-    counts = S.grouped_value_counts(df, "g", "x")
-    probs = {"p0": 0.0, "p25": 0.25, "p50": 0.5, "p99": 0.99, "p100": 1.0}
-    plain = sorted(map(tuple, S.quantiles(counts, probs, "g").collect()))
-    assert plain == sorted(map(tuple, S.quantiles(counts, probs, "g", width=50.0).collect()))
+    rows = {r.g: r for r in S.iqr_outliers(counts, "g").collect()}
+    assert (rows["a"].n_low, rows["a"].n_high, rows["a"].n_total) == (1, 1, 2)
+    assert (rows["a"].q1, rows["a"].q3) == (3.0, 3.5)
+    assert rows[None].n_total == 0
+
+
+def test_quantiles_against_sorting(spark):
+    """Negative, tiny, huge and heavily tied values; a third of a group is one value."""
+    import random
+
+    rng = random.Random(7)
+    pools = [
+        [rng.choice([1.0, 2.5, 2.5, 3.0]) for _ in range(301)],
+        [round(rng.uniform(-1e4, 1e4), 2) for _ in range(400)] + [17.0] * 200,
+        [rng.choice([-1, 1]) * 10.0 ** rng.uniform(-9, 300) for _ in range(500)],
+        [float(rng.randrange(2_000_000_000)) for _ in range(500)] + [3.0] * 251,
+        [0.0],
+    ]
+    data = [(g, v) for g, pool in enumerate(pools) for v in pool]
+    counts = S.grouped_value_counts(spark.createDataFrame(data, "g int, x double").repartition(5), "g", "x")
+    probs = {"p0": 0.0, "p10": 0.1, "p25": 0.25, "p50": 0.5, "p75": 0.75, "p99": 0.99, "p100": 1.0}
+    got = {r.g: r for r in S.quantiles(counts, probs, "g").collect()}
+    full = {r.g: r for r in S.summary(counts, "g").collect()}
+    for g, pool in enumerate(pools):
+        order = sorted(pool)
+        for name, p in probs.items():
+            assert got[g][name] == order[max(1, math.ceil(p * len(order))) - 1], (g, name)
+        assert full[g].mediana == statistics.median(pool) and full[g].n == len(pool)
+        assert (full[g].minimo, full[g].maximo) == (order[0], order[-1])
+
+
+def test_summary_moments(spark):
+    values = [1.0, 1.5, 1.5, 4.25, 5.0]
+    counts = S.grouped_value_counts(spark.createDataFrame([("a", v) for v in values], "g string, x double"), "g", "x")
+    for origin in (0.0, 3.0):
+        r = S.summary(counts, "g", origin=origin).first()
+        assert r.media == pytest.approx(statistics.mean(values))
+        assert r.desvio_padrao == pytest.approx(statistics.stdev(values))
 
 
 def test_summary_of_a_single_value_has_no_deviation(spark):
