@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from functools import reduce
-from operator import add, and_, or_
+from operator import add, or_
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -129,20 +129,27 @@ class PackedVector:
         ]
         self.names = [f"_w{i}" for i in range(len(self.chunks))] + ["_rest"]
 
-    def _regular(self, c: str) -> Column:
-        return F.coalesce(F.col(c).between(self.lo, self.hi), F.lit(False))
-
-    def pack(self) -> list[Column]:
+    def pack(self, df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+        """Words and rest next to the ``keep`` columns, in place of the vector.
+
+        Digits become columns first: never null, so the words need no null checks,
+        and the largest digit tells whether the row is irregular.
+        """
+        escape = self.base - 1
+        digits = {
+            c: F.when(F.col(c).between(self.lo, self.hi), F.col(c) - self.lo).otherwise(escape)
+            for c in self.cols
+        }
+        staged = df.select(*keep, *self.cols, *[d.alias(f"_d_{c}") for c, d in digits.items()])
         words = []
         for i, chunk in enumerate(self.chunks):
             word = F.lit(0).cast("bigint")
             for c in chunk:
-                digit = F.when(self._regular(c), F.col(c) - self.lo).otherwise(self.base - 1)
-                word = word * self.base + digit
+                word = word * self.base + F.col(f"_d_{c}")
             words.append(word.alias(f"_w{i}"))
         exact = F.concat_ws(",", *[F.coalesce(F.col(c).cast("string"), F.lit("~")) for c in self.cols])
-        regular = reduce(and_, (self._regular(c) for c in self.cols))
-        return [*words, F.when(~regular, exact).alias("_rest")]
+        irregular = F.greatest(*[F.col(f"_d_{c}") for c in self.cols]) == escape
+        return staged.select(*keep, *words, F.when(irregular, exact).alias("_rest"))
 
     def unpack(self) -> list[Column]:
         out = []

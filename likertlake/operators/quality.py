@@ -83,7 +83,7 @@ def domain_profile(df: DataFrame, cols: Sequence[str], missing: int = 0) -> Data
 
 def _packed_groups(df: DataFrame, spec: Instrument) -> tuple[C.PackedVector, DataFrame]:
     packed = C.PackedVector(spec.item_ids, min(spec.lo, spec.missing), spec.hi)
-    groups = df.select(*packed.pack()).groupBy(*packed.names).agg(F.count(F.lit(1)).alias("count"))
+    groups = packed.pack(df).groupBy(*packed.names).agg(F.count(F.lit(1)).alias("count"))
     return packed, groups
 
 

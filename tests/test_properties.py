@@ -27,9 +27,9 @@ def frame(spark, rows):
 def test_packing_is_reversible_and_injective(spark, rows):
     packed = C.PackedVector(ITEMS, 0, 5)
     df = frame(spark, rows)
-    back = df.select("id_respondente", *packed.pack()).select("id_respondente", *packed.unpack())
+    back = packed.pack(df, ["id_respondente"]).select("id_respondente", *packed.unpack())
     assert [tuple(r)[1:] for r in back.orderBy("id_respondente").collect()] == [tuple(r) for r in rows]
-    keys = df.select(*packed.pack()).collect()
+    keys = packed.pack(df).collect()
     assert len(set(map(tuple, keys))) == len(set(map(tuple, rows)))
 
 
