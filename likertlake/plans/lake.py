@@ -26,39 +26,38 @@ ITEMS, RESPONDENTS, PROFILES = "dim_item", "dim_respondente", "dim_perfil"
 RESPONSES, SCORES, CUTS = "fato_resposta_item", "fato_escore_respondente", "corte_traco"
 
 COMMENTS = {
-    BRONZE: "Respostas brutas como chegaram, todas as colunas como texto, com metadados de ingestão.",
-    SILVER: "Respostas tipadas e validadas, um registro por respondente, sem itens em branco "
-    "nem resposta uniforme. Pontuação original, sem inversão.",
-    ITEMS: "Itens do questionário, com traço medido, enunciado e indicação de pontuação invertida.",
-    RESPONDENTS: "Respondentes válidos, com país e origem do acesso decodificada.",
-    PROFILES: "Combinações possíveis de traços elevados.",
-    RESPONSES: "Uma linha por respondente e item, com a resposta original e a corrigida.",
-    SCORES: "Escores médios por traço, indicadores de escore elevado e perfil por respondente.",
-    CUTS: "Percentil da amostra que um escore elevado precisa exceder, por traço.",
+    BRONZE: "Raw answers exactly as read, all text, with load time and source file.",
+    SILVER: "Valid respondents, one row each, answers as numbers in their original direction.",
+    ITEMS: "What each question asks, which trait it counts for and in which direction.",
+    RESPONDENTS: "Who answered: place and route of access, with the route spelled out.",
+    PROFILES: "Names of the possible sets of elevated traits.",
+    RESPONSES: "One row per respondent and question, before and after reverse coding.",
+    SCORES: "Trait scores of each respondent, which of them are elevated, and the profile.",
+    CUTS: "Score of each trait that three quarters of the respondents do not exceed.",
 }
 
 COLUMN_NOTES = {
-    "id_respondente": "Identificador sequencial gerado no pipeline",
-    "id_item": "Código do item",
-    "traco": "Traço medido",
-    "texto_item": "Enunciado original do item",
-    "invertido": "Item de pontuação invertida",
-    "pais_acesso": "País de acesso",
-    "id_origem": "Código da origem do acesso",
-    "origem_acesso": "Descrição da origem",
-    "data_ingestao": "Momento da carga na camada bronze",
-    "resposta_original": "Resposta como fornecida",
-    "resposta_corrigida": "Resposta após inversão quando aplicável",
-    "escore_maquiavelismo": "Média dos itens do traço",
-    "escore_narcisismo": "Média dos itens do traço",
-    "escore_psicopatia": "Média dos itens do traço",
-    "elevado_maquiavelismo": "Escore acima do corte da amostra",
-    "elevado_narcisismo": "Escore acima do corte da amostra",
-    "elevado_psicopatia": "Escore acima do corte da amostra",
-    "id_perfil": "Código da combinação de traços elevados",
-    "descricao_perfil": "Descrição da combinação",
-    "qtd_tracos_elevados": "Número de traços elevados",
-    "corte": "Percentil 75 da amostra",
+    "id_respondente": "dense number, 1 to the row count",
+    "id_item": "column of the raw file",
+    "traco": "trait label",
+    "texto_item": "question as shown",
+    "invertido": "agreement lowers the trait",
+    "pais_acesso": "place the answer came from, trimmed",
+    "id_origem": "route code of the raw file",
+    "origem_acesso": "route label",
+    "data_ingestao": "load time of the raw row",
+    "resposta_original": "answer as given",
+    "resposta_corrigida": "answer in the direction of the trait",
+    "escore_maquiavelismo": "mean corrected answer, four decimals",
+    "escore_narcisismo": "mean corrected answer, four decimals",
+    "escore_psicopatia": "mean corrected answer, four decimals",
+    "elevado_maquiavelismo": "score strictly above the cut",
+    "elevado_narcisismo": "score strictly above the cut",
+    "elevado_psicopatia": "score strictly above the cut",
+    "id_perfil": "elevated traits as bits, first trait highest",
+    "descricao_perfil": "profile label",
+    "qtd_tracos_elevados": "bits set in the profile",
+    "corte": "75 % sample quantile, discrete",
 }
 
 # Rows per part of the respondent tables: enough small parts to use every core on
@@ -147,7 +146,9 @@ class Lake:
             parts, context = self._parts(), ["country", "source", files.INGESTED]
             valid = cleaning.clean(self.typed(), self.spec)
             answers = PackedVector(self.spec.item_ids, min(self.spec.lo, self.spec.missing), self.spec.hi)
-            slim = answers.pack(valid, [*self.order_by, *context])
+            # Range partitioning samples its input in a pass of its own; written down,
+            # that pass reads a few compact columns instead of cleaning twice.
+            slim = self.work.cut(answers.pack(valid, [*self.order_by, *context]), "valid")
             numbered = ids.dense_id(slim, self.order_by, self.work, parts, star.ID)
             placed = numbered.select(star.ID, *answers.names, *context, *self.keep)
             return placed.repartition(parts, star.ID).select(

@@ -288,10 +288,12 @@ def elevated_count_sql(lake: Lake) -> DataFrame:
     lake.scores(), lake.profiles()
     facts, names = (lake.layers.name("gold", t) for t in (L.SCORES, L.PROFILES))
     return lake.spark.sql(f"""
-        SELECT p.qtd_tracos_elevados, count(*) AS qtd_respondentes,
-               round(100 * count(*) / sum(count(*)) OVER (), 2) AS percentual
-        FROM {facts} f JOIN {names} p ON f.id_perfil = p.id_perfil
-        GROUP BY p.qtd_tracos_elevados ORDER BY p.qtd_tracos_elevados
+        WITH per_profile AS (SELECT id_perfil, count(*) AS n FROM {facts} GROUP BY id_perfil),
+             per_size AS (
+               SELECT qtd_tracos_elevados, sum(n) AS qtd_respondentes
+               FROM per_profile JOIN {names} USING (id_perfil) GROUP BY ALL)
+        SELECT *, round(100 * qtd_respondentes / sum(qtd_respondentes) OVER (), 2) AS percentual
+        FROM per_size ORDER BY qtd_tracos_elevados
     """)
 
 

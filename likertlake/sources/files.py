@@ -68,15 +68,19 @@ def with_file_order(scan: DataFrame) -> DataFrame:
 
 
 def text_head(spark: SparkSession, path: str, lines: int = 3, width: int = 500) -> DataFrame:
-    """First lines of one file, cut to ``width``; only its first block is read."""
-    return spark.read.text(path).limit(lines).select(F.substring("value", 1, width).alias("linha"))
+    """First lines of one file, cut to ``width``, broken bytes replaced.
+
+    A limit without an order stops after the first rows of the first block.
+    """
+    head = spark.read.text(path).limit(lines)
+    return head.select(F.substring(F.make_valid_utf8("value"), 1, width).alias("linha"))
 
 
 def whole_text(spark: SparkSession, path: str) -> DataFrame:
     """Small documents such as a codebook, one row per file."""
     return spark.read.text(path, wholetext=True).select(
         F.regexp_extract("_metadata.file_path", "[^/]+$", 0).alias("arquivo"),
-        F.col("value").alias("texto"),
+        F.make_valid_utf8("value").alias("texto"),
     )
 
 

@@ -49,6 +49,14 @@ def test_text_head_whole_text_and_manifest(spark, folder):
     assert (size.arquivo, size.bytes) == ("codebook.txt", os.path.getsize(path))
 
 
+def test_broken_bytes_are_replaced(spark, folder):
+    path = os.path.join(folder, "data.csv")
+    with open(path, "wb") as f:
+        f.write(b"caf\xc3\xa9 \xff\xfe end\nsecond\n")
+    assert files.text_head(spark, path).first().linha == "café \ufffd\ufffd end"
+    assert files.whole_text(spark, path).first().texto == "café \ufffd\ufffd end\nsecond\n"
+
+
 def test_files_to_star_schema(spark, lake, folder):
     """The derived survey, landed as files and loaded again, gives the same answers."""
     raw = lake.bronze().select(*SPEC.raw_columns)
@@ -72,8 +80,8 @@ def test_files_to_star_schema(spark, lake, folder):
     names = {r.tableName for r in layers.listing("gold").collect()}
     assert {"dim_item", "dim_respondente", "dim_perfil", "fato_resposta_item", "fato_escore_respondente"} <= names
     described = {r.col_name: r for r in layers.describe("gold", "dim_item").collect()}
-    assert described["invertido"].comment == "Item de pontuação invertida"
-    assert described["Comment"].data_type.startswith("Itens do questionário")
+    assert described["invertido"].comment == "agreement lowers the trait"
+    assert described["Comment"].data_type.startswith("What each question asks")
 
 
 def test_ids_follow_file_and_line_order_for_any_split(spark, folder):
