@@ -9,7 +9,7 @@ from __future__ import annotations
 import hashlib
 import math
 import threading
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -80,16 +80,19 @@ class Lake:
         work: Workspace,
         spec: Instrument = SHORT_FORM_27,
         keep: Sequence[str] = (),
+        names: Mapping[str, str] | None = None,
     ) -> None:
         """``raw`` yields the text rows with lineage columns; ``order_by`` identifies a row.
 
-        ``keep`` names order columns that stay in the silver table.
+        ``keep`` names order columns that stay in the silver table; ``names`` gives
+        tables other names than the defaults above.
         """
         self.spark, self.raw, self.spec = tune(spark), raw, spec
         self.order_by, self.layers, self.work = list(order_by), layers, work
-        self.keep = list(keep)
+        self.keep, self.names = list(keep), dict(names or {})
         self._lock = threading.RLock()
         self._built: set[str] = set()
+        self._rows: int | None = None
         self._landed: str | None = None
         self._codebook: str | None = None
 
@@ -97,18 +100,23 @@ class Lake:
         self, layer: str, name: str, build: Callable[[], DataFrame], bucketed: bool = False
     ) -> DataFrame:
         with self._lock:
-            if name in self._built and self.layers.exists(layer, name):
-                return self.layers.read(layer, name)
+            target = self.names.get(name, name)
+            if name in self._built and self.layers.exists(layer, target):
+                return self.layers.read(layer, target)
             df = build()
             notes = {c: COLUMN_NOTES[c] for c in df.columns if layer == "gold" and c in COLUMN_NOTES}
             how = {"bucket_by": star.ID, "buckets": self._parts()} if bucketed else {}
-            saved = self.layers.save(df, layer, name, COMMENTS[name], notes, **how)
+            saved = self.layers.save(df, layer, target, COMMENTS[name], notes, **how)
             self._built.add(name)
             return saved
 
     def _parts(self) -> int:
+        """Parts for respondent tables; the raw rows are counted once, from file footers."""
         wanted = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
-        return part_count(self.bronze().count(), wanted)
+        bronze = self.bronze()
+        if self._rows is None:
+            self._rows = bronze.count()
+        return part_count(self._rows, wanted)
 
     # -- layers -------------------------------------------------------------
 
@@ -249,7 +257,11 @@ def derived_lake(spark: SparkSession, sf_dir: str) -> Lake:
 
 
 def file_lake(
-    spark: SparkSession, path: str, layers: Layers, spec: Instrument = SHORT_FORM_27
+    spark: SparkSession,
+    path: str,
+    layers: Layers,
+    spec: Instrument = SHORT_FORM_27,
+    names: Mapping[str, str] | None = None,
 ) -> Lake:
     """The lake over landed tab-separated files, numbered in file and line order."""
 
@@ -257,4 +269,5 @@ def file_lake(
         scan = files.read_delimited(spark, path, spec.raw_columns)
         return files.with_file_order(files.with_lineage(scan))
 
-    return Lake(spark, raw, files.FILE_ORDER, layers, Workspace(spark, "files"), spec)
+    work = Workspace(spark, "files")
+    return Lake(spark, raw, files.FILE_ORDER, layers, work, spec, names=names)
