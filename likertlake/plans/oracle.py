@@ -267,6 +267,11 @@ def all_oracles() -> dict[str, str]:
     return {
         "lineage_columns": "SELECT 'orders.parquet' AS arquivo, count(*) AS registros, count(*) AS com_data FROM orders",
         "typed_survey": _with("typed", f"SELECT src_row, {LIST}, country, source FROM typed"),
+        "typed_view": _with(
+            "typed",
+            """SELECT source, count(*) AS registros, count(country) AS com_pais, max(M1) AS maior_m1
+            FROM typed GROUP BY source""",
+        ),
         "missing_profile": _with(
             "typed",
             _per_item(

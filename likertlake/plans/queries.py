@@ -56,6 +56,16 @@ def typed_survey(lake: Lake) -> DataFrame:
     return lake.typed().select(KEY, *ITEMS, "country", "source")
 
 
+@_on_lake
+def typed_view(lake: Lake) -> DataFrame:
+    """SQL over the typed rows through a session view; nothing is written."""
+    lake.layers.view(lake.typed(), "respostas_tipadas")
+    return lake.spark.sql("""
+        SELECT source, count(*) AS registros, count(country) AS com_pais, max(M1) AS maior_m1
+        FROM respostas_tipadas GROUP BY source
+    """)
+
+
 @_on_lake
 def missing_profile(lake: Lake) -> DataFrame:
     return quality.missing_profile(lake.typed(), ITEMS, SPEC.missing)
