@@ -7,13 +7,31 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from likertlake.llm import decontam
+from likertlake.llm import decontam, neardup, substring
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    found, _ = neardup.classes(docs)
+    rows = docs.select("doc_id", F.unhex(F.md5("text")).alias("node")).join(found, "node", "left")
+    return rows.select(
+        "doc_id", F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("n", F.lit(1)).alias("n_copies"),
+        F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"), F.coalesce("class_id", "doc_id").eqNullSafe(F.col("doc_id")).alias("kept"),
+    )
+
+
+def op6_repeated_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    r = F.col("repeats")
+    return substring.repeats(docs).select(
+        "doc_id", r["n_words"].alias("n_words"), r["n_removed"].alias("n_removed"), F.sha2(r["kept"], 256).alias("kept_sha256")
+    )
+
+
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     found = decontam.contamination(docs, _table(spark, sf_dir, "benchmark"))
@@ -25,7 +43,11 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op8_decontamination": op8_decontamination}
+    return {
+        "op2_near_duplicates": op2_near_duplicates,
+        "op6_repeated_substrings": op6_repeated_substrings,
+        "op8_decontamination": op8_decontamination,
+    }
 
 
 def all_oracles() -> dict[str, str]:
