@@ -7,13 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from likertlake.llm import decontam, neardup, substring
+from likertlake.llm import bpe, decontam, langid, neardup, pages, secrets, substring
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_language_identification(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    found = langid.predict(docs.select("doc_id", "text"), langid.fit(docs))
+    held = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.lit(False))
+    return found.select("doc_id", held.alias("held_out"), F.col("language.lang").alias("lang_pred"), F.col("language.score").alias("score"))
+
+
 def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     found, _ = neardup.classes(docs)
@@ -24,6 +31,19 @@ def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pages.extract(_table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return found.select("page_id", "url", "text", F.length("text").cast("bigint").alias("n_chars"))
+
+
+def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = secrets.scan(docs, secrets.fit(docs))
+    number = lambda kind: F.size(F.filter("secrets", lambda x: x["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
+    base = F.filter("secrets", lambda x: x["kind"].isin(*secrets.BASE))
+    return found.select("doc_id", *map(number, secrets.BASE), F.sha2(secrets.listed(base), 256).alias("base_sha256"), secrets.listed(F.col("secrets")).alias("spans"))
+
+
 def op6_repeated_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     r = F.col("repeats")
@@ -32,6 +52,21 @@ def op6_repeated_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def tokenizer(spark: SparkSession) -> bpe.Tokenizer:
+    import public_tokenizers
+
+    return bpe.load(spark, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, model = _table(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer(spark)
+    coded = bpe.decode(bpe.encode(docs, model).select("doc_id", "ids"), model)
+    return coded.select(
+        "doc_id", F.size("ids").cast("bigint").alias("n_tokens"),
+        F.sha2(F.array_join("ids", ","), 256).alias("ids_sha256"), F.sha2("bytes", 256).alias("decoded_sha256"),
+    )
+
+
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     found = decontam.contamination(docs, _table(spark, sf_dir, "benchmark"))
@@ -44,8 +79,12 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_language_identification": op1_language_identification,
         "op2_near_duplicates": op2_near_duplicates,
+        "op3_html_extraction": op3_html_extraction,
+        "op5_secret_scan": op5_secret_scan,
         "op6_repeated_substrings": op6_repeated_substrings,
+        "op7_byte_bpe": op7_byte_bpe,
         "op8_decontamination": op8_decontamination,
     }
 
