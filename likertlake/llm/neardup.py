@@ -3,9 +3,9 @@
 A document is the weighted set of its ``size``-word shingles. Improved consistent
 weighted sampling draws from it samples that two documents share with a probability
 equal to their weighted Jaccard similarity; bands of samples make the buckets. In a
-bucket every text is compared with the least few (the leaders), and what that leaves
-open is compared in further rounds; the samples rule out most pairs, and the weighted
-Jaccard similarity of the whole texts decides. Equal texts are one node throughout.
+bucket all texts are compared with a few heads, and what is still in different classes
+then is compared with more in further rounds. The samples rule out most pairs, and the
+weighted Jaccard similarity of the whole texts decides. Equal texts are one node.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from likertlake.llm import words as W
@@ -31,8 +31,8 @@ CELLS, CELL_BLOCK = 1 << 20, 1 << 15
 #: How much more a shingle of one text weighs than one of all texts. What copies share is
 #: less rare than what tells them apart, so with more the threshold would ask for more.
 STRENGTH = 0.25
-#: Leaders of a bucket in one round.
-LEADERS = 2
+#: Heads of a bucket in the first round, and how many times more in each further round.
+LEADERS, MORE_LEADERS = 2, 4
 
 
 def shingles(w: W.Words, size: int, tables: tuple[W.Powers, W.Powers]) -> tuple[np.ndarray, np.ndarray]:
@@ -170,12 +170,12 @@ def classes(
     docs: DataFrame, text: str = "text", id: str = "doc_id", size: int = SIZE, similarity: float = SIMILARITY,
     bands: int = BANDS, rows: int = ROWS, cells: int = CELLS, leaders: int = LEADERS,
 ) -> tuple[DataFrame, DataFrame]:
-    """Nodes with their classes, and the links found between different texts.
+    """Nodes with their classes, and links between different texts.
 
     Nodes: ``node`` (a digest of the text), ``n`` rows of that text, ``id`` (the least),
-    ``n_links`` (other texts linked directly, as found), ``class_node`` and ``class_id``
-    (of the class's least id). Links: ``a``, ``b``, ``similarity``. Texts without words
-    link with nothing, but equal ones are one node; rows with a null text are in no node.
+    ``class_node`` and ``class_id`` (of the class's least id). Links: ``a``, ``b``,
+    ``similarity``; enough to connect the classes, not all pairs inside them. Texts without
+    words link with nothing, but equal ones are one node; rows with a null text are in none.
     """
     spark = docs.sparkSession
     space = Workspace(spark, "neardup")
@@ -221,63 +221,52 @@ def classes(
     kept = space.cut(base.select(node, "text").join(active, "node", "left_semi").dropDuplicates(["node"]), "texts")
     signed = nodes.select("node", "s").join(active, "node", "left_semi")
 
-    links = None
     # The samples of a pair at the threshold agree less often than this once in 10**5 times or less.
     sure = similarity - 4.5 * math.sqrt(similarity * (1 - similarity) / (bands * rows))
+    seen, root = None, None
     while True:
-        rank = F.row_number().over(_by("bucket"))
-        heads = space.cut(live.withColumn("r", rank).where(F.col("r") <= leaders).select("bucket", F.col("node").alias("head")), "heads")
-        pairs = live.join(heads, "bucket").where("head < node").select(F.col("head").alias("a"), F.col("node").alias("b")).distinct()
-        if links is not None:
-            pairs = pairs.join(links.select("a", "b"), ["a", "b"], "left_anti")
+        entries = space.cut(_unfinished(live, root), "entries")
+        if entries.isEmpty():
+            break
+        order = Window.partitionBy("bucket").orderBy("node")
+        heads = entries.where("root <> most").withColumn("r", F.row_number().over(order)).where(F.col("r") <= leaders)
+        heads = space.cut(heads.select("bucket", F.col("node").alias("head"), F.col("root").alias("head_root")), "heads")
+        each = entries.join(heads, (entries["bucket"] == heads["bucket"]) & (F.col("root") != F.col("head_root")))
+        pairs = each.select(F.least("node", "head").alias("a"), F.greatest("node", "head").alias("b")).distinct()
+        if seen is not None:
+            pairs = pairs.join(seen.select("a", "b"), ["a", "b"], "left_anti")
         pairs = pairs.join(signed.select(F.col("node").alias("a"), F.col("s").alias("sa")), "a").join(signed.select(F.col("node").alias("b"), F.col("s").alias("sb")), "b")
         pairs = pairs.where(column_udf(agree, "double")(F.concat("sa", "sb")) >= sure).select("a", "b")
         pairs = pairs.join(kept.select(F.col("node").alias("a"), F.col("text").alias("ta")), "a").join(kept.select(F.col("node").alias("b"), F.col("text").alias("tb")), "b")
         pairs = pairs.select("a", "b", column_udf(similar, "double")(F.struct("ta", "tb")).alias("similarity"))
-        seen = space.cut(pairs if links is None else pairs.unionByName(links), "pairs")
-        live = _open(live, heads, seen, similarity, space)
-        links = seen
-        if live.isEmpty():
-            break
-    links = links.where(F.col("similarity") >= similarity)
-    return _classified(nodes, links, space), links
-
-
-def _by(key: str):
-    from pyspark.sql import Window
-
-    return Window.partitionBy(key).orderBy("node")
-
+        seen = space.cut(pairs if seen is None else pairs.unionByName(seen), "pairs")
+        root = components(seen.where(F.col("similarity") >= similarity).select("a", "b"), space)
+        live = entries.join(heads.select("bucket", F.col("head").alias("node")), ["bucket", "node"], "left_anti").select("bucket", "node")
+        leaders *= MORE_LEADERS
+    if seen is None:
+        seen = spark.createDataFrame([], "a binary, b binary, similarity double")
+        root = spark.createDataFrame([], "node binary, root binary")
+    return _classified(nodes, root, space), seen.where(F.col("similarity") >= similarity)
+
+
+def _unfinished(live: DataFrame, root: DataFrame | None) -> DataFrame:
+    """Entries of the buckets that still hold texts of different classes.
+
+    ``root`` is an entry's class so far and ``most`` the largest class of its bucket. All
+    outside that class become heads in turn and are compared with every other class, so
+    no pair of different classes is left out; pairs inside a class need no comparison.
+    """
+    own = live.withColumn("root", F.col("node")) if root is None else live.join(root, "node", "left").select("bucket", "node", F.coalesce("root", "node").alias("root"))
+    count = own.groupBy("bucket", "root").agg(F.count("*").alias("n"))
+    most = count.groupBy("bucket").agg(F.max(F.struct("n", "root"))["root"].alias("most"), F.count("*").alias("classes")).where("classes > 1")
+    return own.join(most.select("bucket", "most"), "bucket")
 
-def _open(live: DataFrame, heads: DataFrame, seen: DataFrame, similarity: float, space: Workspace) -> DataFrame:
-    """What may still link in a bucket once all of it was compared with the heads.
 
-    Heads leave. One minus the similarity is a metric, so a text within ``1 - similarity`` of
-    the head can only link with one within twice that of it; if the bucket has none besides
-    those linked with the head, the linked ones are done too. The rest goes on.
-    """
-    far = 1 - similarity
-    entries = live.join(heads, "bucket").where("head <> node").select("bucket", "node", "head")
-    known = seen.select(F.col("a").alias("head"), F.col("b").alias("node"), (1 - F.col("similarity")).alias("d"))
-    near = entries.join(known, ["head", "node"], "left").groupBy("bucket", "node").agg(F.min("d").alias("d"))
-    rest = near.join(heads.select("bucket", F.col("head").alias("node")), ["bucket", "node"], "left_anti")
-    state = rest.groupBy("bucket").agg(F.min(F.when(F.coalesce("d", F.lit(1.0)) > far, F.coalesce("d", F.lit(1.0)))).alias("least"), F.count("*").alias("n"))
-    rest = rest.join(state.where("n > 1"), "bucket")
-    # Linked to a head, and no unlinked text near enough to that head: nothing left to find.
-    rest = rest.where((F.coalesce("d", F.lit(1.0)) > far) | (F.col("least") <= F.col("d") + far))
-    rest = space.cut(rest.select("bucket", "node"), "rest")
-    crowd = rest.groupBy("bucket").count().where("count > 1").select("bucket")
-    return space.cut(rest.join(crowd, "bucket"), "live")
-
-
-def _classified(nodes: DataFrame, links: DataFrame, space: Workspace) -> DataFrame:
-    degree = links.select(F.col("a").alias("node")).union(links.select("b")).groupBy("node").agg(F.count("*").alias("n_links"))
-    root = components(links.select("a", "b"), space)
-    full = nodes.select("node", "n", "id").join(root, "node", "left").join(degree, "node", "left")
-    full = full.select("node", "n", "id", F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"), F.coalesce("root", "node").alias("root"))
+def _classified(nodes: DataFrame, root: DataFrame, space: Workspace) -> DataFrame:
+    full = nodes.select("node", "n", "id").join(root, "node", "left").select("node", "n", "id", F.coalesce("root", "node").alias("root"))
     full = space.cut(full, "classified")
     best = full.groupBy("root").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "node")).alias("m"))
-    return full.join(best, "root").select("node", "n", "id", "n_links", F.col("m.node").alias("class_node"), F.col("m.id").alias("class_id"))
+    return full.join(best, "root").select("node", "n", "id", F.col("m.node").alias("class_node"), F.col("m.id").alias("class_id"))
 
 
 def deduplicated(docs: DataFrame, text: str = "text", id: str = "doc_id", **how) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from likertlake.llm import bpe, decontam, langid, neardup, pages, secrets, substring
+from likertlake.llm import bpe, decontam, langid, neardup, pages, quality, secrets, shards, substring, vectors
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -27,7 +27,7 @@ def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = docs.select("doc_id", F.unhex(F.md5("text")).alias("node")).join(found, "node", "left")
     return rows.select(
         "doc_id", F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("n", F.lit(1)).alias("n_copies"),
-        F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"), F.coalesce("class_id", "doc_id").eqNullSafe(F.col("doc_id")).alias("kept"),
+        F.coalesce("class_id", "doc_id").eqNullSafe(F.col("doc_id")).alias("kept"),
     )
 
 
@@ -36,6 +36,13 @@ def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("page_id", "url", "text", F.length("text").cast("bigint").alias("n_chars"))
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = quality.score(docs, *quality.fit(docs))
+    q = F.col("quality")
+    return found.select("doc_id", q["score"].alias("score"), q["votes"].alias("votes"), q["posterior"].alias("posterior"), q["keep"].alias("kept"))
+
+
 def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     found = secrets.scan(docs, secrets.fit(docs))
@@ -77,15 +84,37 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = shards.assign(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return placed.select(
+        F.col("id").alias("doc_id"), "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
+    )
+
+
+def op10_vector_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = vectors.classes(_table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label"))
+    return found.select(F.col("id").alias("vec_id"), "n_links", "component_id", F.col("id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline  # it imports this package in turn
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_language_identification": op1_language_identification,
         "op2_near_duplicates": op2_near_duplicates,
         "op3_html_extraction": op3_html_extraction,
+        "op4_quality": op4_quality,
         "op5_secret_scan": op5_secret_scan,
         "op6_repeated_substrings": op6_repeated_substrings,
         "op7_byte_bpe": op7_byte_bpe,
         "op8_decontamination": op8_decontamination,
+        "op9_shards": op9_shards,
+        "op10_vector_duplicates": op10_vector_duplicates,
+        "pipeline": pipeline,
     }
 
 
