@@ -21,11 +21,10 @@ def components(links: DataFrame, space: Workspace) -> DataFrame:
     while True:
         both = edges.union(edges.select("v", "u"))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        large = space.cut(large, "large")
+        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        edges = space.cut(small.union(least).where("u <> v").distinct(), "small")
+        edges = space.cut(small.union(least).where("u <> v").distinct(), "stars")
         before, state = state, _state(edges)
         if state == before:
             break

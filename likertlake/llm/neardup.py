@@ -32,7 +32,7 @@ CELLS, CELL_BLOCK = 1 << 20, 1 << 15
 #: less rare than what tells them apart, so with more the threshold would ask for more.
 STRENGTH = 0.25
 #: Heads of a bucket in the first round, and how many times more in each further round.
-LEADERS, MORE_LEADERS = 2, 4
+LEADERS, MORE_LEADERS = 4, 16
 
 
 def shingles(w: W.Words, size: int, tables: tuple[W.Powers, W.Powers]) -> tuple[np.ndarray, np.ndarray]:
@@ -80,10 +80,10 @@ def samples(doc: np.ndarray, h: np.ndarray, weight: np.ndarray, n: int) -> tuple
     out = np.empty((len(first), n), np.uint32)
     unit, low = np.float32(2.0**-21), np.uint64((1 << 21) - 1)
     for k, seed in enumerate(W.seeds(n, 1 << 32)):
-        x = h * (seed | np.uint64(1))
+        x = (h + seed) * np.uint64(0xBF58476D1CE4E5B9)
         x ^= x >> np.uint64(32)
         x *= np.uint64(0x94D049BB133111EB)
-        y = (x ^ (x >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+        y = (x ^ (x >> np.uint64(29))) * np.uint64(0xD6E8FEB86659FD93)
         u = lambda bits, shift: ((bits >> np.uint64(shift)) & low).astype(np.float32) * unit + unit / 2
         r = -np.log(u(x, 43) * u(x, 22))
         c = -np.log(u(y, 43) * u(y, 22))
@@ -228,10 +228,11 @@ def classes(
         entries = space.cut(_unfinished(live, root), "entries")
         if entries.isEmpty():
             break
+        # Digests are in random order, so heads come from all classes of a bucket.
         order = Window.partitionBy("bucket").orderBy("node")
-        heads = entries.where("root <> most").withColumn("r", F.row_number().over(order)).where(F.col("r") <= leaders)
-        heads = space.cut(heads.select("bucket", F.col("node").alias("head"), F.col("root").alias("head_root")), "heads")
-        each = entries.join(heads, (entries["bucket"] == heads["bucket"]) & (F.col("root") != F.col("head_root")))
+        heads = entries.withColumn("r", F.row_number().over(order)).where(F.col("r") <= leaders)
+        heads = heads.select(F.col("bucket").alias("own"), F.col("node").alias("head"), F.col("root").alias("head_root"))
+        each = entries.join(heads, (F.col("bucket") == F.col("own")) & (F.col("root") != F.col("head_root")))
         pairs = each.select(F.least("node", "head").alias("a"), F.greatest("node", "head").alias("b")).distinct()
         if seen is not None:
             pairs = pairs.join(seen.select("a", "b"), ["a", "b"], "left_anti")
@@ -241,7 +242,7 @@ def classes(
         pairs = pairs.select("a", "b", column_udf(similar, "double")(F.struct("ta", "tb")).alias("similarity"))
         seen = space.cut(pairs if seen is None else pairs.unionByName(seen), "pairs")
         root = components(seen.where(F.col("similarity") >= similarity).select("a", "b"), space)
-        live = entries.join(heads.select("bucket", F.col("head").alias("node")), ["bucket", "node"], "left_anti").select("bucket", "node")
+        live = entries.join(heads.select(F.col("own").alias("bucket"), F.col("head").alias("node")), ["bucket", "node"], "left_anti").select("bucket", "node")
         leaders *= MORE_LEADERS
     if seen is None:
         seen = spark.createDataFrame([], "a binary, b binary, similarity double")
@@ -252,14 +253,13 @@ def classes(
 def _unfinished(live: DataFrame, root: DataFrame | None) -> DataFrame:
     """Entries of the buckets that still hold texts of different classes.
 
-    ``root`` is an entry's class so far and ``most`` the largest class of its bucket. All
-    outside that class become heads in turn and are compared with every other class, so
-    no pair of different classes is left out; pairs inside a class need no comparison.
+    ``root`` is an entry's class so far. Heads are compared with all entries of other
+    classes and leave; a bucket is done when the rest is of one class. So no pair of
+    different classes is left out, and pairs inside a class need no comparison.
     """
     own = live.withColumn("root", F.col("node")) if root is None else live.join(root, "node", "left").select("bucket", "node", F.coalesce("root", "node").alias("root"))
-    count = own.groupBy("bucket", "root").agg(F.count("*").alias("n"))
-    most = count.groupBy("bucket").agg(F.max(F.struct("n", "root"))["root"].alias("most"), F.count("*").alias("classes")).where("classes > 1")
-    return own.join(most.select("bucket", "most"), "bucket")
+    open_ = own.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
+    return own.join(open_.select("bucket"), "bucket")
 
 
 def _classified(nodes: DataFrame, root: DataFrame, space: Workspace) -> DataFrame:

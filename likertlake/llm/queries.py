@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from likertlake.llm import bpe, decontam, langid, neardup, pages, quality, secrets, shards, substring, vectors
+from likertlake.llm.oracles import all_oracles as all_oracles
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -116,7 +117,3 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op10_vector_duplicates": op10_vector_duplicates,
         "pipeline": pipeline,
     }
-
-
-def all_oracles() -> dict[str, str]:
-    return {}
