@@ -15,6 +15,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -110,29 +111,23 @@ def weighted_jaccard(a: pa.Array, b: pa.Array, weights: Weights, size: int) -> n
     """Weighted Jaccard similarity of the texts of two columns, row by row."""
     out = np.zeros(len(a))
     tables = W.powers()
-    pair = pa.concat_arrays([a.cast(pa.large_string()), b.cast(pa.large_string())]).take(pa.array(np.arange(2 * len(a)).reshape(2, -1).T.ravel()))
-    data, offsets = W.column(pair)
-    for i, j in _whole_pairs(offsets):
-        w = W.split(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], W.NOT_BLANK)
-        doc, h, n = counted(*shingles(w, size, tables))
-        weight = weights(h, n).astype(np.float64)
-        row = doc >> 1
-        key = W.mix(h + W.seeds(int(row[-1]) + 1 if len(row) else 1, 1 << 34)[row])
+    sizes = [pc.binary_length(x).fill_null(0).to_numpy(zero_copy_only=False) for x in (a, b)]
+    ends = np.r_[0, np.cumsum(sizes[0] + sizes[1], dtype=np.int64)]
+    i = 0
+    while i < len(a):  # a few whole pairs at a time, or one of long texts
+        j = max(i + 1, int(np.searchsorted(ends, ends[i] + W.SLICE, "right")) - 1)
+        # Texts of the first column, then those of the second.
+        data, offsets = W.column(pa.concat_arrays([a.slice(i, j - i), b.slice(i, j - i)]))
+        doc, h, n = counted(*shingles(W.split(data, offsets, W.NOT_BLANK), size, tables))
+        weight, row = weights(h, n).astype(np.float64), doc % (j - i)
+        key = W.mix(h + W.seeds(j - i, 1 << 34)[row])
         order = np.argsort(key, kind="stable")
         same = np.flatnonzero(key[order][1:] == key[order][:-1])
         both = np.minimum(weight[order][same], weight[order][same + 1])
-        shared = np.bincount(row[order][same], both, (j - i) // 2)
-        total = np.bincount(row, weight, (j - i) // 2)
-        out[i // 2 : j // 2] = np.divide(shared, total - shared, out=np.zeros((j - i) // 2), where=total > shared)
-    return out
-
-
-def _whole_pairs(offsets: np.ndarray) -> Iterator[tuple[int, int]]:
-    i, n = 0, len(offsets) - 1
-    while i < n:
-        j = max(i + 2, (int(np.searchsorted(offsets, offsets[i] + W.SLICE, "right")) - 1) // 2 * 2)
-        yield i, j
+        shared, total = np.bincount(row[order][same], both, j - i), np.bincount(row, weight, j - i)
+        out[i:j] = np.divide(shared, total - shared, out=np.zeros(j - i), where=total > shared)
         i = j
+    return out
 
 
 def frequencies(docs: DataFrame, text: str, size: int, cells: int) -> tuple[np.ndarray, int]:
