@@ -50,7 +50,7 @@ def outside(cols: Sequence[str], lo: int, hi: int) -> Column:
 
 
 def ratio(total: str | Column, n: str | Column | int, digits: int) -> Column:
-    """``total / n`` rounded half-up to ``digits``, for whole numbers.
+    """``total / n`` rounded to ``digits``, halves away from zero, for whole numbers and positive ``n``.
 
     The numerator is doubled and shifted by ``n`` before the division, so the floor
     falls on the exact side. ``round`` on a double goes through a decimal object per
@@ -58,7 +58,8 @@ def ratio(total: str | Column, n: str | Column | int, digits: int) -> Column:
     """
     count = F.lit(n) if isinstance(n, int) else _col(n)
     scale = float(10**digits)
-    return F.floor((_col(total) * F.lit(2 * scale) + count) / (count * 2)) / F.lit(scale)
+    size = F.floor((F.abs(_col(total)) * F.lit(2 * scale) + count) / (count * 2)) / F.lit(scale)
+    return F.when(_col(total) < 0, -size).otherwise(size)
 
 
 def sum_of_valid(cols: Sequence[str], missing: int = 0) -> Column:

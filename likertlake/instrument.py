@@ -41,8 +41,11 @@ class Instrument:
     """Traits with their items, the answer scale and the label dictionaries.
 
     ``lo..hi`` is the valid answer range and ``missing`` the code for "not
-    answered". ``profile_labels[b]`` names the combination whose bits are set in
-    ``b``; the first trait owns the highest bit.
+    answered". ``context`` are the other raw columns: ``place`` names the one that says
+    where an answer came from, ``origin`` the one with the route code; either may be
+    none of them. ``profile_labels[b]`` names the combination whose bits are set in
+    ``b``; the first trait owns the highest bit. Without labels they are made of the
+    trait labels.
     """
 
     traits: tuple[Trait, ...]
@@ -50,10 +53,20 @@ class Instrument:
     hi: int = 5
     missing: int = 0
     context: tuple[str, ...] = ("country", "source")
+    place: str | None = "country"
+    origin: str | None = "source"
     origin_labels: dict[int, str] = field(default_factory=dict)
     origin_default: str = ""
     profile_labels: tuple[str, ...] = ()
 
+    def __post_init__(self) -> None:
+        k = len(self.traits)
+        if not self.profile_labels:
+            sets = [[t.label for i, t in enumerate(self.traits) if code >> (k - 1 - i) & 1] for code in range(1 << k)]
+            object.__setattr__(self, "profile_labels", tuple(" + ".join(s) or "–" for s in sets))
+        if len(self.profile_labels) != 1 << k:
+            raise ValueError(f"{k} traits need {1 << k} profile labels, not {len(self.profile_labels)}")
+
     @property
     def item_ids(self) -> list[str]:
         return [i for t in self.traits for i in t.item_ids]

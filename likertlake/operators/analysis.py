@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from likertlake.functions import columns as C
@@ -16,7 +16,7 @@ from likertlake.operators.star import ID
 
 
 def trait_descriptives(scores: DataFrame, spec: Instrument) -> DataFrame:
-    stats = S.summary(star.score_counts(scores, spec), origin=spec.midpoint)
+    stats = S.summary(star.score_counts(scores, spec))
     names = ("media", "desvio_padrao", "mediana", "minimo", "maximo")
     return stats.select("traco", *[F.round(c, 2).alias(c) for c in names]).orderBy(
         F.desc("media"), "traco"
@@ -29,7 +29,7 @@ def score_bands(scores: DataFrame, spec: Instrument, per_unit: int = 2) -> DataF
     bands = counts.groupBy("traco", C.band("valor", per_unit).alias("faixa")).agg(
         F.sum("n").alias("qtd")
     )
-    total = scores.agg(F.count(F.lit(1))).scalar()
+    total = F.sum("qtd").over(Window.partitionBy("traco"))  # a row of each trait per respondent
     return bands.withColumn("percentual", F.round(100 * F.col("qtd") / total, 2)).orderBy(
         "traco", "faixa"
     )
@@ -55,7 +55,7 @@ def lattice_histogram(scores: DataFrame, cuts: DataFrame, spec: Instrument) -> D
         F.lit(0).cast("bigint").alias("n"),
     )
     binned = seen.unionByName(attainable).groupBy("traco", "bin").agg(F.sum("n").alias("qtd"))
-    means = S.moments(counts, origin=spec.midpoint).select("traco", F.round("media", 4).alias("media"))
+    means = S.moments(counts).select("traco", F.round("media", 4).alias("media"))
     beside = cuts.select("traco", "corte").join(means, "traco", "left")
     return (
         binned.join(F.broadcast(beside), "traco")
@@ -110,7 +110,7 @@ def co_occurrence(scores: DataFrame, spec: Instrument) -> DataFrame:
         x
         for i, (a, b) in enumerate(pairs)
         for x in (
-            F.lit(f"Elevado em {a.slug} → também em {b.slug}"),
+            F.lit(f"Elevado em {a.slug} → também em {b.slug}"),  # fixed value, as published
             F.round(100 * F.col(f"p{i}"), 2),
         )
     ]
@@ -134,9 +134,12 @@ def trait_correlation_matrix(scores: DataFrame, spec: Instrument, digits: int =
 
 
 def _profile_counts(scores: DataFrame, profiles: DataFrame) -> DataFrame:
-    """Count codes first, so that only a handful of rows meets the dimension."""
+    """Count codes first, so that only one row per code meets the dimension.
+
+    A code without a label stays, with a null label: percentages are of all respondents.
+    """
     counted = scores.groupBy("id_perfil").agg(F.count(F.lit(1)).alias("qtd_respondentes"))
-    return counted.join(F.broadcast(profiles), "id_perfil")
+    return counted.join(profiles, "id_perfil", "left")
 
 
 def profile_distribution(scores: DataFrame, profiles: DataFrame) -> DataFrame:
@@ -221,7 +224,7 @@ def item_endorsement(
 def item_chart(responses: DataFrame, items: DataFrame, trait: str | None = None) -> DataFrame:
     """Item means with a display label, from the answer fact.
 
-    ``trait`` keeps one panel; its filter reaches the scan of the fact.
+    ``trait`` keeps one panel; a fact partitioned by trait is read for that trait only.
     """
     rows = responses if trait is None else responses.where(F.col("traco") == trait)
     means = rows.groupBy("traco", "id_item").agg(F.avg("resposta_corrigida").alias("_mean"))

@@ -43,11 +43,10 @@ def blank_count_histogram(df: DataFrame, cols: Sequence[str], missing: int = 0)
     )
 
 
-def context_missing(bronze: DataFrame) -> DataFrame:
-    return bronze.agg(
-        F.count_if(C.is_blank_text("country")).alias("country_ausente"),
-        F.count_if(F.col("source").isNull()).alias("source_ausente"),
-    )
+def context_missing(bronze: DataFrame, spec: Instrument) -> DataFrame:
+    """Rows without each context column; the route code counts as missing when null only."""
+    missing = {c: F.col(c).isNull() if c == spec.origin else C.is_blank_text(c) for c in spec.context}
+    return bronze.agg(*[F.count_if(m).alias(f"{c}_ausente") for c, m in missing.items()])
 
 
 # -- consistency ------------------------------------------------------------
@@ -63,19 +62,19 @@ def domain_violation_count(df: DataFrame, cols: Sequence[str], lo: int, hi: int)
 
 
 def domain_profile(df: DataFrame, cols: Sequence[str], missing: int = 0) -> DataFrame:
-    """Observed range of each column and the mean of its valid values.
-
-    Reads the value counts, so range and mean of all columns cost one count per
-    cell and the rest runs on a handful of rows per column.
-    """
-    counts = S.value_counts(df, {c: c for c in cols}, group="campo", keep_null=True)
-    value, n = F.col("valor"), F.col("n")
-    valid = value > missing
-    return counts.groupBy("campo").agg(
-        F.min(value).alias("minimo"),
-        F.max(value).alias("maximo"),
-        F.round(F.sum(F.when(valid, value * n)) / F.sum(F.when(valid, n)), 2).alias("media_validos"),
+    """Observed range of each column and the mean of its valid values, side by side."""
+    rows = S.profile_columns(
+        df,
+        cols,
+        {
+            "minimo": F.min,
+            "maximo": F.max,
+            "_sum": lambda c: F.sum(F.when(F.col(c) > missing, F.col(c))),
+            "_n": lambda c: F.count_if(F.col(c) > missing),
+        },
     )
+    mean = F.round(F.try_divide(F.col("_sum"), F.col("_n")), 2)
+    return rows.select("campo", "minimo", "maximo", mean.alias("media_validos"))
 
 
 # -- uniqueness -------------------------------------------------------------

@@ -70,17 +70,36 @@ def grouped_value_counts(df: DataFrame, group: str, col: str, value: str = "valo
     return rows.groupBy(group, value).agg(F.count(F.lit(1)).alias("n"))
 
 
+# Cells over which the moments of a group are first taken, and copies of a small
+# row that meet the rows of one key, so that no key is one task's work.
+CELLS, COPIES = 256, 16
+# Parts of a band, and of a part of it, in the quantile search.
+PARTS = 1024
+
+
 def _attach(rows: DataFrame, small: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Join ``small``, derived from the same counts, back onto them.
+    """Join ``small`` onto a few rows per group; both sides are aggregates.
 
-    Keys compare null-safe: a null group finds itself, and no null filter is
-    inferred that would make two reads of one aggregate differ and run it twice.
+    Keys compare null-safe: a null group finds itself.
     """
     renamed = small.withColumnsRenamed({k: f"_key_{k}" for k in keys})
     same = reduce(and_, (F.col(k).eqNullSafe(F.col(f"_key_{k}")) for k in keys))
     return rows.join(renamed, same).drop(*[f"_key_{k}" for k in keys])
 
 
+def _copy_of(value: str) -> Column:
+    return F.pmod(F.xxhash64(value), F.lit(COPIES)).cast("int")
+
+
+def _meet(rows: DataFrame, few: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
+    """Join the value-level ``rows`` with a ``few`` rows per key, copied ``COPIES`` times.
+
+    The value picks the copy, so a key that holds most of the rows is shared out.
+    """
+    copied = few.withColumn("_copy", F.explode(F.sequence(F.lit(0), F.lit(COPIES - 1))))
+    return _attach(rows.withColumn("_copy", _copy_of(value)), copied, [*keys, "_copy"]).drop("_copy")
+
+
 def _band(value: str) -> Column:
     """Order-preserving band number: even steps near zero, then about 1 % per band.
 
@@ -91,6 +110,12 @@ def _band(value: str) -> Column:
     return F.floor(F.signum(F.col(value)) * size * F.lit(BANDS_PER_DOUBLING))
 
 
+def _part(value: str) -> Column:
+    """Which of ``PARTS`` even steps between ``_lo`` and ``_hi`` the value falls into."""
+    step = F.try_divide(F.col(value) - F.col("_lo"), F.col("_hi") - F.col("_lo"))
+    return F.least(F.coalesce(F.floor(step * PARTS), F.lit(0)), F.lit(PARTS - 1))
+
+
 Rank = Callable[[Column], Column]
 
 
@@ -99,35 +124,49 @@ def share(p: float) -> Rank:
     return lambda total: F.greatest(F.ceil(F.lit(p) * total), F.lit(1))
 
 
+def _sizes(rows: DataFrame, keys: Sequence[str], value: str, carry: Sequence[str] = ()) -> DataFrame:
+    kept = [F.first(c).alias(c) for c in carry]
+    extent = (F.min(value).alias("_lo"), F.max(value).alias("_hi"))
+    return rows.groupBy(*keys).agg(F.sum("n").alias("_size"), *extent, *kept)
+
+
+def _holding(sizes: DataFrame, within: Sequence[str], key: str, ranks: Mapping[str, Rank]) -> DataFrame:
+    """The cells that hold a wanted rank, with the rows before each. ``_start`` is where ``within`` begins."""
+    running = Window.partitionBy(*within).orderBy(key).rowsBetween(Window.unboundedPreceding, 0)
+    before = F.col("_start") + F.sum("_size").over(running) - F.col("_size")
+    placed = sizes.withColumn("_before", before)
+    total, end = F.col("_total"), F.col("_before") + F.col("_size")
+    holds = [(F.col("_before") < rank(total)) & (rank(total) <= end) for rank in ranks.values()]
+    return placed.where(reduce(or_, holds)).select(*within, key, "_before", "_total", "_lo", "_hi")
+
+
 def values_at(
     counts: DataFrame, ranks: Mapping[str, Rank], group: str = "traco", value: str = "valor"
 ) -> DataFrame:
     """Exact values at the given ranks of each group.
 
-    Totals per band place every band in the cumulative order, and only the few
-    bands that hold a wanted rank are ordered value by value. A window partition
-    holds one row per band of a group, or the distinct values of one band; never
-    the values, let alone the rows, of a whole group.
+    Totals per band place every band in the cumulative order. The few bands that hold
+    a wanted rank are cut into even parts between their least and greatest value, and
+    the parts that hold it once more, before values are ordered one by one. Windows run
+    over the bands of a group, the parts of a band, or the values of a part of a part;
+    no step gathers the values of a group or band.
     """
-    banded = counts.withColumn("_band", _band(value))
-    sizes = banded.groupBy(group, "_band").agg(F.sum("n").alias("_size"))
-    by_group = Window.partitionBy(group)
-    running = by_group.orderBy("_band").rowsBetween(Window.unboundedPreceding, 0)
-    bands = sizes.select(
-        group,
-        "_band",
-        (F.sum("_size").over(running) - F.col("_size")).alias("_before"),
-        "_size",
-        F.sum("_size").over(by_group).alias("_total"),
-    )
-    total, end = F.col("_total"), F.col("_before") + F.col("_size")
-    wanted = bands.where(
-        reduce(or_, ((F.col("_before") < rank(total)) & (rank(total) <= end) for rank in ranks.values()))
+    rows = counts.select(group, value, "n").withColumn("_band", _band(value))
+    sizes = _sizes(rows, [group, "_band"], value).withColumns(
+        {"_total": F.sum("_size").over(Window.partitionBy(group)), "_start": F.lit(0)}
     )
-    inner = Window.partitionBy(group, "_band").orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
-    ranked = _attach(banded, wanted, [group, "_band"]).withColumn(
+    wanted = _holding(sizes, [group], "_band", ranks)
+    path = [group, "_band"]
+    for level in ("_part", "_fine"):
+        rows = _meet(rows.select(*path, value, "n"), wanted, path, value).withColumn(level, _part(value))
+        sizes = _sizes(rows, [*path, level], value, ["_before", "_total"]).withColumnRenamed("_before", "_start")
+        wanted = _holding(sizes, path, level, ranks)
+        path = [*path, level]
+    inner = Window.partitionBy(*path).orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
+    ranked = _meet(rows.select(*path, value, "n"), wanted, path, value).withColumn(
         "_upto", F.col("_before") + F.sum("n").over(inner)
     )
+    total = F.col("_total")
     return ranked.groupBy(group).agg(
         *[
             F.min(F.when(F.col("_upto") >= rank(total), F.col(value))).alias(name)
@@ -143,25 +182,42 @@ def quantiles(
     return values_at(counts, {name: share(p) for name, p in probs.items()}, group, value)
 
 
-def moments(
-    counts: DataFrame, group: str = "traco", value: str = "valor", origin: float = 0.0
-) -> DataFrame:
-    """Count, mean, sample deviation and range. ``origin`` near the values keeps digits."""
-    n, off = F.col("n"), F.col(value) - F.lit(origin)
-    size, first, second = F.sum(n), F.sum(n * off), F.sum(n * off * off)
-    spread = F.greatest(second - first * first / size, F.lit(0.0))
-    return counts.groupBy(group).agg(
-        size.alias("n"),
-        (first / size + F.lit(origin)).alias("media"),
-        F.when(size > 1, F.sqrt(F.try_divide(spread, size - 1))).alias("desvio_padrao"),
-        F.min(value).alias("minimo"),
-        F.max(value).alias("maximo"),
+def moments(counts: DataFrame, group: str = "traco", value: str = "valor") -> DataFrame:
+    """Count, mean, sample deviation and range.
+
+    Deviations are taken from the mean of a cell, a share of the group's values chosen
+    by hash, and the cells are then combined by their means: no digits cancel, whatever
+    the size of the values.
+    """
+    n, x, keys = F.col("n"), F.col(value), [group, "_cell"]
+    cell = Window.partitionBy(*keys)
+    rows = counts.select(group, value, "n", F.pmod(F.xxhash64(value), F.lit(CELLS)).alias("_cell"))
+    rows = rows.withColumn("_mean", F.sum(n * x).over(cell) / F.sum(n).over(cell))
+    off = x - F.col("_mean")
+    cells = rows.groupBy(*keys).agg(
+        F.sum(n).alias("_n"),
+        F.max("_mean").alias("_mean"),
+        F.sum(n * off * off).alias("_spread"),
+        F.min(x).alias("minimo"),
+        F.max(x).alias("maximo"),
+    )
+    whole = Window.partitionBy(group)
+    size, mean = F.col("_n"), F.col("_mean")
+    cells = cells.withColumn("media", F.sum(size * mean).over(whole) / F.sum(size).over(whole))
+    away = mean - F.col("media")
+    total = F.sum(size)
+    return cells.groupBy(group).agg(
+        total.alias("n"),
+        F.max("media").alias("media"),
+        F.when(total > 1, F.sqrt(F.try_divide(F.sum(F.col("_spread") + size * away * away), total - 1))).alias(
+            "desvio_padrao"
+        ),
+        F.min("minimo").alias("minimo"),
+        F.max("maximo").alias("maximo"),
     )
 
 
-def summary(
-    counts: DataFrame, group: str = "traco", value: str = "valor", origin: float = 0.0
-) -> DataFrame:
+def summary(counts: DataFrame, group: str = "traco", value: str = "valor") -> DataFrame:
     """:func:`moments` with discrete quartiles and the interpolated median."""
     ranks = {
         "q25": share(0.25),
@@ -171,7 +227,7 @@ def summary(
         "_upper": lambda total: F.floor(total / 2) + 1,
     }
     placed = values_at(counts, ranks, group, value)
-    return _attach(placed, moments(counts, group, value, origin), [group]).select(
+    return _attach(placed, moments(counts, group, value), [group]).select(
         group,
         "n",
         "media",
@@ -205,16 +261,28 @@ def iqr_outliers(
             "limite_sup": F.round(F.col("q3") + spread, digits),
         }
     )
+    low, high = F.col("limite_inf"), F.col("limite_sup")
+    rows = counts.select(group, value, "n").withColumn("_band", _band(value))
+    bands = _attach(_sizes(rows, [group, "_band"], value), fences, [group])
+    least, most = F.round("_lo", digits), F.round("_hi", digits)
+    # A band beyond a fence counts whole; only those that a fence runs through are opened.
+    cut = ((least < low) & (most >= low)) | ((least <= high) & (most > high))
+    names = [group, "q1", "q3", "limite_inf", "limite_sup"]
+    whole = bands.select(
+        *names,
+        F.when(~cut & (most < low), F.col("_size")).otherwise(0).alias("_low"),
+        F.when(~cut & (least > high), F.col("_size")).otherwise(0).alias("_high"),
+    )
     x = F.round(F.col(value), digits)
-
-    def beyond(cond: Column) -> Column:
-        return F.sum(F.when(cond, F.col("n")).otherwise(0))
-
-    low, high = x < F.col("limite_inf"), x > F.col("limite_sup")
+    opened = _meet(rows, bands.where(cut).select(*names, "_band"), [group, "_band"], value).select(
+        *names,
+        F.when(x < low, F.col("n")).otherwise(0).alias("_low"),
+        F.when(x > high, F.col("n")).otherwise(0).alias("_high"),
+    )
     return (
-        _attach(counts, fences, [group])
-        .groupBy(group, "q1", "q3", "limite_inf", "limite_sup")
-        .agg(beyond(low).alias("n_low"), beyond(high).alias("n_high"), beyond(low | high).alias("n_total"))
+        whole.unionByName(opened)
+        .groupBy(*names)
+        .agg(F.sum("_low").alias("n_low"), F.sum("_high").alias("n_high"), F.sum(F.col("_low") + F.col("_high")).alias("n_total"))
     )
 
 

@@ -17,16 +17,17 @@ from pyspark.sql import functions as F
 from likertlake.functions.columns import PackedVector
 from likertlake.instrument import SHORT_FORM_27, Instrument
 from likertlake.operators import cleaning, ids, quality, star
-from likertlake.session import Workspace, application_id, tune
+from likertlake.session import Workspace, application_id
 from likertlake.sources import files, survey
 from likertlake.sources.tables import Layers
 
-BRONZE, SILVER = "respostas_brutas", "respostas"
+BRONZE, TYPED, SILVER = "respostas_brutas", "respostas_tipadas", "respostas"
 ITEMS, RESPONDENTS, PROFILES = "dim_item", "dim_respondente", "dim_perfil"
 RESPONSES, SCORES, CUTS = "fato_resposta_item", "fato_escore_respondente", "corte_traco"
 
 COMMENTS = {
     BRONZE: "Raw answers exactly as read, all text, with load time and source file.",
+    TYPED: "All answers as numbers, text that is none as null; nobody left out.",
     SILVER: "Valid respondents, one row each, answers as numbers in their original direction.",
     ITEMS: "What each question asks, which trait it counts for and in which direction.",
     RESPONDENTS: "Who answered: place and route of access, with the route spelled out.",
@@ -60,14 +61,14 @@ COLUMN_NOTES = {
     "corte": "75 % sample quantile, discrete",
 }
 
-# Rows per part of the respondent tables: enough small parts to use every core on
-# small data, large parts on large data, and never more buckets than Spark allows.
-SMALL_PART, LARGE_PART, MAX_PARTS = 20_000, 8_000_000, 50_000
+# Rows per range of the dense id: small ranges to use every core on small data, else
+# ranges that a task sorts in memory. Their number has no limit.
+SMALL_PART, LARGE_PART = 20_000, 8_000_000
 
 
-def part_count(rows: int, wanted: int) -> int:
+def range_parts(rows: int, wanted: int) -> int:
     small = max(1, math.ceil(rows / SMALL_PART))
-    return min(MAX_PARTS, max(math.ceil(rows / LARGE_PART), min(wanted, small)))
+    return max(math.ceil(rows / LARGE_PART), min(wanted, small))
 
 
 class Lake:
@@ -81,13 +82,19 @@ class Lake:
         spec: Instrument = SHORT_FORM_27,
         keep: Sequence[str] = (),
         names: Mapping[str, str] | None = None,
+        drop_out_of_domain: bool = False,
+        attach: bool = False,
     ) -> None:
         """``raw`` yields the text rows with lineage columns; ``order_by`` identifies a row.
 
         ``keep`` names order columns that stay in the silver table; ``names`` gives
-        tables other names than the defaults above.
+        tables other names than the defaults above. ``drop_out_of_domain`` also leaves
+        answers beyond the scale out of silver. With ``attach``, tables that exist are
+        taken as they are, and only missing ones are built. The session's settings are
+        left alone; ``session.tune`` has those that help.
         """
-        self.spark, self.raw, self.spec = tune(spark), raw, spec
+        self.spark, self.raw, self.spec = spark, raw, spec
+        self.drop_out_of_domain, self.attach = drop_out_of_domain, attach
         self.order_by, self.layers, self.work = list(order_by), layers, work
         self.keep, self.names = list(keep), dict(names or {})
         self._lock = threading.RLock()
@@ -97,51 +104,42 @@ class Lake:
         self._codebook: str | None = None
 
     def _table(
-        self, layer: str, name: str, build: Callable[[], DataFrame], bucketed: bool = False
+        self,
+        layer: str,
+        name: str,
+        build: Callable[[], DataFrame],
+        bucketed: bool = False,
+        partition_by: str | None = None,
     ) -> DataFrame:
         with self._lock:
             target = self.names.get(name, name)
-            if name in self._built and self.layers.exists(layer, target):
+            if (self.attach or name in self._built) and self.layers.exists(layer, target):
                 return self.layers.read(layer, target)
             df = build()
             notes = {c: COLUMN_NOTES[c] for c in df.columns if layer == "gold" and c in COLUMN_NOTES}
-            how = {"bucket_by": star.ID, "buckets": self._parts()} if bucketed else {}
-            saved = self.layers.save(df, layer, target, COMMENTS[name], notes, **how)
+            saved = self.layers.save(
+                df, layer, target, COMMENTS[name], notes, star.ID if bucketed else None, partition_by
+            )
             self._built.add(name)
             return saved
 
     def _parts(self) -> int:
-        """Parts for respondent tables; the raw rows are counted once, from file footers."""
+        """Ranges for the id; the raw rows are counted once, from file footers."""
         wanted = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
         bronze = self.bronze()
         if self._rows is None:
             self._rows = bronze.count()
-        return part_count(self._rows, wanted)
+        return range_parts(self._rows, wanted)
 
     # -- layers -------------------------------------------------------------
 
     def bronze(self) -> DataFrame:
-        fresh = BRONZE not in self._built
-        table = self._table("bronze", BRONZE, self.raw)
-        if fresh:
-            self._size_shuffles()
-        return table
-
-    def _size_shuffles(self) -> None:
-        """Let shuffles start with parts to match the data; adaptive execution merges small ones.
-
-        Only ever raises the number, and only beyond what the session asks for.
-        """
-        key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
-        wanted = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
-        now = int(self.spark.conf.get(key, None) or wanted)
-        if self._parts() > now:
-            self.spark.conf.set(key, str(self._parts()))
+        return self._table("bronze", BRONZE, self.raw)
 
     def typed(self) -> DataFrame:
-        """Bronze with numbers as numbers; a view, as diagnosis must not change data."""
+        """Bronze with numbers as numbers, written once: diagnosis reads it many times."""
         keep = [*self.order_by, files.INGESTED]
-        return cleaning.typed(self.bronze(), self.spec, keep)
+        return self._table("bronze", TYPED, lambda: cleaning.typed(self.bronze(), self.spec, keep))
 
     def silver(self) -> DataFrame:
         """Valid respondents with a dense id, bucketed on it.
@@ -151,19 +149,23 @@ class Lake:
         """
 
         def build() -> DataFrame:
-            parts, context = self._parts(), ["country", "source", files.INGESTED]
-            valid = cleaning.clean(self.typed(), self.spec)
+            context = [*self.spec.context, files.INGESTED]
+            valid = cleaning.clean(self.typed(), self.spec, self.drop_out_of_domain)
             answers = PackedVector(self.spec.item_ids, min(self.spec.lo, self.spec.missing), self.spec.hi)
             # Range partitioning samples its input in a pass of its own; written down,
             # that pass reads a few compact columns instead of cleaning twice.
-            slim = self.work.cut(answers.pack(valid, [*self.order_by, *context]), "valid")
-            numbered = ids.dense_id(slim, self.order_by, self.work, parts, star.ID)
+            slim = staging.cut(answers.pack(valid, [*self.order_by, *context]), "valid")
+            numbered = ids.dense_id(slim, self.order_by, staging, self._parts(), star.ID)
             placed = numbered.select(star.ID, *answers.names, *context, *self.keep)
-            return placed.repartition(parts, star.ID).select(
+            return placed.repartition(self.layers.buckets, star.ID).select(
                 star.ID, *answers.unpack(), *context, *self.keep
             )
 
-        return self._table("silver", SILVER, build, bucketed=True)
+        staging = self.work.inner("staging")
+        try:
+            return self._table("silver", SILVER, build, bucketed=True)
+        finally:
+            staging.drop()
 
     def items(self) -> DataFrame:
         return self._table("gold", ITEMS, lambda: star.dim_item(self.spark, self.spec).coalesce(1))
@@ -177,7 +179,12 @@ class Lake:
         )
 
     def responses(self) -> DataFrame:
-        return self._table("gold", RESPONSES, lambda: star.response_facts(self.silver(), self.spec))
+        """The long facts, a folder for each trait and bucketed inside: a panel reads its
+        trait only, and grouping by respondent does not shuffle."""
+        facts = self._table(
+            "gold", RESPONSES, lambda: star.response_facts(self.silver(), self.spec), True, partition_by="traco"
+        )
+        return facts.select(star.ID, "id_item", "traco", "resposta_original", "resposta_corrigida")
 
     def cuts(self) -> DataFrame:
         def build() -> DataFrame:
@@ -262,12 +269,34 @@ def file_lake(
     layers: Layers,
     spec: Instrument = SHORT_FORM_27,
     names: Mapping[str, str] | None = None,
+    corrupt_column: str | None = None,
+    drop_out_of_domain: bool = False,
 ) -> Lake:
-    """The lake over landed tab-separated files, numbered in file and line order."""
+    """The lake over landed tab-separated files, numbered in file and line order.
+
+    Bronze has the columns that the header names, also those beyond the instrument.
+    With ``corrupt_column`` lines of the wrong width keep their raw text there.
+    """
 
     def raw() -> DataFrame:
-        scan = files.read_delimited(spark, path, spec.raw_columns)
+        scan = files.read_delimited(spark, path, corrupt_column=corrupt_column)
+        if absent := set(spec.raw_columns) - set(scan.columns):
+            raise ValueError(f"the header lacks {sorted(absent)}")
         return files.with_file_order(files.with_lineage(scan))
 
     work = Workspace(spark, "files")
-    return Lake(spark, raw, files.FILE_ORDER, layers, work, spec, names=names)
+    return Lake(spark, raw, files.FILE_ORDER, layers, work, spec, names=names, drop_out_of_domain=drop_out_of_domain)
+
+
+def open_lake(
+    spark: SparkSession,
+    layers: Layers,
+    spec: Instrument = SHORT_FORM_27,
+    names: Mapping[str, str] | None = None,
+) -> Lake:
+    """The lake of tables that an earlier run has written; nothing is ingested."""
+
+    def raw() -> DataFrame:
+        raise LookupError("these layers hold no raw answers")
+
+    return Lake(spark, raw, files.FILE_ORDER, layers, Workspace(spark, "open"), spec, names=names, attach=True)

@@ -8,10 +8,76 @@ rounded half-up in exact integer arithmetic.
 
 from __future__ import annotations
 
-from likertlake.instrument import SHORT_FORM_27 as SPEC
-from likertlake.plans.lake import COLUMN_NOTES, COMMENTS
-
-ITEMS = SPEC.item_ids
+from typing import NamedTuple
+
+# The published questionnaire and data catalogue, written down here
+# independently of the operators. Item, trait, wording, reversed.
+QUESTIONS = [
+    ("M1", "Maquiavelismo", "It's not wise to tell your secrets.", False),
+    ("M2", "Maquiavelismo", "I like to use clever manipulation to get my way.", False),
+    ("M3", "Maquiavelismo", "Whatever it takes, you must get the important people on your side.", False),
+    ("M4", "Maquiavelismo", "Avoid direct conflict with others because they may be useful in the future.", False),
+    ("M5", "Maquiavelismo", "It's wise to keep track of information that you can use against people later.", False),
+    ("M6", "Maquiavelismo", "You should wait for the right time to get back at people.", False),
+    ("M7", "Maquiavelismo", "There are things you should hide from other people because they don't need to know.", False),
+    ("M8", "Maquiavelismo", "Make sure your plans benefit you, not others.", False),
+    ("M9", "Maquiavelismo", "Most people can be manipulated.", False),
+    ("N1", "Narcisismo", "People see me as a natural leader.", False),
+    ("N2", "Narcisismo", "I hate being the center of attention.", True),
+    ("N3", "Narcisismo", "Many group activities tend to be dull without me.", False),
+    ("N4", "Narcisismo", "I know that I am special because everyone keeps telling me so.", False),
+    ("N5", "Narcisismo", "I like to get acquainted with important people.", False),
+    ("N6", "Narcisismo", "I feel embarrassed if someone compliments me.", True),
+    ("N7", "Narcisismo", "I have been compared to famous people.", False),
+    ("N8", "Narcisismo", "I am an average person.", True),
+    ("N9", "Narcisismo", "I insist on getting the respect I deserve.", False),
+    ("P1", "Psicopatia", "I like to get revenge on authorities.", False),
+    ("P2", "Psicopatia", "I avoid dangerous situations.", True),
+    ("P3", "Psicopatia", "Payback needs to be quick and nasty.", False),
+    ("P4", "Psicopatia", "People often say I'm out of control.", False),
+    ("P5", "Psicopatia", "It's true that I can be mean to others.", False),
+    ("P6", "Psicopatia", "People who mess with me always regret it.", False),
+    ("P7", "Psicopatia", "I have never gotten into trouble with the law.", True),
+    ("P8", "Psicopatia", "I enjoy having sex with people I hardly know.", False),
+    ("P9", "Psicopatia", "I'll say anything to get what I want.", False),
+]
+PROFILES = [
+    "Nenhum traço elevado", "Apenas psicopatia", "Apenas narcisismo",
+    "Narcisismo + psicopatia", "Apenas maquiavelismo", "Maquiavelismo + psicopatia",
+    "Maquiavelismo + narcisismo", "Tríade completa",
+]
+TABLE_NOTES = {
+    "dim_item": "What each question asks, which trait it counts for and in which direction.",
+    "dim_respondente": "Who answered: place and route of access, with the route spelled out.",
+    "dim_perfil": "Names of the possible sets of elevated traits.",
+    "fato_resposta_item": "One row per respondent and question, before and after reverse coding.",
+    "fato_escore_respondente": "Trait scores of each respondent, which of them are elevated, and the profile.",
+    "corte_traco": "Score of each trait that three quarters of the respondents do not exceed.",
+    "respostas_brutas": "Raw answers exactly as read, all text, with load time and source file.",
+    "respostas_tipadas": "All answers as numbers, text that is none as null; nobody left out.",
+    "respostas": "Valid respondents, one row each, answers as numbers in their original direction.",
+}
+
+
+class Trait(NamedTuple):
+    label: str
+    slug: str
+    item_ids: list[str]
+
+    @property
+    def score_column(self) -> str:
+        return f"escore_{self.slug}"
+
+    @property
+    def flag_column(self) -> str:
+        return f"elevado_{self.slug}"
+
+
+TRAITS = [
+    Trait(label, label.lower(), [i for i, trait, _, _ in QUESTIONS if trait == label])
+    for label in ("Maquiavelismo", "Narcisismo", "Psicopatia")
+]
+ITEMS = [q[0] for q in QUESTIONS]
 LIST = ", ".join(ITEMS)
 
 
@@ -29,10 +95,10 @@ def _bump(j: int) -> str:
 
 
 def _item(j: int) -> str:
-    trait, item = divmod(j, 9)
+    trait = j // 9
     bias = f"({_h(600 + j)} % 2)" if trait == 0 else "0"
     value = f"least(5, greatest(1, 3 + {bias} + {_bump(100)} + {_bump(101 + trait)} + ({_h(j)} % 3 - 1)))"
-    if SPEC.traits[trait].items[item].reversed:
+    if QUESTIONS[j][3]:
         value = f"(6 - {value})"
     return f"""CASE WHEN {_h(300)} % 500 = 0 THEN cast(k % 6 AS varchar)
         WHEN {_h(200)} % 40 = 0 AND {_h(201)} % 27 = {j} THEN '0'
@@ -68,9 +134,8 @@ _PARTS: list[tuple[str, str, tuple[str, ...]]] = [
         "items",
         "SELECT * FROM (VALUES "
         + ", ".join(
-            f"({_text(i.id)}, {_text(t.label)}, {_text(i.text)}, {str(i.reversed).lower()})"
-            for t in SPEC.traits
-            for i in t.items
+            f"({_text(i)}, {_text(t)}, {_text(wording)}, {str(turned).lower()})"
+            for i, t, wording, turned in QUESTIONS
         )
         + ") v(id_item, traco, texto_item, invertido)",
         (),
@@ -79,7 +144,7 @@ _PARTS: list[tuple[str, str, tuple[str, ...]]] = [
         "profiles",
         "SELECT * FROM (VALUES "
         + ", ".join(
-            f"({c}, {_text(label)}, {bin(c).count('1')})" for c, label in enumerate(SPEC.profile_labels)
+            f"({c}, {_text(label)}, {bin(c).count('1')})" for c, label in enumerate(PROFILES)
         )
         + ") v(id_perfil, descricao_perfil, qtd_tracos_elevados)",
         (),
@@ -97,7 +162,7 @@ _PARTS: list[tuple[str, str, tuple[str, ...]]] = [
         "SELECT id_respondente, "
         + ", ".join(
             f"round(avg(resposta_corrigida) FILTER (WHERE traco = '{t.label}'), 4) AS {t.score_column}"
-            for t in SPEC.traits
+            for t in TRAITS
         )
         + " FROM answers GROUP BY id_respondente",
         ("answers",),
@@ -105,14 +170,14 @@ _PARTS: list[tuple[str, str, tuple[str, ...]]] = [
     (
         "cuts",
         "SELECT "
-        + ", ".join(f"quantile_disc({t.score_column}, 0.75) AS {t.slug}" for t in SPEC.traits)
+        + ", ".join(f"quantile_disc({t.score_column}, 0.75) AS {t.slug}" for t in TRAITS)
         + " FROM scores",
         ("scores",),
     ),
     (
         "flags",
         "SELECT s.*, "
-        + ", ".join(f"{t.score_column} > (SELECT {t.slug} FROM cuts) AS {t.flag_column}" for t in SPEC.traits)
+        + ", ".join(f"{t.score_column} > (SELECT {t.slug} FROM cuts) AS {t.flag_column}" for t in TRAITS)
         + " FROM scores s",
         ("scores", "cuts"),
     ),
@@ -126,7 +191,7 @@ _PARTS: list[tuple[str, str, tuple[str, ...]]] = [
         "long_scores",
         " UNION ALL ".join(
             f"SELECT '{t.label}' AS traco, {t.score_column} AS valor, {t.flag_column} AS elevado FROM facts"
-            for t in SPEC.traits
+            for t in TRAITS
         ),
         ("facts",),
     ),
@@ -137,7 +202,7 @@ _PARTS: list[tuple[str, str, tuple[str, ...]]] = [
             "round(list_sum([x FOR x IN [{0}] IF x > 0]) / len([x FOR x IN [{0}] IF x > 0]), 9) AS {1}".format(
                 ", ".join(t.item_ids), t.slug
             )
-            for t in SPEC.traits
+            for t in TRAITS
         )
         + " FROM typed",
         ("typed",),
@@ -146,7 +211,7 @@ _PARTS: list[tuple[str, str, tuple[str, ...]]] = [
         "long_provisional",
         " UNION ALL ".join(
             f"SELECT '{t.slug}' AS traco, {t.slug} AS valor FROM provisional WHERE {t.slug} IS NOT NULL"
-            for t in SPEC.traits
+            for t in TRAITS
         ),
         ("provisional",),
     ),
@@ -248,21 +313,29 @@ def all_oracles() -> dict[str, str]:
     blanks = "(" + " + ".join(f"cast(coalesce({c} = 0, false) AS integer)" for c in ITEMS) + ")"
     distinct = f"len(list_distinct([{LIST}])) + (CASE WHEN {nulls} > 0 THEN 1 ELSE 0 END)"
     wild = "(" + " OR ".join(f"{c} > 5 OR {c} < 0" for c in ITEMS) + ")"
-    M, N, P = SPEC.score_columns
-    fM, fN, fP = SPEC.flag_columns
+    M, N, P = (t.score_column for t in TRAITS)
+    fM, fN, fP = (t.flag_column for t in TRAITS)
     scores = f"id_respondente, {M}, {N}, {P}"
     answers = "id_respondente, id_item, traco, resposta_original, resposta_corrigida"
     n_facts = "(SELECT count(*) FROM facts)"
-    tables = {
-        "dim_item": ("items", 4),
-        "dim_respondente": ("respondents", 5),
-        "dim_perfil": ("profiles", 3),
-        "fato_resposta_item": ("answers", 5),
-        "fato_escore_respondente": ("facts", 8),
+    tables = {  # the part with as many rows, and the layer and columns of the table
+        "respostas_brutas": ("survey", "bronze", 32),
+        "respostas_tipadas": ("survey", "bronze", 31),
+        "respostas": ("silver", "silver", 32),
+        "dim_item": ("items", "gold", 4),
+        "dim_respondente": ("respondents", "gold", 5),
+        "dim_perfil": ("profiles", "gold", 3),
+        "fato_resposta_item": ("answers", "gold", 5),
+        "fato_escore_respondente": ("facts", "gold", 8),
+        "corte_traco": ("(SELECT unnest([1, 2, 3]))", "gold", 2),
     }
     fact_types = [("id_respondente", "bigint")]
-    fact_types += [(c, "double") for c in SPEC.score_columns]
-    fact_types += [(c, "boolean") for c in SPEC.flag_columns] + [("id_perfil", "int")]
+    fact_types += [(c, "double") for c in (M, N, P)]
+    fact_types += [(c, "boolean") for c in (fM, fN, fP)] + [("id_perfil", "int")]
+    score_note = "mean corrected answer, four decimals"
+    fact_notes = {"id_respondente": "dense number, 1 to the row count"} | dict.fromkeys((M, N, P), score_note)
+    fact_notes |= dict.fromkeys((fM, fN, fP), "score strictly above the cut")
+    fact_notes["id_perfil"] = "elevated traits as bits, first trait highest"
 
     return {
         "lineage_columns": "SELECT 'orders.parquet' AS arquivo, count(*) AS registros, count(*) AS com_data FROM orders",
@@ -378,7 +451,7 @@ def all_oracles() -> dict[str, str]:
         "gold_score_summary": _summary("long_scores", "long_scores"),
         "cutoffs": _with(
             "cuts",
-            " UNION ALL ".join(f"SELECT '{t.label}' AS traco, {t.slug} AS corte FROM cuts" for t in SPEC.traits),
+            " UNION ALL ".join(f"SELECT '{t.label}' AS traco, {t.slug} AS corte FROM cuts" for t in TRAITS),
         ),
         "score_profiles": _with("facts", f"SELECT {scores}, {fM}, {fN}, {fP}, id_perfil FROM facts"),
         "trait_descriptives": _with(
@@ -412,8 +485,8 @@ def all_oracles() -> dict[str, str]:
                 f"SELECT 'Elevado em {a.slug} → também em {b.slug}' AS relacao, "
                 + _pct(f"count(*) FILTER (WHERE {b.flag_column})", "count(*)")
                 + f" AS pct FROM facts WHERE {a.flag_column}"
-                for i, a in enumerate(SPEC.traits)
-                for b in SPEC.traits[i + 1 :]
+                for i, a in enumerate(TRAITS)
+                for b in TRAITS[i + 1 :]
             ),
         ),
         "trait_correlation": _with(
@@ -421,17 +494,17 @@ def all_oracles() -> dict[str, str]:
             " UNION ALL ".join(
                 f"SELECT '{a.label} × {b.label}' AS par_de_tracos, "
                 f"{_corr(a.score_column, b.score_column)} AS correlacao FROM scores"
-                for i, a in enumerate(SPEC.traits)
-                for b in SPEC.traits[i + 1 :]
+                for i, a in enumerate(TRAITS)
+                for b in TRAITS[i + 1 :]
             ),
         ),
         "correlation_matrix": _with(
             "scores",
             " UNION ALL ".join(
                 f"SELECT '{a.label}' AS traco, "
-                + ", ".join(f"{_corr(a.score_column, b.score_column)} AS {b.label}" for b in SPEC.traits)
+                + ", ".join(f"{_corr(a.score_column, b.score_column)} AS {b.label}" for b in TRAITS)
                 + " FROM scores"
-                for a in SPEC.traits
+                for a in TRAITS
             ),
         ),
         "profile_distribution": _with(
@@ -464,6 +537,17 @@ def all_oracles() -> dict[str, str]:
         "tsv_roundtrip": _with(
             "survey", f"SELECT cast(src_row AS varchar) AS src_row, {LIST}, nullif(country, '') AS country, source FROM survey"
         ),
+        "text_head": _with(
+            "typed",
+            "SELECT concat_ws(chr(9), campo, lo, hi, mean) AS linha FROM ("
+            + " UNION ALL ".join(
+                f"SELECT '{c}' AS campo, min({c}) AS lo, max({c}) AS hi, "
+                + _mean2(f"sum({c}) FILTER (WHERE {c} > 0)", f"count(*) FILTER (WHERE {c} > 0)")
+                + " AS mean FROM typed"
+                for c in ("M1", "M2", "M3")
+            )
+            + ")",
+        ),
         "whole_text": _with(
             "typed",
             "SELECT string_agg(concat_ws(chr(9), campo, lo, hi, mean), chr(10) ORDER BY campo) || chr(10) AS texto FROM ("
@@ -475,17 +559,17 @@ def all_oracles() -> dict[str, str]:
             + ")",
         ),
         "catalog_listing": _with(
-            " ".join(part for part, _ in tables.values()),
+            " ".join(part for part, _, _ in tables.values() if part in _NEEDS),
             " UNION ALL ".join(
-                f"SELECT '{name}' AS tabela, count(*) AS registros, {width} AS colunas, "
-                f"{_text(COMMENTS[name])} AS comentario FROM {part}"
-                for name, (part, width) in tables.items()
+                f"SELECT '{layer}' AS camada, '{name}' AS tabela, count(*) AS registros, {width} AS colunas, "
+                f"{_text(TABLE_NOTES[name])} AS comentario FROM {part}"
+                for name, (part, layer, width) in tables.items()
             ),
         ),
         "table_description": _with(
             "facts",
             " UNION ALL ".join(
-                f"SELECT '{c}' AS campo, '{kind}' AS tipo, {_text(COLUMN_NOTES[c])} AS descricao, "
+                f"SELECT '{c}' AS campo, '{kind}' AS tipo, {_text(fact_notes[c])} AS descricao, "
                 f"count({c}) AS preenchidos, cast(min({c}) AS varchar) AS minimo, "
                 f"cast(max({c}) AS varchar) AS maximo FROM facts"
                 for c, kind in fact_types
@@ -493,6 +577,12 @@ def all_oracles() -> dict[str, str]:
         ),
         "iqr_outliers_price": "WITH prices AS (SELECT l_returnflag, l_extendedprice AS valor FROM lineitem "
         "WHERE l_extendedprice IS NOT NULL) " + _outliers("l_returnflag", "prices", 6),
+        "price_summary": """SELECT l_returnflag, count(l_extendedprice) AS n, round(avg(l_extendedprice), 4) AS media,
+        round(stddev_samp(l_extendedprice), 4) AS desvio_padrao, min(l_extendedprice) AS minimo,
+        quantile_disc(l_extendedprice, 0.25) AS q25, quantile_disc(l_extendedprice, 0.5) AS q50,
+        quantile_disc(l_extendedprice, 0.75) AS q75, max(l_extendedprice) AS maximo,
+        round(median(l_extendedprice), 4) AS mediana
+        FROM lineitem WHERE l_extendedprice IS NOT NULL GROUP BY l_returnflag""",
         "correlation_lineitem": " UNION ALL ".join(
             f"SELECT '{a} × {b}' AS par, {_corr(a, b)} AS correlacao FROM lineitem"
             for a, b in (
@@ -503,6 +593,6 @@ def all_oracles() -> dict[str, str]:
         ),
         "missing_events": " UNION ALL ".join(
             f"SELECT '{c}' AS campo, count(*) FILTER (WHERE {c} IS NULL) AS nulos, count(*) AS total FROM events"
-            for c in ("user_id", "event_type", "value", "props")
+            for c in ("event_id", "ts", "user_id", "event_type", "value", "props")
         ),
     }

@@ -18,6 +18,7 @@ from likertlake.plans import lake as L
 from likertlake.plans.lake import Lake, derived_lake
 from likertlake.sources import files
 from likertlake.sources.survey import KEY
+from likertlake.sources.tables import LAYERS
 
 Query = Callable[[SparkSession, str], DataFrame]
 ITEMS = SPEC.item_ids
@@ -59,10 +60,10 @@ def typed_survey(lake: Lake) -> DataFrame:
 @_on_lake
 def typed_view(lake: Lake) -> DataFrame:
     """SQL over the typed rows through a session view; nothing is written."""
-    lake.layers.view(lake.typed(), "respostas_tipadas")
+    lake.layers.view(lake.typed(), "sessao_tipada")
     return lake.spark.sql("""
         SELECT source, count(*) AS registros, count(country) AS com_pais, max(M1) AS maior_m1
-        FROM respostas_tipadas GROUP BY source
+        FROM sessao_tipada GROUP BY source
     """)
 
 
@@ -78,7 +79,7 @@ def blank_count_histogram(lake: Lake) -> DataFrame:
 
 @_on_lake
 def context_missing(lake: Lake) -> DataFrame:
-    return quality.context_missing(lake.bronze())
+    return quality.context_missing(lake.bronze(), SPEC)
 
 
 @_on_lake
@@ -128,7 +129,7 @@ def _six_digits(summary: DataFrame) -> DataFrame:
 
 @_on_lake
 def score_summary(lake: Lake) -> DataFrame:
-    return _six_digits(S.summary(quality.provisional_counts(lake.typed(), SPEC), origin=SPEC.midpoint))
+    return _six_digits(S.summary(quality.provisional_counts(lake.typed(), SPEC)))
 
 
 @_on_lake
@@ -211,7 +212,7 @@ def responses_by_dimension(lake: Lake) -> DataFrame:
 
 @_on_lake
 def reverse_audit(lake: Lake) -> DataFrame:
-    return star.reverse_audit(lake.responses())
+    return star.reverse_audit(lake.silver(), SPEC)
 
 
 @_on_lake
@@ -226,7 +227,7 @@ def trait_scores_pivot(lake: Lake) -> DataFrame:
 
 @_on_lake
 def gold_score_summary(lake: Lake) -> DataFrame:
-    return _six_digits(S.summary(star.score_counts(lake.scores(), SPEC), origin=SPEC.midpoint))
+    return _six_digits(S.summary(star.score_counts(lake.scores(), SPEC)))
 
 
 @_on_lake
@@ -343,9 +344,8 @@ def tsv_roundtrip(lake: Lake) -> DataFrame:
 
 @_on_lake
 def text_head(lake: Lake) -> DataFrame:
-    listing = lake.spark.read.format("binaryFile").load(lake.landed()).select("path")
-    first = listing.agg(F.min("path")).first()[0]
-    return files.text_head(lake.spark, first)
+    """The first lines of the codebook, which is one file."""
+    return files.text_head(lake.spark, lake.codebook())
 
 
 @_on_lake
@@ -360,9 +360,10 @@ def file_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_on_lake
 def catalog_listing(lake: Lake) -> DataFrame:
+    """Every table of every layer, as the catalogue lists them."""
     lake.gold()
-    tables = [L.ITEMS, L.RESPONDENTS, L.PROFILES, L.RESPONSES, L.SCORES]
-    return lake.layers.profile("gold", tables)
+    bronze, silver, gold = map(lake.layers.profile, LAYERS)
+    return bronze.unionByName(silver).unionByName(gold)
 
 
 @_on_lake
@@ -382,6 +383,13 @@ def iqr_outliers_price(spark: SparkSession, sf_dir: str) -> DataFrame:
     return S.iqr_outliers(counts, "l_returnflag", digits=6)
 
 
+@_on_tables
+def price_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    counts = S.grouped_value_counts(lines, "l_returnflag", "l_extendedprice")
+    return S.summary(counts, "l_returnflag").withColumns({c: F.round(c, 4) for c in ("media", "desvio_padrao", "mediana")})
+
+
 @_on_tables
 def correlation_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
@@ -396,9 +404,8 @@ def correlation_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_on_tables
 def missing_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = spark.read.parquet(f"{sf_dir}/events.parquet")
-    cols = ["user_id", "event_type", "value", "props"]
     nulls = {"nulos": lambda c: F.count_if(F.col(c).isNull())}
-    return S.profile_columns(events, cols, nulls, total="total")
+    return S.profile_columns(events, events.columns, nulls, total="total")
 
 
 def all_queries() -> dict[str, Query]:

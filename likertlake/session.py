@@ -78,6 +78,17 @@ class Workspace:
     def path(self, name: str) -> str:
         return f"{self.root}/{name}-{uuid.uuid4().hex[:8]}"
 
+    def inner(self, name: str) -> Workspace:
+        """A folder below this one, to be dropped as a whole."""
+        space = Workspace(self.spark, name)
+        space.root = f"{self.root}/{space.root.rsplit('/', 1)[-1]}"
+        return space
+
+    def drop(self) -> None:
+        """Delete the folder with all that was cut there."""
+        at = self.spark._jvm.org.apache.hadoop.fs.Path(self.root)
+        at.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf()).delete(at, True)
+
     def cut(self, df: DataFrame, name: str) -> DataFrame:
         """Write ``df`` and return a scan of the written files.
 

@@ -16,16 +16,19 @@ FILE_ORDER = (ORIGIN, BLOCK, LINE)
 def read_delimited(
     spark: SparkSession,
     path: str | Sequence[str],
-    columns: Sequence[str],
+    columns: Sequence[str] | None = None,
     sep: str = "\t",
     corrupt_column: str | None = None,
 ) -> DataFrame:
     """Delimited file with a header, every column as text.
 
-    The schema is given, so nothing is inferred and no extra pass is made; the
-    header must agree with it. With ``corrupt_column`` rows of the wrong width are
-    kept there as raw text instead of being padded or cut in silence.
+    ``columns`` must agree with the header; without them the header names the columns,
+    which costs a look at the first line. Nothing is inferred from the rows. With
+    ``corrupt_column`` rows of the wrong width are kept there as raw text instead of
+    being padded or cut in silence.
     """
+    if columns is None:
+        columns = spark.read.option("header", True).option("sep", sep).csv(path if isinstance(path, str) else list(path)).columns
     fields = [T.StructField(c, T.StringType()) for c in columns]
     reader = spark.read.option("header", True).option("sep", sep).option("enforceSchema", False)
     if corrupt_column:

@@ -19,13 +19,21 @@ class Layers:
 
     ``location`` puts the managed tables of every layer below one shared folder;
     without it they go to the warehouse of the session. ``fmt`` is any table
-    format the session knows; bucketing applies to file formats only.
+    format the session knows. ``buckets`` is the number of files that tables of
+    respondents are dealt to by id, so that they join without a shuffle; choose it for
+    the data to come, some 10 million respondents in each. Delta tables have no buckets:
+    they are clustered by the id instead, and their joins do shuffle.
     """
 
     def __init__(
-        self, spark: SparkSession, prefix: str = "", location: str | None = None, fmt: str = "parquet"
+        self,
+        spark: SparkSession,
+        prefix: str = "",
+        location: str | None = None,
+        fmt: str = "parquet",
+        buckets: int = 8,
     ) -> None:
-        self.spark, self.prefix, self.fmt = spark, prefix, fmt
+        self.spark, self.prefix, self.fmt, self.buckets = spark, prefix, fmt, buckets
         for layer in LAYERS:
             at = f" LOCATION {_quoted(f'{location}/{layer}')}" if location else ""
             spark.sql(f"CREATE SCHEMA IF NOT EXISTS {self.schema(layer)}{at}")
@@ -50,7 +58,7 @@ class Layers:
         comment: str = "",
         columns: Mapping[str, str] | None = None,
         bucket_by: str | None = None,
-        buckets: int = 0,
+        partition_by: str | None = None,
     ) -> DataFrame:
         """Replace the table and its schema, then document it."""
         notes = dict(columns or {})
@@ -61,10 +69,14 @@ class Layers:
             ]
         )
         writer = noted.write.format(self.fmt).mode("overwrite")
+        if partition_by:
+            writer = writer.partitionBy(partition_by)
         if self.fmt == "delta":
             writer = writer.option("overwriteSchema", "true")
-        elif bucket_by and buckets:
-            writer = writer.bucketBy(buckets, bucket_by).sortBy(bucket_by)
+            if bucket_by and not partition_by:
+                writer = writer.clusterBy(bucket_by)
+        elif bucket_by:
+            writer = writer.bucketBy(self.buckets, bucket_by).sortBy(bucket_by)
         writer.saveAsTable(self.name(layer, table))
         if comment:
             self.comment(layer, table, comment)
@@ -84,13 +96,14 @@ class Layers:
         df.createOrReplaceTempView(name)
         return self.spark.table(name)
 
-    def profile(self, layer: str, tables: list[str]) -> DataFrame:
-        """Rows, columns and comment of each table."""
+    def profile(self, layer: str) -> DataFrame:
+        """Rows, columns and comment of each table that the catalogue lists."""
         out = None
-        for table in tables:
+        for table in sorted(r.tableName for r in self.listing(layer).where("not isTemporary").collect()):
             df = self.read(layer, table)
             note = self.spark.catalog.getTable(self.name(layer, table)).description or ""
             row = df.agg(F.count(F.lit(1)).alias("registros")).select(
+                F.lit(layer).alias("camada"),
                 F.lit(table).alias("tabela"),
                 "registros",
                 F.lit(len(df.columns)).alias("colunas"),
@@ -100,8 +113,13 @@ class Layers:
         return out
 
     def column_catalogue(self, layer: str, table: str) -> DataFrame:
-        """Type, description and observed domain of every column of a table."""
+        """Type and description as the catalogue has them, and observed domain of each column."""
         df = self.read(layer, table)
+        known = self.spark.sql(f"DESCRIBE TABLE {self.name(layer, table)}").where("data_type <> '' AND col_name NOT LIKE '#%'")
+        # Partition columns are listed twice.
+        known = known.distinct().select(
+            F.col("col_name").alias("campo"), F.col("data_type").alias("tipo"), F.coalesce("comment", F.lit("")).alias("descricao")
+        )
         shown = df.select(*[F.col(c).alias(c) for c in df.columns])
         aggs = [
             x
@@ -117,12 +135,11 @@ class Layers:
             for f in df.schema.fields
             for x in (
                 F.lit(f.name),
-                F.lit(f.dataType.simpleString()),
-                F.lit(f.metadata.get("comment", "")),
                 F.col(f"{f.name}__n"),
                 F.col(f"{f.name}__lo"),
                 F.col(f"{f.name}__hi"),
             )
         ]
-        names = ("campo", "tipo", "descricao", "preenchidos", "minimo", "maximo")
-        return shown.agg(*aggs).select(F.stack(F.lit(len(df.columns)), *cells).alias(*names))
+        names = ("campo", "preenchidos", "minimo", "maximo")
+        domain = shown.agg(*aggs).select(F.stack(F.lit(len(df.columns)), *cells).alias(*names))
+        return known.join(domain, "campo").select("campo", "tipo", "descricao", "preenchidos", "minimo", "maximo")

@@ -8,7 +8,7 @@ import pytest
 
 from likertlake.instrument import Instrument, Item, Trait
 from likertlake.operators import analysis, quality
-from likertlake.plans.lake import SILVER, file_lake
+from likertlake.plans.lake import SILVER, file_lake, open_lake
 from likertlake.sources.tables import Layers
 
 SPEC = Instrument(
@@ -76,6 +76,35 @@ def test_tables_can_be_named(own):
     assert own.layers.read("silver", "valid_answers").count() == 4
 
 
+def test_other_context_columns(spark):
+    """No place and no route code, a column more in the file, lines of the wrong width kept."""
+    spec = Instrument(traits=SPEC.traits, lo=0, hi=10, missing=-1, context=("age",), place=None, origin=None)
+    folder = tempfile.mkdtemp(prefix="run-", dir="/tmp")
+    with open(os.path.join(folder, "data.csv"), "w", encoding="utf-8") as f:
+        f.write("a1\ta2\textra\tb1\tb2\tb3\tage\n10\t0\tx\t1\t2\t4\t 31 \n5\t4\ty\t0\t0\t0\t\n1\t2\n")
+    layers = Layers(spark, prefix=f"t{uuid.uuid4().hex[:8]}_", location=f"{folder}/tables")
+    lake = file_lake(spark, os.path.join(folder, "data.csv"), layers, spec, corrupt_column="_bad")
+    lake.gold()
+    bronze = lake.bronze()
+    assert [r.extra for r in bronze.where("_bad IS NULL").orderBy("extra").collect()] == ["x", "y"]
+    assert [r._bad for r in bronze.where("_bad IS NOT NULL").collect()] == ["1\t2"]
+    assert lake.respondents().columns == ["id_respondente", "age", "data_ingestao"]
+    assert [r.age for r in lake.silver().orderBy("id_respondente").collect()] == ["31", None]
+    assert quality.context_missing(bronze, spec).first().age_ausente == 2
+    shares = {r.descricao_perfil: r.qtd_respondentes for r in analysis.profile_distribution(lake.scores(), lake.profiles()).collect()}
+    assert sum(shares.values()) == 2
+
+
+def test_an_existing_lake_is_opened(own, spark):
+    own.gold()
+    before = {t: own.layers.read("gold", t).inputFiles() for t in ("fato_escore_respondente", "dim_perfil")}
+    again = open_lake(spark, own.layers, SPEC, names={SILVER: "valid_answers"})
+    assert analysis.profile_distribution(again.scores(), again.profiles()).collect()
+    assert {t: own.layers.read("gold", t).inputFiles() for t in before} == before
+    with pytest.raises(LookupError):
+        open_lake(spark, Layers(spark, prefix=f"t{uuid.uuid4().hex[:8]}_"), SPEC).bronze()
+
+
 def test_quality(own):
     missing = {r.campo: (r.nulos, r.zeros) for r in quality.missing_profile(own.typed(), SPEC.item_ids, SPEC.missing).collect()}
     assert missing["a1"] == (0, 1) and missing["a2"] == (0, 0)

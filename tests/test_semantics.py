@@ -157,10 +157,45 @@ def test_quantiles_against_sorting(spark):
 def test_summary_moments(spark):
     values = [1.0, 1.5, 1.5, 4.25, 5.0]
     counts = S.grouped_value_counts(spark.createDataFrame([("a", v) for v in values], "g string, x double"), "g", "x")
-    for origin in (0.0, 3.0):
-        r = S.summary(counts, "g", origin=origin).first()
-        assert r.media == pytest.approx(statistics.mean(values))
-        assert r.desvio_padrao == pytest.approx(statistics.stdev(values))
+    r = S.summary(counts, "g").first()
+    assert r.media == pytest.approx(statistics.mean(values))
+    assert r.desvio_padrao == pytest.approx(statistics.stdev(values))
+
+
+@pytest.mark.parametrize("start", [0.0, -1e9, 1e8, 1e9, 1e12])
+def test_deviation_of_large_values(spark, start):
+    rows = spark.range(4).selectExpr("'a' AS g", f"{start!r}D + id AS x")
+    want = rows.agg(F.stddev_samp("x")).first()[0]
+    assert S.summary(S.grouped_value_counts(rows, "g", "x"), "g").first().desvio_padrao == pytest.approx(want, rel=1e-9)
+
+
+def test_an_oversized_band_is_split(spark):
+    """100,000 values within one hundredth of a percent, and a few far away."""
+    near = spark.range(100_000).selectExpr("'a' AS g", "1000000D + id / 1000D AS x")
+    far = spark.createDataFrame([("a", -5e6), ("a", 9e6), ("a", 9e6), (None, 1.0)], "g string, x double")
+    counts = S.grouped_value_counts(near.union(far), "g", "x")
+    assert counts.select(S._band("valor")).distinct().count() <= 6
+    want = sorted([1e6 + i / 1000 for i in range(100_000)] + [-5e6, 9e6, 9e6])
+    r = S.quantiles(counts, {"q": 0.25, "h": 0.5}, "g").where("g = 'a'").first()
+    assert (r.q, r.h) == (want[math.ceil(0.25 * len(want)) - 1], want[math.ceil(0.5 * len(want)) - 1])
+    out = {r.g: (r.n_low, r.n_high, r.n_total) for r in S.iqr_outliers(counts, "g").collect()}
+    assert out == {"a": (1, 2, 3), None: (0, 0, 0)}
+
+
+def test_profiles_without_a_label_stay(spark):
+    scores = spark.createDataFrame([(0,), (0,), (5,), (None,)], "id_perfil int")
+    profiles = spark.createDataFrame([(0, "none", 0)], "id_perfil int, descricao_perfil string, qtd_tracos_elevados int")
+    rows = analysis.profile_distribution(scores, profiles).collect()
+    assert sorted((r.qtd_respondentes, r.percentual) for r in rows) == [(1, 25.0), (1, 25.0), (2, 50.0)]
+
+
+def test_labels_are_made_and_checked():
+    from likertlake.instrument import Instrument, Item, Trait
+
+    traits = tuple(Trait(x, x.lower(), (Item(f"{x}1", "?"),)) for x in "AB")
+    assert Instrument(traits).profile_labels == ("–", "B", "A", "A + B")
+    with pytest.raises(ValueError):
+        Instrument(traits, profile_labels=("none", "all"))
 
 
 def test_summary_of_a_single_value_has_no_deviation(spark):
@@ -169,7 +204,7 @@ def test_summary_of_a_single_value_has_no_deviation(spark):
     assert (r.n, r.media, r.desvio_padrao, r.q25, r.mediana) == (1, 2.0, None, 2.0, 2.0)
 
 
-@pytest.mark.parametrize("total,n,digits", [(28, 9, 4), (1, 8, 2), (3, 8, 2), (5, 16, 3), (45, 9, 4), (0, 9, 4)])
+@pytest.mark.parametrize("total,n,digits", [(-1, 8, 2), (-5, 16, 3), (-28, 9, 4), (28, 9, 4), (1, 8, 2), (3, 8, 2), (5, 16, 3), (45, 9, 4), (0, 9, 4)])
 def test_ratio_rounds_half_up(spark, total, n, digits):
     from decimal import ROUND_HALF_UP, Decimal
 

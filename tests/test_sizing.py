@@ -1,36 +1,30 @@
-"""Part counts that follow the data."""
+"""Part counts that follow the data, and a session that is left alone."""
 
-from likertlake.plans.lake import LARGE_PART, MAX_PARTS, part_count
+from likertlake.plans.lake import LARGE_PART, derived_lake, range_parts
 
 
 def test_small_data_uses_few_parts():
-    assert part_count(0, 8) == 1
-    assert part_count(15_000, 8) == 1
-    assert part_count(150_000, 8) == 8
-    assert part_count(150_000, 200) == 8
+    assert range_parts(0, 8) == 1
+    assert range_parts(15_000, 8) == 1
+    assert range_parts(150_000, 8) == 8
+    assert range_parts(150_000, 200) == 8
 
 
 def test_session_parallelism_is_used_but_not_exceeded_without_need():
-    assert part_count(10**9, 200) == 200
-    assert part_count(10**9, 64) == 125
-
-
-def test_large_data_grows_parts_up_to_the_bucket_limit():
-    assert part_count(10**11, 200) == 10**11 // LARGE_PART
-    assert part_count(10**13, 200) == MAX_PARTS < 100_000
-
-
-def test_shuffles_are_sized_once_and_only_upwards(spark, lake):
-    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
-    lake.bronze()
-    assert spark.conf.get(key, None) in (None, "")
-    lake._parts = lambda: 11
-    try:
-        lake._size_shuffles()
-        assert spark.conf.get(key) == "11"
-        lake._parts = lambda: 3
-        lake._size_shuffles()
-        assert spark.conf.get(key) == "11"
-    finally:
-        del lake._parts
-        spark.conf.unset(key)
+    assert range_parts(10**9, 200) == 200
+    assert range_parts(10**9, 64) == 125
+
+
+def test_no_range_is_larger_than_planned_at_any_size():
+    for rows in (10**11, 10**13, 10**15):
+        assert rows / range_parts(rows, 200) <= LARGE_PART
+
+
+def settings(spark):
+    return {r.key: r.value for r in spark.sql("SET").collect()}
+
+
+def test_the_session_keeps_its_settings(spark, sf_dir):
+    before = settings(spark)
+    derived_lake(spark, sf_dir).gold()
+    assert settings(spark) == before
