@@ -73,7 +73,7 @@ def grouped_value_counts(df: DataFrame, group: str, col: str, value: str = "valo
 # Cells over which the moments of a group are first taken, and copies of a small
 # row that meet the rows of one key, so that no key is one task's work.
 CELLS, COPIES = 256, 16
-# Parts of a band, and of a part of it, in the quantile search.
+# Parts of a band in the quantile search.
 PARTS = 1024
 
 
@@ -124,20 +124,20 @@ def share(p: float) -> Rank:
     return lambda total: F.greatest(F.ceil(F.lit(p) * total), F.lit(1))
 
 
-def _sizes(rows: DataFrame, keys: Sequence[str], value: str, carry: Sequence[str] = ()) -> DataFrame:
-    kept = [F.first(c).alias(c) for c in carry]
-    extent = (F.min(value).alias("_lo"), F.max(value).alias("_hi"))
-    return rows.groupBy(*keys).agg(F.sum("n").alias("_size"), *extent, *kept)
+def _sizes(rows: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
+    return rows.groupBy(*keys).agg(F.sum("n").alias("_size"), F.min(value).alias("_lo"), F.max(value).alias("_hi"))
 
 
-def _holding(sizes: DataFrame, within: Sequence[str], key: str, ranks: Mapping[str, Rank]) -> DataFrame:
+def _holding(
+    sizes: DataFrame, within: Sequence[str], key: str, ranks: Mapping[str, Rank], carry: Sequence[str] = ()
+) -> DataFrame:
     """The cells that hold a wanted rank, with the rows before each. ``_start`` is where ``within`` begins."""
     running = Window.partitionBy(*within).orderBy(key).rowsBetween(Window.unboundedPreceding, 0)
     before = F.col("_start") + F.sum("_size").over(running) - F.col("_size")
     placed = sizes.withColumn("_before", before)
     total, end = F.col("_total"), F.col("_before") + F.col("_size")
     holds = [(F.col("_before") < rank(total)) & (rank(total) <= end) for rank in ranks.values()]
-    return placed.where(reduce(or_, holds)).select(*within, key, "_before", "_total", "_lo", "_hi")
+    return placed.where(reduce(or_, holds)).select(*within, key, "_before", "_total", *carry)
 
 
 def values_at(
@@ -147,23 +147,23 @@ def values_at(
 
     Totals per band place every band in the cumulative order. The few bands that hold
     a wanted rank are cut into even parts between their least and greatest value, and
-    the parts that hold it once more, before values are ordered one by one. Windows run
-    over the bands of a group, the parts of a band, or the values of a part of a part;
-    no step gathers the values of a group or band.
+    only the parts that hold it are ordered value by value. Windows run over the bands of
+    a group, the parts of a band, or the values of a part; none gathers those of a band.
     """
     rows = counts.select(group, value, "n").withColumn("_band", _band(value))
     sizes = _sizes(rows, [group, "_band"], value).withColumns(
         {"_total": F.sum("_size").over(Window.partitionBy(group)), "_start": F.lit(0)}
     )
-    wanted = _holding(sizes, [group], "_band", ranks)
-    path = [group, "_band"]
-    for level in ("_part", "_fine"):
-        rows = _meet(rows.select(*path, value, "n"), wanted, path, value).withColumn(level, _part(value))
-        sizes = _sizes(rows, [*path, level], value, ["_before", "_total"]).withColumnRenamed("_before", "_start")
-        wanted = _holding(sizes, path, level, ranks)
-        path = [*path, level]
-    inner = Window.partitionBy(*path).orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
-    ranked = _meet(rows.select(*path, value, "n"), wanted, path, value).withColumn(
+    wanted = _holding(sizes, [group], "_band", ranks, ["_lo", "_hi"])
+    keys = [group, "_band"]
+    parted = _meet(rows, wanted, keys, value).withColumn("_part", _part(value))
+    inside = parted.groupBy(*keys, "_part").agg(
+        F.sum("n").alias("_size"), F.first("_before").alias("_start"), F.first("_total").alias("_total")
+    )
+    wanted = _holding(inside, keys, "_part", ranks)
+    keys = [*keys, "_part"]
+    inner = Window.partitionBy(*keys).orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
+    ranked = _meet(parted.select(*keys, value, "n"), wanted, keys, value).withColumn(
         "_upto", F.col("_before") + F.sum("n").over(inner)
     )
     total = F.col("_total")

@@ -29,7 +29,7 @@ def no_broadcast(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
-def test_one_scan_per_multi_trait_question(lake):
+def test_one_scan_per_multi_trait_question(lake, no_broadcast):
     scores, typed = lake.scores(), lake.typed()
     for df in (
         analysis.trait_descriptives(scores, SPEC),
@@ -118,7 +118,7 @@ def test_no_value_is_joined_or_ordered_by_its_group_alone(spark, sf_dir, no_broa
                 sides = [c for c in children if {"valor", "n"} <= {a.name() for a in _output(c)}]
                 if sides:
                     text = node.simpleString(10_000)
-                    assert "_copy" in text or "_cell" in text or "_fine" in text, text
+                    assert "_copy" in text or "_cell" in text or "_part" in text, text
 
 
 def _output(node):
