@@ -26,7 +26,10 @@ def column_udf(fn: Callable[[Iterator[pa.Array]], Iterator[pa.Array]], kind: str
     """
 
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        yield from fn(batches)
+        for out in fn(batches):
+            yield out
+            del out
+            pa.default_memory_pool().release_unused()  # workers live on, and several share an executor
 
     run.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
     return F.arrow_udf(run, kind).asNondeterministic()
