@@ -30,6 +30,8 @@ from likertlake.session import Workspace
 
 WINDOW, BLOCK = 35, 18
 CHUNK_BYTES = 1 << 20
+#: Of zstd. Chunks are written once and shuffled twice, so bytes matter more than time.
+LEVEL = 6
 #: Hashes that one part compares.
 PART_HASHES = 2_000_000
 #: Bits beyond those of the index's size; a probe hits by chance once in 2**14 times.
@@ -39,7 +41,7 @@ SPARE_BITS = 14
 def pack(batches: Iterator[pa.RecordBatch], text: str, chunk_bytes: int, letters: np.ndarray) -> Iterator[pa.RecordBatch]:
     """Rows of many texts as few rows: chunk id, number of words, compressed rows."""
     base, n = TaskContext.get().partitionId() << 32, 0
-    options = pa.ipc.IpcWriteOptions(compression="zstd")
+    options = pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", LEVEL))
     for batch in batches:
         data, offsets = W.column(batch.column(text))
         for i, part, at in W.slices(data, offsets, chunk_bytes):
