@@ -12,18 +12,15 @@ from pyspark.sql import functions as F
 from likertlake.llm import bpe, decontam, langid, neardup, queries, secrets
 from likertlake.session import Workspace
 
-#: Least probability of the predicted language. Texts below are of no language known here.
-LEAST_SCORE = 0.5
-
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in one of the languages learned from the labels; ``und`` and doubtful ones go.
+    """Documents in one of the languages learned from the labels; ``und`` ones go.
 
-    The labels stay as they are, also where the prediction differs.
+    A low score is no reason to go: a clean text that quotes another language has one. The
+    labels stay as they are, also where the prediction differs.
     """
     found = langid.predict(docs, langid.fit(docs), to="_language")
-    good = (F.col("_language.lang") != langid.UNKNOWN) & (F.col("_language.score") >= LEAST_SCORE)
-    return found.where(good).drop("_language")
+    return found.where(F.col("_language.lang") != langid.UNKNOWN).drop("_language")
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
