@@ -26,7 +26,7 @@ from likertlake.session import Workspace
 #: Characters of a chunk and of its overlap with the next. Shorter texts are one piece.
 CHUNK, OVERLAP = 1 << 15, 1 << 11
 #: Pre-tokens whose ids a task keeps, and the longest that it keeps.
-CACHE, CACHED_LENGTH = 200_000, 64
+CACHE, CACHED_LENGTH = 100_000, 64
 #: A pre-token that ends this close to a cut could go on, or begin otherwise, beyond it.
 MARGIN = 3
 #: Pre-tokens beyond this many bytes are merged with a heap.

@@ -22,6 +22,8 @@ LENGTH, WIDTHS, FILTERS = 256, (2, 3, 4), 16
 #: The sample: documents of each language, windows of each document.
 SAMPLE_DOCS, SAMPLE_WINDOWS = 800, 6
 UNKNOWN = "und"
+#: Windows that the network reads at once.
+BATCH = 128
 
 
 class Network:
@@ -151,8 +153,8 @@ def predict(docs: DataFrame, net: Network | None, text: str = "text", to: str =
             for i, part, at in W.slices(data, offsets, 1 << 17) if net else ():
                 x, doc, count = windows(part, at)
                 total = np.zeros((len(at) - 1, len(net.langs)))
-                for k in range(0, len(x), 512):
-                    np.add.at(total, doc[k : k + 512], net.probabilities(x[k : k + 512]) * count[k : k + 512, None])
+                for k in range(0, len(x), BATCH):
+                    np.add.at(total, doc[k : k + BATCH], net.probabilities(x[k : k + BATCH]) * count[k : k + BATCH, None])
                 size = np.diff(at)
                 for d in np.flatnonzero(size):
                     top = int(total[d].argmax())

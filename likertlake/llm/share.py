@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import pickle
 from collections.abc import Callable, Iterator
 from typing import Any
@@ -18,6 +20,16 @@ def share(spark: SparkSession, value: Any) -> Callable[[], Any]:
     return lambda: pickle.loads(sent.value)
 
 
+def give_back() -> None:
+    """Return freed memory to the system: workers live on, and several share an executor."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
+
+
 def column_udf(fn: Callable[[Iterator[pa.Array]], Iterator[pa.Array]], kind: str):
     """An Arrow UDF over batches of one column.
 
@@ -29,7 +41,8 @@ def column_udf(fn: Callable[[Iterator[pa.Array]], Iterator[pa.Array]], kind: str
         for out in fn(batches):
             yield out
             del out
-            pa.default_memory_pool().release_unused()  # workers live on, and several share an executor
+            pa.default_memory_pool().release_unused()
+        give_back()
 
     run.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
     return F.arrow_udf(run, kind).asNondeterministic()
