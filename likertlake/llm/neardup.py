@@ -21,19 +21,20 @@ from pyspark.sql import functions as F
 
 from likertlake.llm import words as W
 from likertlake.llm.graph import components
-from likertlake.llm.share import column_udf, share
+from likertlake.llm.share import column_udf, give_back, share
 from likertlake.session import Workspace
 
 SIZE, SIMILARITY = 5, 0.8
-#: 0.8 ** 3 a band: a pair at the threshold is missed once in 5,000 times, one at 0.9 once in 6 million.
-BANDS, ROWS = 12, 3
+#: 0.8 ** 4 a band: a pair at the threshold is missed once in 4,500 times, one at 0.9 once in 26 million.
+#: With fewer samples in a band, texts that share little more than a site's lines meet too often.
+BANDS, ROWS = 16, 4
 #: Cells of the table of document frequencies; shingles share them by hash.
 CELLS, CELL_BLOCK = 1 << 20, 1 << 15
 #: How much more a shingle of one text weighs than one of all texts. What copies share is
 #: less rare than what tells them apart, so with more the threshold would ask for more.
 STRENGTH = 0.25
 #: Heads of a bucket in the first round, and how many times more in each further round.
-LEADERS, MORE_LEADERS = 4, 16
+LEADERS, MORE_LEADERS = 4, 8
 
 
 def shingles(w: W.Words, size: int, tables: tuple[W.Powers, W.Powers]) -> tuple[np.ndarray, np.ndarray]:
@@ -145,6 +146,7 @@ def frequencies(docs: DataFrame, text: str, size: int, cells: int) -> tuple[np.n
         rows = [(k, total[k * CELL_BLOCK : (k + 1) * CELL_BLOCK]) for k in range(-(-cells // CELL_BLOCK))]
         rows = [(-1, np.array([n]))] + [(k, x) for k, x in rows if x.any()]
         yield pa.record_batch({"k": pa.array([k for k, _ in rows], pa.int32()), "n": pa.array([x.astype("<i8").tobytes() for _, x in rows], pa.binary())})
+        give_back()
 
     def add(group: pa.Table) -> pa.Table:
         total = sum(np.frombuffer(x.as_py(), "<i8") for x in group.column("n"))
