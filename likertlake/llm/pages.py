@@ -126,43 +126,68 @@ def read(html: str) -> Element:
     return reader.root
 
 
-def _order(root: Element) -> list[tuple[Element, bool]]:
-    """Elements, each after all that contain it, and whether they are in an article."""
-    out, stack = [], [(root, False)]
-    while stack:
-        e, inside = stack.pop()
-        out.append((e, inside))
-        stack += [(c, inside or e.is_article()) for c in reversed(e.children) if isinstance(c, Element)]
-    return out
+def hashes(root: Element) -> tuple[dict[int, int], list[Element], list[str]]:
+    """Hashes of elements with all below, by identity; the elements; all text of the page.
 
-
-def hashes(root: Element) -> dict[int, int]:
-    """By identity, the hash of each element that has text in it, with all below."""
+    Only elements that have text, hold no article and are in none get a hash.
+    """
+    order, holds, text, stack = [], set(), [], [(root, ())]
+    while stack:
+        e, above = stack.pop()
+        order.append(e)
+        path = (e, above)
+        for c in e.children:
+            if isinstance(c, str):
+                if e.tag not in ("script", "style"):
+                    text.append(c)
+            elif c.is_article():
+                text += _strings(c)
+                up = path
+                while up and id(up[0]) not in holds:
+                    holds.add(id(up[0]))
+                    up = up[1]
+            else:
+                stack.append((c, path))
     out: dict[int, int] = {}
-    for e, _ in reversed(_order(root)):
+    for e in reversed(order):
+        if id(e) in holds:
+            continue
         parts, full = [e.tag, e.attrs.get("class", ""), e.attrs.get("id", "")], False
         for c in e.children:
             if isinstance(c, Element):
                 parts.append(f"<{out[id(c)]}" if id(c) in out else f"<{c.tag}")
                 full = full or id(c) in out
-            elif text := SPACE.sub(" ", c).strip():
-                parts.append(f"'{text}")
+            elif own := SPACE.sub(" ", c).strip():
+                parts.append(f"'{own}")
                 full = True
         if full:
-            out[id(e)] = int.from_bytes(blake2b("\0".join(parts).encode("utf-8", "replace"), digest_size=8).digest(), "little", signed=True)
+            out[id(e)] = _digest("\0".join(parts))
+    return out, order, text
+
+
+def _strings(e: Element) -> list[str]:
+    out, stack = [], [e]
+    while stack:
+        e = stack.pop()
+        if isinstance(e, str):
+            out.append(e)
+        elif e.tag not in ("script", "style"):
+            stack += reversed(e.children)
     return out
 
 
+def _digest(text: str) -> int:
+    return int.from_bytes(blake2b(text.encode("utf-8", "replace"), digest_size=8).digest(), "little", signed=True)
+
+
 def fingerprint(root: Element) -> tuple[int, list[int]]:
-    """A hash of the page as a whole, and those of its block subtrees outside any article."""
-    h = hashes(root)
-    own = {h[id(e)] for e, inside in _order(root) if e is not root and id(e) in h and e.tag in BLOCKS and not inside and not e.is_article()}
-    return h.get(id(root), 0), sorted(own)
+    """A hash of all text of the page, and those of its block subtrees outside any article."""
+    h, order, text = hashes(root)
+    return _digest("".join(text)), sorted({h[id(e)] for e in order if e is not root and id(e) in h and e.tag in BLOCKS})
 
 
 def main_text(root: Element, template: frozenset[int]) -> str:
     """Blocks of the article, one to a line; of the whole page if it marks no article."""
-    h = hashes(root) if template else {}
     tops: list[Element] = []
     stack = [root]
     while stack:  # outermost articles first; main only if it holds none
@@ -175,6 +200,7 @@ def main_text(root: Element, template: frozenset[int]) -> str:
         stack += [c for c in reversed(e.children) if isinstance(c, Element)]
     articles = [a for t in tops for a in (_articles(t) or [t])]
     blocks: list[str] = []
+    h = hashes(root)[0] if template and not articles else {}
     for top in articles or [root]:
         _collect(top, bool(articles), h, template, blocks)
     return "\n".join(blocks)
