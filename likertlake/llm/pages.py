@@ -3,8 +3,9 @@
 Every block element of a page is hashed with all below it. Spark counts on how many
 different pages of a host each hash occurs; subtrees of many pages are the site's
 template. What remains, without the elements that by tag, role or name are not the
-article, is the text. Subtrees inside an article element are never held against it: an
-article may well be published on many pages.
+article, is the text. Subtrees inside article and main are counted by the different
+texts of the article around them: one that is published on many pages counts once, a
+block that recurs in different articles is the site's.
 """
 
 from __future__ import annotations
@@ -23,6 +24,14 @@ from likertlake.session import Workspace
 
 #: A subtree is template if it is on so many different pages of its host and so large a share of them.
 LEAST_PAGES, LEAST_SHARE = 5, 0.1
+#: Blocks that may be template inside an article: whole ones, not the rows of a list or table.
+#: Paragraphs, headings, quotes and code without a class or an id are the author's, even if they recur.
+WHOLE = frozenset("address center details div dl figure hgroup ol section table ul".split())
+PROSE = frozenset("blockquote h1 h2 h3 h4 h5 h6 header p pre".split())
+#: A subtree of so many characters, and at least half of its article, is the body of a copy with other small parts.
+BODY = 1000
+#: Tells hashes inside articles from those outside, where teasers repeat an article's parts.
+INSIDE = 0x5BD1E9955BD1E995
 #: Hashes of templates up to which their table goes to every executor.
 BROADCAST_HASHES = 500_000
 
@@ -148,21 +157,57 @@ def hashes(root: Element) -> tuple[dict[int, int], list[Element], list[str]]:
                     up = up[1]
             else:
                 stack.append((c, path))
+    return _hashed(order, holds)[0], order, text
+
+
+def _hashed(order: list[Element], holds: set[int] | frozenset[int] = frozenset()) -> tuple[dict[int, int], dict[int, int]]:
+    """Hashes of the elements with text, and the length of it; ``order`` has parents first."""
     out: dict[int, int] = {}
+    length: dict[int, int] = {}
     for e in reversed(order):
         if id(e) in holds:
             continue
-        parts, full = [e.tag, e.attrs.get("class", ""), e.attrs.get("id", "")], False
+        parts, n = [e.tag, e.attrs.get("class", ""), e.attrs.get("id", "")], 0
         for c in e.children:
             if isinstance(c, Element):
                 parts.append(f"<{out[id(c)]}" if id(c) in out else f"<{c.tag}")
-                full = full or id(c) in out
+                n += length.get(id(c), 0)
             elif own := SPACE.sub(" ", c).strip():
                 parts.append(f"'{own}")
-                full = True
-        if full:
-            out[id(e)] = _digest("\0".join(parts))
-    return out, order, text
+                n += len(own)
+        if n:
+            out[id(e)], length[id(e)] = _digest("\0".join(parts)), n
+    return out, length
+
+
+def inside(top: Element) -> tuple[dict[int, int], dict[int, int], str]:
+    """Hashes of what may be template inside an article or main, lengths, and all its text,
+    which is left out if there are none.
+
+    What tag, role or name exclude needs no hash and is no part of the text.
+    """
+    order, stack = [], [top]
+    while stack:
+        e = stack.pop()
+        order.append(e)
+        stack += [c for c in reversed(e.children) if isinstance(c, Element) and not c.excluded(True)]
+    prose = not _is_main(top)
+    asked = [id(e) for e in order if e is not top and _may_recur(e, prose)]
+    if not asked:
+        return {}, {}, ""
+    h, length = _hashed(order)
+    own = {k: h[k] ^ INSIDE for k in asked if k in h}
+    return own, length, SPACE.sub(" ", "".join(c for e in order for c in e.children if isinstance(c, str))).strip()
+
+
+def _may_recur(e: Element, prose: bool) -> bool:
+    if not prose:
+        return e.tag in BLOCKS
+    return e.tag in WHOLE or (e.tag in PROSE and any(e.attrs.get(k) for k in ("class", "id")))
+
+
+def _is_main(e: Element) -> bool:
+    return e.tag == "main" or e.attrs.get("role") == "main"
 
 
 def _strings(e: Element) -> list[str]:
@@ -180,17 +225,24 @@ def _digest(text: str) -> int:
     return int.from_bytes(blake2b(text.encode("utf-8", "replace"), digest_size=8).digest(), "little", signed=True)
 
 
-def fingerprint(root: Element) -> tuple[int, list[int]]:
-    """A hash of all text of the page, and those of its block subtrees outside any article."""
+def fingerprint(root: Element) -> tuple[int, list[int], list[tuple[int, int]]]:
+    """A hash of all text of the page, those of its block subtrees outside any article, and
+    of those inside with a hash of the text of the article around."""
     h, order, text = hashes(root)
-    return _digest("".join(text)), sorted({h[id(e)] for e in order if e is not root and id(e) in h and e.tag in BLOCKS})
+    out = sorted({h[id(e)] for e in order if e is not root and id(e) in h and e.tag in BLOCKS})
+    within = set()
+    for top in articles(root):
+        own, length, around = inside(top)
+        key, least = _digest(around), max(BODY, length.get(id(top), 0) / 2)
+        within |= {(key, x) for k, x in own.items() if length[k] < least}
+    return _digest("".join(text)), out, sorted(within)
 
 
-def main_text(root: Element, template: frozenset[int]) -> str:
-    """Blocks of the article, one to a line; of the whole page if it marks no article."""
+def articles(root: Element) -> list[Element]:
+    """The outermost articles of the page; main only if it holds none."""
     tops: list[Element] = []
     stack = [root]
-    while stack:  # outermost articles first; main only if it holds none
+    while stack:
         e = stack.pop()
         if e is not root and e.excluded(False):
             continue
@@ -198,16 +250,22 @@ def main_text(root: Element, template: frozenset[int]) -> str:
             tops.append(e)
             continue
         stack += [c for c in reversed(e.children) if isinstance(c, Element)]
-    articles = [a for t in tops for a in (_articles(t) or [t])]
+    return [a for t in tops for a in (_articles(t) or [t])]
+
+
+def main_text(root: Element, template: frozenset[int]) -> str:
+    """Blocks of the article, one to a line; of the whole page if it marks no article."""
+    tops = articles(root)
     blocks: list[str] = []
-    h = hashes(root)[0] if template and not articles else {}
-    for top in articles or [root]:
-        _collect(top, bool(articles), h, template, blocks)
+    for top in tops:
+        _collect(top, True, inside(top)[0] if template else {}, template, blocks)
+    if not tops:
+        _collect(root, False, hashes(root)[0] if template else {}, template, blocks)
     return "\n".join(blocks)
 
 
 def _articles(e: Element) -> list[Element]:
-    if e.tag != "main" and e.attrs.get("role") != "main":
+    if not _is_main(e):
         return [e]
     out, stack = [], [c for c in reversed(e.children) if isinstance(c, Element)]
     while stack:
@@ -237,7 +295,7 @@ def _collect(top: Element, in_article: bool, h: dict[int, int], template: frozen
             end()
         elif isinstance(e, str):
             own.append(e)
-        elif e is not top and (e.excluded(in_article) or (not in_article and e.tag in BLOCKS and h.get(id(e)) in template)):
+        elif e is not top and (e.excluded(in_article) or (e.tag in BLOCKS and h.get(id(e)) in template)):
             own.append(" ")
         elif e.tag == "br":
             own.append(" ")
@@ -258,19 +316,20 @@ def host(url: str):
 def templates(pages: DataFrame, url: str = "url", html: str = "html", least_pages: int = LEAST_PAGES, least_share: float = LEAST_SHARE) -> DataFrame:
     """``host`` and ``hash`` of each subtree on many different pages of its host.
 
-    Pages that are equal in all their text count once. Pages without a host or html are
-    left out.
+    Pages that are equal in all their text count once; subtrees inside an article count
+    once for each different text of it. Pages without a host or html are left out.
     """
 
+    kind = pa.list_(pa.struct([("page", pa.int64()), ("hash", pa.int64())]))
+
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
             found = [fingerprint(read(x or "")) for x in batch.to_pylist()]
-            yield pa.array([{"page": p, "own": own} for p, own in found], pa.struct([("page", pa.int64()), ("own", pa.list_(pa.int64()))]))
+            # Hash 0 stands for the page itself, so that one aggregation counts pages too.
+            yield pa.array([[{"page": p, "hash": x} for p, x in [(page, 0), *((page, x) for x in own), *within]] for page, own, within in found], kind)
 
     rows = pages.select(host(f"`{url}`").alias("host"), F.col(f"`{html}`").alias("html")).where("host is not null and html is not null")
-    rows = rows.select("host", column_udf(run, "struct<page bigint, own array<bigint>>")("html").alias("f"))
-    # Hash 0 stands for the page itself, so that one aggregation counts pages too.
-    each = rows.select("host", F.col("f.page").alias("page"), F.explode(F.array_append("f.own", F.lit(0).cast("bigint"))).alias("hash")).distinct()
+    each = rows.select("host", F.inline(column_udf(run, "array<struct<page bigint, hash bigint>>")("html"))).distinct()
     counts = each.groupBy("host", "hash").agg(F.count("*").alias("n"))
     counts = Workspace(pages.sparkSession, "pages").cut(counts.where(F.col("n") >= least_pages), "counts")
     size = counts.where("hash = 0").select("host", F.col("n").alias("pages"))
@@ -285,7 +344,9 @@ def extract(
 
     The text is that of the article elements, else of main, else of the page. Character
     references are decoded, white space inside a block becomes one blank, blocks are
-    trimmed and joined by line breaks. Pages without a host lose no templates. Equal
+    trimmed and joined by line breaks. Site blocks inside article and main go too, but
+    plain paragraphs and headings of an article stay however often they recur. Pages
+    without a host lose no templates. Equal
     rows are treated alike. A column ``to`` of ``pages`` is replaced.
     """
     spark = pages.sparkSession

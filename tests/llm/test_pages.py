@@ -76,6 +76,25 @@ def test_articles_are_kept_however_often_they_recur(spark):
     assert {r.text for r in got} == {f"the same words\n{i}" for i in range(20)}
 
 
+def test_site_blocks_inside_articles_go(spark):
+    """A block that recurs in different articles goes; an article that is published again stays."""
+    share, legal = "<div class=x1>Tell your friends</div>", "<p class=x2>All words are ours</p>"
+    article = lambda i, host: (i, f"http://{host}/{i}", f"<article><h2>Facts</h2><div><p>Story {i}</p>{share}</div>{legal}</article>")
+    main = lambda i: (i, f"http://m.example/{i}", f"<main><p>Story {i}</p><p>Tell your friends</p></main>")
+    rows = [article(i, "h.example") for i in range(8)] + [main(i) for i in range(10, 18)]
+    rows += [article(i, "small.example") for i in range(20, 23)]
+    again = "<article><div><div>One story</div><p class=x>in two parts</p></div></article>"
+    rows += [(i, f"http://again.example/{i}", f"<div>Page {i}</div>{again}") for i in range(30, 40)]
+    body = f"<div><p>{'a long story ' * 100}</p></div>"
+    rows += [(i, f"http://copies.example/{i}", f"<article>{body}<p>Read {i} times</p>{share}</article>") for i in range(40, 50)]
+    got = {r.page_id: r.text for r in pages.extract(spark.createDataFrame(rows, "page_id int, url string, html string")).collect()}
+    assert all(got[i] == f"Facts\nStory {i}" for i in range(8))
+    assert all(got[i] == f"Story {i}" for i in range(10, 18))
+    assert all(got[i] == f"Facts\nStory {i}\nTell your friends\nAll words are ours" for i in range(20, 23))
+    assert all(got[i] == "One story\nin two parts" for i in range(30, 40))
+    assert all(got[i] == f"{('a long story ' * 100).strip()}\nRead {i} times" for i in range(40, 50))
+
+
 def test_odd_rows(spark):
     df = spark.createDataFrame([(None, None, None), (1, "", ""), (1, "", "")], "page_id int, url string, html string").selectExpr("*", "'x' AS text", "'y' AS host", "'z' AS template")
     got = pages.extract(df).collect()
