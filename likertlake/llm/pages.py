@@ -22,8 +22,9 @@ from pyspark.sql import functions as F
 from likertlake.llm.share import column_udf
 from likertlake.session import Workspace
 
-#: A subtree is template if it is on so many different pages of its host and so large a share of them.
-LEAST_PAGES, LEAST_SHARE = 5, 0.1
+#: A subtree is template if it is on so many different pages of its host. It is no share of them,
+#: so that a section's menu goes whatever else the host has.
+LEAST_PAGES = 5
 #: Blocks that may be template inside an article: whole ones, not the rows of a list or table.
 #: Paragraphs, headings, quotes and code without a class or an id are the author's, even if they recur.
 WHOLE = frozenset("address center details div dl figure hgroup ol section table ul".split())
@@ -313,7 +314,7 @@ def host(url: str):
     return F.when(own != "", own)
 
 
-def templates(pages: DataFrame, url: str = "url", html: str = "html", least_pages: int = LEAST_PAGES, least_share: float = LEAST_SHARE) -> DataFrame:
+def templates(pages: DataFrame, url: str = "url", html: str = "html", least_pages: int = LEAST_PAGES) -> DataFrame:
     """``host`` and ``hash`` of each subtree on many different pages of its host.
 
     Pages that are equal in all their text count once; subtrees inside an article count
@@ -325,20 +326,16 @@ def templates(pages: DataFrame, url: str = "url", html: str = "html", least_page
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
             found = [fingerprint(read(x or "")) for x in batch.to_pylist()]
-            # Hash 0 stands for the page itself, so that one aggregation counts pages too.
-            yield pa.array([[{"page": p, "hash": x} for p, x in [(page, 0), *((page, x) for x in own), *within]] for page, own, within in found], kind)
+            yield pa.array([[{"page": p, "hash": x} for p, x in [*((page, x) for x in own), *within]] for page, own, within in found], kind)
 
     rows = pages.select(host(f"`{url}`").alias("host"), F.col(f"`{html}`").alias("html")).where("host is not null and html is not null")
     each = rows.select("host", F.inline(column_udf(run, "array<struct<page bigint, hash bigint>>")("html"))).distinct()
-    counts = each.groupBy("host", "hash").agg(F.count("*").alias("n"))
-    counts = Workspace(pages.sparkSession, "pages").cut(counts.where(F.col("n") >= least_pages), "counts")
-    size = counts.where("hash = 0").select("host", F.col("n").alias("pages"))
-    return counts.where("hash <> 0").join(size, "host").where(F.col("n") >= least_share * F.col("pages")).select("host", "hash")
+    return each.groupBy("host", "hash").agg(F.count("*").alias("n")).where(F.col("n") >= least_pages).select("host", "hash")
 
 
 def extract(
     pages: DataFrame, url: str = "url", html: str = "html", to: str = "text",
-    least_pages: int = LEAST_PAGES, least_share: float = LEAST_SHARE, broadcast_hashes: int = BROADCAST_HASHES,
+    least_pages: int = LEAST_PAGES, broadcast_hashes: int = BROADCAST_HASHES,
 ) -> DataFrame:
     """``pages`` with the main text in column ``to``; empty for null or empty html.
 
@@ -350,7 +347,7 @@ def extract(
     rows are treated alike. A column ``to`` of ``pages`` is replaced.
     """
     spark = pages.sparkSession
-    found = templates(pages, url, html, least_pages, least_share)
+    found = templates(pages, url, html, least_pages)
     found = Workspace(spark, "pages").cut(found.groupBy("host").agg(F.collect_set("hash").alias("template")), "templates")
     n = found.agg(F.sum(F.size("template"))).first()[0] or 0
 

@@ -95,6 +95,16 @@ def test_site_blocks_inside_articles_go(spark):
     assert all(got[i] == f"{('a long story ' * 100).strip()}\nRead {i} times" for i in range(40, 50))
 
 
+def test_sections_of_a_large_host_lose_their_menus(spark):
+    """What is on the pages of one section of many is template, however large the host."""
+    def page(s, i):
+        return (s * 100 + i, f"http://big.example/s{s}/{i}", f"<div>Top</div><div>Menu of section {s}</div><div><p>Story {i} of {s}</p></div>")
+
+    rows = [page(s, i) for s in range(30) for i in range(8)]
+    got = pages.extract(spark.createDataFrame(rows, "page_id int, url string, html string")).collect()
+    assert {r.page_id: r.text for r in got} == {s * 100 + i: f"Story {i} of {s}" for s in range(30) for i in range(8)}
+
+
 def test_odd_rows(spark):
     df = spark.createDataFrame([(None, None, None), (1, "", ""), (1, "", "")], "page_id int, url string, html string").selectExpr("*", "'x' AS text", "'y' AS host", "'z' AS template")
     got = pages.extract(df).collect()
