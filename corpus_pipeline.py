@@ -16,10 +16,11 @@ from likertlake.session import Workspace
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in one of the languages learned from the labels; ``und`` ones go.
 
-    A low score is no reason to go: a clean text that quotes another language has one. The
-    labels stay as they are, also where the prediction differs.
+    Those are texts without a letter and texts that are noise to the network in more than
+    half of their bytes. A low score is no reason to go: a clean text that quotes another
+    language has one. The labels stay as they are, also where the prediction differs.
     """
-    found = langid.predict(docs, langid.fit(docs), to="_language")
+    found = langid.predict(docs, langid.fit(docs, reject=True), to="_language")
     return found.where(F.col("_language.lang") != langid.UNKNOWN).drop("_language")
 
 

@@ -22,12 +22,25 @@ LENGTH, WIDTHS, FILTERS = 256, (2, 3, 4), 16
 #: The sample: documents of each language, windows of each document.
 SAMPLE_DOCS, SAMPLE_WINDOWS = 800, 6
 UNKNOWN = "und"
+#: Of the training windows, mixed and hardened ones too, so many stay below the level of noise.
+BELOW = 0.999
+BASE64 = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+#: First and last letters of scripts that noise is made of.
+SCRIPTS = [
+    (0x370, 0x3FF), (0x400, 0x4FF), (0x5D0, 0x5EA), (0x621, 0x64A), (0x905, 0x939),
+    (0xE01, 0xE2E), (0x3041, 0x3096), (0x4E00, 0x9FA5), (0xAC00, 0xD7A3),
+]
 #: Windows that the network reads at once.
 BATCH = 128
 
 
 class Network:
-    """One-hot byte convolutions, max pooling, ReLU, softmax."""
+    """One-hot byte convolutions, max pooling, ReLU, softmax.
+
+    With a ``level``, the last class is noise, and a window beyond the level is in no language.
+    """
+
+    level: float | None = None
 
     def __init__(self, langs: list[str], seed: int = 7) -> None:
         rng = np.random.default_rng(seed)
@@ -107,15 +120,73 @@ def in_training(id: Column, folds: int = 5) -> Column:
     return F.coalesce(F.crc32(id.cast("string")) % folds != 0, F.lit(False))
 
 
+def noise(parts: list[str], seed: int = 13) -> list[str]:
+    """Texts without a language: shuffled ones, codes, random letters, random words of a script."""
+    rng, out = np.random.default_rng(seed), []
+    for i, t in enumerate(parts):
+        n = max(1, len(t))
+        if i % 4 == 0:
+            out.append("".join(rng.permutation(list(t))))
+        elif i % 4 == 1:
+            letters = BASE64[: int(rng.choice([16, 36, 52, 64]))] if rng.random() < 0.5 else "0123456789abcdef"
+            out.append("".join(rng.choice(list(letters), n)))
+        elif i % 4 == 2:
+            out.append("".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz" + " " * int(rng.integers(8))), n)))
+        else:
+            low, high = SCRIPTS[rng.integers(len(SCRIPTS))]
+            c = rng.integers(low, high + 1, n)
+            c[rng.random(n) < 0.15] = 32
+            out.append("".join(map(chr, c)))
+    return out
+
+
+def hardened(parts: list[str], seed: int = 17) -> list[str]:
+    """Each text with a key in it, or mixed with another text word by word: clean all the same."""
+    rng, out = np.random.default_rng(seed), []
+    for i, t in enumerate(parts):
+        if i % 2:
+            n = int(rng.integers(16, 65))
+            letters = ("0123456789abcdef", BASE64, BASE64[:10], BASE64[26:52])[rng.integers(4)]
+            key = "".join(rng.choice(list(letters), n))
+            t = t[: int(rng.integers(n // 2, LENGTH + 1))]
+            k = int(rng.integers(len(t) + 1))
+            out.append(f"{t[:k]} {key} {t[k:]}"[:LENGTH])
+        else:
+            n, a, b = int(rng.integers(1, 12)), t.split(), parts[rng.integers(len(parts))].split()
+            both = [x for k in range(0, max(len(a), len(b)), n) for x in a[k : k + n] + b[k : k + n]]
+            out.append(" ".join(both)[:LENGTH])
+    return out
+
+
+def _first_windows(parts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The first window of each part that has one, and whose it is."""
+    x, doc, _ = windows(*W.column(parts))
+    keep = np.flatnonzero(np.r_[True, doc[1:] != doc[:-1]])  # a part longer in bytes than in characters has one more
+    return x[keep], doc[keep]
+
+
+def rejecting(langs: list[str], parts: list[str], y: np.ndarray) -> Network:
+    """A network with a class for noise, and the level that clean windows stay below."""
+    clean, of = _first_windows(pa.array(parts + hardened(parts[::2]), pa.string()))
+    y = np.r_[y, y[::2]][of]
+    junk, _ = _first_windows(pa.array(noise(parts[::2]), pa.string()))
+    x, y = np.concatenate([clean, junk]), np.r_[y, np.full(len(junk), len(langs))]
+    net = Network([*langs, UNKNOWN]).fit(x, y, epochs=min(40, max(6, 24_000 // len(x))))  # small samples need more steps
+    own = np.concatenate([net.probabilities(clean[k : k + BATCH])[:, -1] for k in range(0, len(clean), BATCH)])
+    net.level = max(0.5, float(np.quantile(own, BELOW)))
+    return net
+
+
 def fit(
     docs: DataFrame, text: str = "text", lang: str = "lang", id: str = "doc_id",
-    sample_docs: int = SAMPLE_DOCS, sample_windows: int = SAMPLE_WINDOWS,
+    sample_docs: int = SAMPLE_DOCS, sample_windows: int = SAMPLE_WINDOWS, reject: bool = False,
 ) -> Network | None:
     """A network for the languages of the labelled training folds; None if there is no label.
 
     Learns from ``sample_windows`` windows, spread over the whole text, of at most
     ``sample_docs`` documents of each language, chosen by a hash of the id. The sample
     is all that reaches the driver. Rows with a null text, language or id are left out.
+    With ``reject``, the network also learns to tell languages from noise.
     """
     rows = docs.select(F.col(f"`{id}`").alias("id"), F.col(f"`{text}`").alias("text"), F.col(f"`{lang}`").alias("lang"))
     rows = rows.where(in_training(F.col("id")) & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
@@ -130,17 +201,19 @@ def fit(
         return None
     names = got.column("lang").to_pylist()
     langs = sorted(set(names))
-    x, doc, _ = windows(*W.column(got.column("part")))
-    keep = np.flatnonzero(np.r_[True, doc[1:] != doc[:-1]])  # a part longer in bytes than in characters has one more
-    y = np.array([langs.index(v) for v in names])[doc[keep]]
-    return Network(langs).fit(x[keep], y)
+    label = np.array([langs.index(v) for v in names])
+    if reject:
+        return rejecting(langs, got.column("part").to_pylist(), label)
+    x, doc = _first_windows(got.column("part"))
+    return Network(langs).fit(x, label[doc])
 
 
 def predict(docs: DataFrame, net: Network | None, text: str = "text", to: str = "language") -> DataFrame:
     """``docs`` with a struct column ``to``: the language and its probability.
 
     Every window of the whole text counts. The language is ``und`` and the score 0 for a
-    null text, one without a letter, or without a network. Only the text is read. A
+    null text, one without a letter, or without a network. With a network that rejects, so
+    it is for a text with more than half of its bytes in windows of noise. Only the text is read. A
     column ``to`` of ``docs`` is replaced, others stay as they are.
     """
     get = share(docs.sparkSession, net)
@@ -153,10 +226,16 @@ def predict(docs: DataFrame, net: Network | None, text: str = "text", to: str =
             for i, part, at in W.slices(data, offsets, 1 << 17) if net else ():
                 x, doc, count = windows(part, at)
                 total = np.zeros((len(at) - 1, len(net.langs)))
+                junk = np.zeros(len(at) - 1)
                 for k in range(0, len(x), BATCH):
-                    np.add.at(total, doc[k : k + BATCH], net.probabilities(x[k : k + BATCH]) * count[k : k + BATCH, None])
+                    p = net.probabilities(x[k : k + BATCH])
+                    if net.level is not None:
+                        np.add.at(junk, doc[k : k + BATCH], (p[:, -1] > net.level) * count[k : k + BATCH])
+                        p[:, -1] = 0
+                        p /= np.maximum(p.sum(1, keepdims=True), 1e-30)
+                    np.add.at(total, doc[k : k + BATCH], p * count[k : k + BATCH, None])
                 size = np.diff(at)
-                for d in np.flatnonzero(size):
+                for d in np.flatnonzero((size > 0) & (2 * junk <= size)):
                     top = int(total[d].argmax())
                     best[i + d], score[i + d] = net.langs[top], min(1.0, total[d, top] / size[d])
             yield pa.StructArray.from_arrays([pa.array(best, pa.string()), pa.array(score)], ["lang", "score"])

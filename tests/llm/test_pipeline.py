@@ -1,6 +1,8 @@
 """Every stage on what the one before kept, against the operators' own rules."""
 
+import base64
 import hashlib
+import random
 
 import pytest
 
@@ -34,6 +36,29 @@ def test_language_keeps_clean_documents(stages):
     assert after.count() >= 0.98 * before.count() and after.exceptAll(before).count() == 0
 
 
+def test_language_rejects_planted_junk_only(spark, docs, sf_dir):
+    """Letter junk, codes and other scripts go; mixed languages and short texts with a key stay."""
+    rng = random.Random(4)
+    clean = [(r.lang, r.text) for r in docs.where("lang IS NOT NULL AND length(text) > 600").orderBy("doc_id").collect()]
+    other = {x: [t for v, t in clean if v != x] for x in {v for v, _ in clean}}
+    good, bad = [], []
+    for lang, text in clean[:20]:
+        a, b = text.split(), rng.choice(other[lang]).split()
+        good.append(" ".join(w for k in range(0, 60, 6) for w in a[k : k + 6] + b[k : k + 6]))
+        good.append(f'{" ".join(a[:12])} token = "{rng.randbytes(20).hex()}"')
+        bad.append("".join(rng.sample(text, len(text))))
+        bad.append(base64.b64encode(rng.randbytes(900)).decode())
+        bad.append(rng.randbytes(600).hex())
+        bad.append("".join(rng.choice("abcdefghijklmnopqrstuvwxyz  ") for _ in range(900)))
+        bad.append("".join(chr(rng.randrange(0x430, 0x450)) if rng.random() < 0.8 else " " for _ in range(900)))
+    planted = [(10**9 + i, t) for i, t in enumerate(good + bad)]
+    rows = spark.createDataFrame(planted, "doc_id bigint, text string")
+    kept = C.identify_language(spark, docs.unionByName(rows, allowMissingColumns=True), sf_dir)
+    ids = {r.doc_id for r in kept.select("doc_id").collect()}
+    assert {r.doc_id for r in docs.select("doc_id").collect()} <= ids
+    assert {i for i in ids if i >= 10**9} == {10**9 + i for i in range(len(good))}
+
+
 def test_one_document_of_each_class(spark, stages):
     before, after = stages[1]
     assert after.exceptAll(before).count() == 0
