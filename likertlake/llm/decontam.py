@@ -15,7 +15,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from likertlake.llm import words as W
@@ -168,17 +168,31 @@ def contamination(
 
 
 def _blocks(items: DataFrame, item_id: str, text: str, window: int, gram: int, block_bytes: int) -> list:
-    """One function for each block, which fetches it and builds its index."""
-    rows = items.where(F.col(f"`{item_id}`").isNotNull() & F.col(f"`{text}`").isNotNull()).select(F.col(f"`{item_id}`").cast("string").alias("item"), F.col(f"`{text}`").alias("text"))
-    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    n = -(-size // block_bytes) or 1
+    """One function for each block, which fetches it and builds its index.
 
-    def make(k: int) -> Index:
-        block = rows if n == 1 else rows.where(F.pmod(F.xxhash64("item", "text"), F.lit(n)) == k)
+    Blocks hold distinct pairs of item and text and at most ``block_bytes`` of text, or one
+    longer text. They are cut from running totals in groups of about 16 blocks.
+    """
+    rows = items.where(F.col(f"`{item_id}`").isNotNull() & F.col(f"`{text}`").isNotNull()).select(F.col(f"`{item_id}`").cast("string").alias("item"), F.col(f"`{text}`").alias("text")).distinct()
+    bytes_ = F.octet_length("text")
+    size, longest = rows.agg(F.sum(bytes_), F.max(F.when(bytes_ <= block_bytes // 2, bytes_))).first()
+
+    def make(block: DataFrame) -> Index:
         got = block.toArrow()
         return Index(got.column("item").to_pylist(), got.column("text").to_pylist(), window, gram)
 
-    return [lambda k=k: make(k) for k in range(n)]
+    if (size or 0) <= block_bytes:
+        return [lambda: make(rows.select("item", "text"))]
+    # A block starts every ``step`` bytes and ends with the text that crosses the next start.
+    step = max(1, block_bytes - (longest or 0))
+    long = bytes_ > block_bytes // 2
+    group = F.pmod(F.xxhash64("item", "text"), F.lit(max(1, size // (16 * block_bytes))))
+    order = Window.partitionBy("long", "part").orderBy(F.xxhash64("text", "item"), "item", "text").rowsBetween(Window.unboundedPreceding, -1)
+    before = F.coalesce(F.sum(F.when(F.col("long"), step).otherwise(bytes_)).over(order), F.lit(0))
+    rows = rows.withColumn("long", long).withColumn("part", group).withColumn("block", F.floor(before / step))
+    rows = Workspace(items.sparkSession, "decontam").cut(rows, "items")
+    keys = rows.select("long", "part", "block").distinct().collect()  # one for each block
+    return [lambda r=r: make(rows.where((F.col("long") == r.long) & (F.col("part") == r.part) & (F.col("block") == r.block)).select("item", "text")) for r in sorted(keys)]
 
 
 def is_contaminated(found: Column) -> Column:

@@ -56,6 +56,18 @@ def test_odd_rows_and_blocks(spark, odd, block_bytes):
     assert found == sorted(brute([r.text for r in odd.collect()], items))
 
 
+def test_blocks_are_bounded(spark, monkeypatch):
+    """Equal pairs count once; only a single longer text makes a larger block."""
+    rows = [("hot", "one text that makes up a third")] * 200 + [(f"i{i}", f"text {i} " + "x" * (i % 40)) for i in range(300)] + [("long", "y" * 900)] * 3
+    seen = []
+    monkeypatch.setattr(decontam, "Index", lambda items, texts, window, gram: seen.append(list(zip(items, texts))))
+    for make in decontam._blocks(spark.createDataFrame(rows, "item_id string, text string"), "item_id", "text", 13, 5, 500):
+        make()
+    assert sorted(x for block in seen for x in block) == sorted(set(rows))
+    assert all(sum(len(t) for _, t in block) <= 500 or len(block) == 1 for block in seen)
+    assert len(seen) <= 2 * sum(len(t) for _, t in set(rows)) / 500
+
+
 def test_nothing(odd, none):
     items = odd.selectExpr("doc_id AS item_id", "text")
     assert decontam.contamination(none, items).collect() == []
