@@ -29,8 +29,8 @@ LEAST = {"assign": 6, "access": 20, "hex": 24}
 
 BASE = ("assign", "access", "hex")
 LEARNED = "format"
-#: Tokens that could be credentials; those without both a letter and a digit are words or numbers.
-TOKEN = re.compile(r"(?<![A-Za-z0-9+/_.=-])[A-Za-z0-9+/_.=-]{16,}")
+#: Tokens that could be credentials are of this length, or of the shortest labelled one if that is less.
+CANDIDATE = 16
 ALPHABET = 68
 #: Distinct credentials of each kind, and distinct ordinary tokens, to learn from.
 SAMPLE, ORDINARY_SAMPLE = 1500, 5000
@@ -54,6 +54,10 @@ _ACCESS = re.compile(ACCESS)
 _HEX = re.compile(HEX.replace("+", f"{{{LEAST['hex']},}}"))
 
 
+def token(least: int) -> re.Pattern[str]:
+    return re.compile(rf"(?<![A-Za-z0-9+/_.=-])[A-Za-z0-9+/_.=-]{{{least},}}")
+
+
 class Automaton:
     """A probabilistic automaton: of each state the visits, ends, and next state by symbol."""
 
@@ -162,7 +166,8 @@ class Ordinary:
 class Formats:
     """Automata by kind, and the gain over ordinary tokens that each asks for."""
 
-    def __init__(self, samples: dict[str, list[str]], ordinary: list[str]) -> None:
+    def __init__(self, samples: dict[str, list[str]], ordinary: list[str], shortest: int = CANDIDATE) -> None:
+        self.shortest = shortest
         self.ordinary = Ordinary(ordinary)
         self.automata = {k: learn(words) for k, words in sorted(samples.items()) if words}
         self.least = {}
@@ -180,36 +185,41 @@ class Formats:
         return best if best >= 0 else None
 
 
-def is_candidate(token: str) -> bool:
-    return any(c.isdigit() for c in token) and any(c.isalpha() for c in token)
-
-
 def fit(docs: DataFrame, text: str = "text", sample: int = SAMPLE, ordinary: int = ORDINARY_SAMPLE) -> Formats:
     """Learn the formats of the credentials that the patterns find in all texts.
 
     Of each kind the ``sample`` distinct values of the least hash are learned from, and
-    as many ``ordinary`` tokens of the same form that no pattern matches. With no
-    credentials there are no formats, and only the patterns find anything.
+    as many ``ordinary`` tokens that no pattern matches, as short as the shortest credential
+    of the whole corpus. With no credentials there are no formats, and only the patterns
+    find anything.
     """
-
-    def found(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for batch in batches:
-            out = []
-            for x in batch.to_pylist():
-                t = x or ""
-                spans = base_spans(t)
-                values = [(k, (_ASSIGN.match(t, s).group(2) if k == "assign" else t[s:e])) for k, s, e in spans]
-                values += [("", m.group()) for m in TOKEN.finditer(t) if not any(s < m.end() and m.start() < e for _, s, e in spans)]
-                out.append([{"kind": k, "value": v} for k, v in values])
-            yield pa.array(out, pa.list_(pa.struct([("kind", pa.string()), ("value", pa.string())])))
-
-    kind = "array<struct<kind string, value string>>"
-    each = Workspace(docs.sparkSession, "secrets").cut(docs.select(F.inline(column_udf(found, kind)(f"`{text}`"))).distinct(), "labelled")
+    space, kind = Workspace(docs.sparkSession, "secrets"), "array<struct<kind string, value string>>"
+
+    def values(least: int, labelled: bool) -> DataFrame:
+        pattern = token(least)
+
+        def found(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+            for batch in batches:
+                out = []
+                for x in batch.to_pylist():
+                    t = x or ""
+                    spans = base_spans(t)
+                    own = [(k, (_ASSIGN.match(t, s).group(2) if k == "assign" else t[s:e])) for k, s, e in spans] if labelled else []
+                    own += [("", m.group()) for m in pattern.finditer(t) if not any(s < m.end() and m.start() < e for _, s, e in spans)]
+                    out.append([{"kind": k, "value": v} for k, v in own])
+                yield pa.array(out, pa.list_(pa.struct([("kind", pa.string()), ("value", pa.string())])))
+
+        return space.cut(docs.select(F.inline(column_udf(found, kind)(f"`{text}`"))).distinct(), "labelled")
+
+    each = values(CANDIDATE, True)
+    shortest = each.where("kind <> ''").agg(F.min(F.length("value"))).first()[0] or CANDIDATE
+    shortest = min(CANDIDATE, max(LEAST["assign"], shortest))
+    plain = each if shortest == CANDIDATE else values(shortest, False)
     got: dict[str, list[str]] = {}
     for k in (*BASE, ""):
-        rows = each.where(F.col("kind") == k).orderBy(F.xxhash64("value"), "value").limit(ordinary if k == "" else sample)
+        rows = (each if k else plain).where(F.col("kind") == k).orderBy(F.xxhash64("value"), "value").limit(ordinary if k == "" else sample)
         got[k] = [r.value for r in rows.collect()]  # bounded by the sample
-    return Formats({k: v for k, v in got.items() if k}, got[""])
+    return Formats({k: v for k, v in got.items() if k}, got[""], shortest)
 
 
 _SPANS = "array<struct<kind: string, start: bigint, end: bigint, score: double>>"
@@ -228,8 +238,9 @@ def scan(docs: DataFrame, formats: Formats, text: str = "text", to: str = "secre
 
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         formats = get()
+        pattern = token(formats.shortest)
         for batch in batches:
-            yield pa.array([_spans(x or "", formats) for x in batch.to_pylist()], _TYPE)
+            yield pa.array([_spans(x or "", formats, pattern) for x in batch.to_pylist()], _TYPE)
 
     keep = [f"`{c}`" for c in docs.columns if c != to]
     return docs.select(*keep, column_udf(run, _SPANS)(f"`{text}`").alias(to))
@@ -238,11 +249,11 @@ def scan(docs: DataFrame, formats: Formats, text: str = "text", to: str = "secre
 _TYPE = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("score", pa.float64())]))
 
 
-def _spans(text: str, formats: Formats) -> list[dict]:
+def _spans(text: str, formats: Formats, pattern: re.Pattern[str]) -> list[dict]:
     base = base_spans(text)
     out = [{"kind": k, "start": s, "end": e, "score": 1.0} for k, s, e in base]
-    for m in TOKEN.finditer(text):
-        if is_candidate(m.group()) and not any(s < m.end() and m.start() < e for _, s, e in base):
+    for m in pattern.finditer(text):
+        if not any(s < m.end() and m.start() < e for _, s, e in base):
             if (score := formats.score(m.group())) is not None:
                 out.append({"kind": LEARNED, "start": m.start(), "end": m.end(), "score": score})
     rank = {k: i for i, k in enumerate((*BASE, LEARNED))}

@@ -59,6 +59,19 @@ def test_inferred_formats_find_what_no_pattern_does(spark):
     assert {r.doc_id: r.x for r in scanned.select("doc_id", secrets.redacted(scanned).alias("x")).collect()}[1] == "here <redacted> there"
 
 
+def test_short_and_letter_only_formats(spark):
+    """Labelled credentials of ten characters, and of letters only, have a format that finds more."""
+    rng = random.Random(6)
+    make = lambda letters, n: "".join(rng.choice(letters) for _ in range(n))
+    for prefix, letters, n in (("qz-", "BCDFGHJK2345", 7), ("QZX", "BCDFGHJKQWXZ", 20)):
+        prose = [" ".join(make("etaoinshrdlu", rng.randrange(2, 20)) for _ in range(40)) for _ in range(200)]
+        df = spark.createDataFrame([(i, f"{p} token = '{prefix}{make(letters, n)}'") for i, p in enumerate(prose)], "doc_id int, text string")
+        new = prefix + make(letters, n)
+        test = spark.createDataFrame([(1, f"here {new} there"), (2, prose[0])], "doc_id int, text string")
+        found = {r.doc_id: [(s.kind, s.start, s.end) for s in r.secrets] for r in secrets.scan(test, secrets.fit(df)).collect()}
+        assert found == {1: [("format", 5, 5 + len(new))], 2: []}
+
+
 def test_merging_generalises_and_keeps_prefixes():
     words = ["AKIA" + "".join(random.Random(i).choices("ABCDEFGH", k=12)) for i in range(300)]
     a = secrets.learn(words)
