@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from likertlake.llm import bpe, decontam, langid, neardup, pages, quality, secrets, shards, substring, vectors
+from likertlake.llm import bpe, decontam, fim, langid, manifest, neardup, pages, pii, quality, secrets, shards, substring, vectors
 from likertlake.llm.oracles import all_oracles as all_oracles
 
 
@@ -97,6 +97,50 @@ def op10_vector_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("vec_id"), "n_links", "component_id", F.col("id").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
+def op11_dataset_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document as a leaf of the manifest, folded to the root from its tampered text.
+
+    Null fields count as ``-``; documents without a language have a tree of their own;
+    equal rows are leaves each, a null id comes first and is never tampered with; no documents, no rows.
+    """
+    docs = _table(spark, sf_dir, "documents")
+    fields = ["doc_id", "source", "lang", "n_chars", "text"]
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    changed = [F.translate("text", upper, upper.lower()) if c == "text" else F.col(c) for c in fields]
+    tampered = F.when(F.crc32(F.col("doc_id").cast("string")) % 3 == 0, manifest.digest(changed))
+    return manifest.build(docs, fields, replacement=tampered).verified().withColumnRenamed("id", "doc_id")
+
+
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text cut by lines and put in the order of its form, and restored from that.
+
+    A null text counts as empty; an empty one is plain, with 0 lines. Rows of one id have the same
+    draws; a null id has those of the seed alone.
+    """
+    docs = fim.transform(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    f = F.col("fim")
+    back = fim.restored(f["output"], f["form"])
+    return docs.select(
+        "doc_id", f["n"].alias("n"), f["form"].alias("form"), f["prefix_chars"].alias("prefix_chars"), f["middle_chars"].alias("middle_chars"),
+        F.sha2(f["output"], 256).alias("output_sha256"), F.sha2(back, 256).alias("restored_sha256"),
+    )
+
+
+def op13_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data of every text: counts and digest of the fixed patterns, and all spans.
+
+    Disguised identifiers are in ``spans`` under their kind and counted in ``n_disguised``
+    alone. A null or empty text has no spans; repeated rows have the same ones.
+    """
+    found = pii.scan(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    base = F.filter("pii", lambda x: ~x["disguised"])
+    number = lambda kind: F.size(F.filter(base, lambda x: x["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
+    return found.select(
+        "doc_id", *map(number, pii.KINDS), F.sha2(pii.listed(base), 256).alias("base_sha256"), pii.listed(F.col("pii")).alias("spans"),
+        (F.size("pii") - F.size(base)).cast("bigint").alias("n_disguised"),
+    )
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline  # it imports this package in turn
 
@@ -115,5 +159,8 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_decontamination": op8_decontamination,
         "op9_shards": op9_shards,
         "op10_vector_duplicates": op10_vector_duplicates,
+        "op11_dataset_manifest": op11_dataset_manifest,
+        "op12_fill_in_middle": op12_fill_in_middle,
+        "op13_personal_data": op13_personal_data,
         "pipeline": pipeline,
     }
