@@ -146,13 +146,19 @@ def _lookalike_table() -> dict[str, str]:
 
 
 _TABLE = _lookalike_table()
-_LOOKALIKE = re.compile(f"[{''.join(map(re.escape, sorted(_TABLE)))}]+")
+_LOOKALIKES = frozenset(_TABLE)
 
 
 def _plain_characters(text: str) -> list[tuple[int, int, str]]:
     if text.isascii():
         return []
-    return [(m.start() + k, m.start() + k + 1, _TABLE[c]) for m in _LOOKALIKE.finditer(text) for k, c in enumerate(m.group())]
+    out = []
+    for c in _LOOKALIKES.intersection(text):
+        at = text.find(c)
+        while at >= 0:
+            out.append((at, at + 1, _TABLE[c]))
+            at = text.find(c, at + 1)
+    return sorted(out)
 
 
 #: Words for at, dot, plus and the digits in the languages of the corpus, and
@@ -191,13 +197,22 @@ def _signs(text: str) -> list[tuple[int, int, str]]:
 
 _VALUE = {w: str(d) for words in DIGITS for d, w in enumerate(words.split())}
 _SPELLED = re.compile(rf"(?<!\w)(?:{'|'.join(sorted(_VALUE, key=lambda w: (-len(w), w)))})(?!\w)", re.I)
+_WORD, _NEIGHBOUR = re.compile(r"\w+"), frozenset(_VALUE) | frozenset(DOT.split("|"))
 _GAP = rf"(?:[\x20.-]|\x20(?:{DOT})\x20)"
 _BETWEEN, _DIGIT_BEFORE, _DIGIT_AFTER = re.compile(_GAP, re.I), re.compile(rf"[0-9]{_GAP}\Z", re.I), re.compile(rf"{_GAP}[0-9]", re.I)
 _LONGEST_GAP = max(map(len, _SAID_DOTS))
 
 
+def _may_spell(text: str) -> bool:
+    """Whether a word for a digit has one, a digit or a dot for its neighbour, whatever stands between."""
+    words = _WORD.findall(text.casefold())
+    return any((a in _VALUE and (b in _NEIGHBOUR or b[0].isdecimal())) or (b in _VALUE and (a in _NEIGHBOUR or a[-1].isdecimal())) for a, b in zip(words, words[1:]))
+
+
 def _spelled_digits(text: str) -> list[tuple[int, int, str]]:
     """Words for digits next to another digit; those that follow each other are written together."""
+    if not _may_spell(text):
+        return []
     found = [m.span() for m in _SPELLED.finditer(text) if m.group().casefold() in _VALUE]  # other letters may fold to these
     # Whether only a gap lies between a word and the one before it.
     linked = [False, *[b[0] - a[1] <= _LONGEST_GAP and bool(_BETWEEN.fullmatch(text, a[1], b[0])) for a, b in zip(found, found[1:])], False]
@@ -210,11 +225,18 @@ def _spelled_digits(text: str) -> list[tuple[int, int, str]]:
     return out
 
 
-_SIGN_OF_DIGITS = re.compile(rf"(?<=[0-9])\x20(?:{DOT})\x20(?=[0-9])|(?<!\w)(?P<plus>{PLUS})\x20(?=[0-9])", re.I)
+_DOT_OF_DIGITS = re.compile(rf"(?<=[0-9])\x20(?:{DOT})\x20(?=[0-9])", re.I)
+_PLUS_OF_DIGITS = re.compile(rf"(?<!\w)(?:{PLUS})\x20(?=[0-9])", re.I)
+_SAID_PLUS = tuple(f"{w} " for w in PLUS.split("|"))
 
 
 def _signs_of_digits(text: str) -> list[tuple[int, int, str]]:
-    return [(m.start(), m.end(), "+" if m.group("plus") else ".") for m in _SIGN_OF_DIGITS.finditer(text)]
+    low, out = text.lower(), []
+    if any(w in low for w in _SAID_DOTS):
+        out += [(*m.span(), ".") for m in _DOT_OF_DIGITS.finditer(text)]
+    if any(w in low for w in _SAID_PLUS):
+        out += [(*m.span(), "+") for m in _PLUS_OF_DIGITS.finditer(text)]
+    return sorted(out)
 
 
 _MIXED = re.compile(r"(?<![A-Za-z0-9])[0-9OoIl]++(?![A-Za-z0-9])(?:[\x20.-][0-9OoIl]++(?![A-Za-z0-9]))*")
