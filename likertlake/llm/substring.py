@@ -4,8 +4,9 @@ A window of ``window`` words occurs twice only if a block of ``block`` words on
 grid of one occurrence (every ``block`` words from the start of its text) occurs
 somewhere else too. So the non-overlapping blocks of all texts are the index, and the
 rolling block at every position probes it. Windows around a hit are the candidates
-(a repeat of any length is a run of them); their own hashes decide which of them
-occur twice. What the decision covers is a maximal exact repeat.
+(a repeat of any length is a run of them). Of those alone a 128-bit digest is taken over
+their words as they are written, and equal digests decide: the short hashes of the
+probes only choose what is looked at. What the decision covers is a maximal exact repeat.
 
 Volume is what matters here, for there is a probe for every word. Texts travel in
 compressed chunks, and the hashes of a chunk as sorted distinct values, cut to the
@@ -17,6 +18,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -59,7 +61,7 @@ class Chunk:
     def __init__(self, blob: bytes, text: str, tables: tuple[W.Powers, W.Powers], letters: np.ndarray) -> None:
         self.rows = pa.ipc.open_stream(blob).read_all().combine_chunks()
         data, offsets = W.column(self.rows.column(text))
-        self.words, self.tables = W.split(data, offsets, letters), tables
+        self.words, self.tables, self.letters = W.split(data, offsets, letters), tables, letters
         self.prefix = W.window_prefix(W.word_hashes(self.words, tables[0]), tables[1])
 
     def hashes(self, k: int, drop: int, at: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
@@ -68,6 +70,33 @@ class Chunk:
         return at, W.window_hashes(self.prefix, k, self.tables[1], at) >> np.uint64(drop)
 
 
+    def digests(self, k: int, at: np.ndarray) -> np.ndarray:
+        """BLAKE2b of the words of the windows that start at ``at``, a blank between two: two numbers each.
+
+        Words hold no blank, so windows have equal texts if and only if they have equal words.
+        """
+        if not len(at):
+            return np.zeros((0, 2), np.uint64)
+        w = self.words
+        first = np.r_[0, np.cumsum(w.ends - w.starts + 1)]
+        plain, inside = np.full(first[-1], 32, np.uint8), np.ones(first[-1], bool)
+        inside[first[1:] - 1] = False
+        plain[inside] = w.data[self.letters[w.data]]
+        text = memoryview(plain.tobytes())
+        found = b"".join([blake2b(text[a:b], digest_size=16).digest() for a, b in zip(first[at].tolist(), (first[at + k] - 1).tolist())])
+        return np.frombuffer(found, "<u8").reshape(-1, 2).astype(np.uint64)
+
+
+def distinct(digests: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct digests in order of the first number, then the second; where each one given is among them; how often they occur."""
+    order = np.lexsort((digests[:, 1], digests[:, 0]))
+    own = digests[order]
+    new = np.r_[True, (own[1:] != own[:-1]).any(1)][: len(own)]
+    back = np.empty(len(own), np.int64)
+    back[order] = np.cumsum(new) - 1
+    return own[new], back, np.bincount(back, minlength=int(new.sum()))
+
+
 def planes(values: np.ndarray, width: int) -> bytes:
     """The low ``width`` bytes of sorted values, byte by byte: slow ones compress."""
     return np.ascontiguousarray(values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T).tobytes()
@@ -90,30 +119,42 @@ PROBES = "part int, chunk bigint, hashes binary, flags binary"
 REPLIES = "part int, chunk bigint, bits binary"
 
 
-def probes(chunk: int, values: np.ndarray, flags: tuple[np.ndarray, ...], parts: int, width: int) -> pa.RecordBatch:
-    """Sorted distinct values with their flags, a row for each part that gets any."""
+def probes(chunk: int, values: np.ndarray, flags: tuple[np.ndarray, ...], parts: int, width: int, rest: np.ndarray | None = None) -> pa.RecordBatch:
+    """Sorted distinct values with their flags, a row for each part that gets any; ``rest`` is the second number of digests."""
     at = bounds(values, parts, width)
     own = np.flatnonzero(np.diff(at))
+    tail = lambda p: b"" if rest is None else planes(rest[at[p] : at[p + 1]], 8)
     return pa.record_batch(
         {
             "part": pa.array(own, pa.int32()),
             "chunk": pa.array([chunk] * len(own), pa.int64()),
-            "hashes": pa.array([planes(values[at[p] : at[p + 1]], width) for p in own], pa.binary()),
+            "hashes": pa.array([planes(values[at[p] : at[p + 1]], width) + tail(p) for p in own], pa.binary()),
             "flags": pa.array([b"".join(np.packbits(f[at[p] : at[p + 1]]).tobytes() for f in flags) for p in own], pa.binary()),
         }
     )
 
 
 def compare(rows: pa.Table, width: int, indexed: bool) -> pa.Table:
-    """For each chunk's values of a part, whether they occur twice (and are indexed)."""
-    values = [unplanes(b.as_py(), width) for b in rows.column("hashes")]
+    """For each chunk's values of a part, whether they occur twice (and are indexed).
+
+    Without an index the values are digests of two numbers, both of which count.
+    """
+    packed = [b.as_py() for b in rows.column("hashes")]
+    rest = None
+    if not indexed:
+        rest = np.concatenate([unplanes(b[len(b) // 2 :], 8) for b in packed])
+        packed = [b[: len(b) // 2] for b in packed]
+    values = [unplanes(b, width) for b in packed]
     flags = []
     for v, f in zip(values, rows.column("flags")):
         bits = np.frombuffer(f.as_py(), np.uint8).reshape(1 + indexed, -1)
         flags.append(np.unpackbits(bits, axis=1, count=len(v)).astype(bool))
     every, flag = np.concatenate(values), np.concatenate(flags, axis=1)
-    order = np.argsort(every, kind="stable")
-    first = np.flatnonzero(np.r_[True, every[order][1:] != every[order][:-1]])
+    order = np.argsort(every, kind="stable") if rest is None else np.lexsort((rest, every))
+    new = every[order][1:] != every[order][:-1]
+    if rest is not None:
+        new |= rest[order][1:] != rest[order][:-1]
+    first = np.flatnonzero(np.r_[True, new])
     many = (np.diff(np.r_[first, len(every)]) > 1) | np.logical_or.reduceat(flag[0][order], first)
     if indexed:
         many &= np.logical_or.reduceat(flag[1][order], first)
@@ -185,9 +226,8 @@ def repeats(
                 fits = W.inside(c.words, window)
                 reach = window - block
                 near = W.spread(np.maximum(hit - reach, 0), np.minimum(hit, reach) + 1, len(c.words.doc))[: len(fits)] & fits
-                at, h = c.hashes(window, 0, np.flatnonzero(near))
-                values, n = np.unique(h, return_counts=True)
-                yield probes(chunk, values, (n > 1,), parts, 8)
+                values, _, n = distinct(c.digests(window, np.flatnonzero(near)))
+                yield probes(chunk, values[:, 0], (n > 1,), parts, 8, values[:, 1])
                 yield pa.record_batch({"part": pa.array([-1], pa.int32()), "chunk": pa.array([chunk], pa.int64()), "hashes": pa.array([np.packbits(near).tobytes()], pa.binary()), "flags": pa.array([b""], pa.binary())})
 
     # Only chunks with a hit have candidates.
@@ -203,9 +243,9 @@ def repeats(
                 w, gone = c.words, np.zeros(len(c.words.doc), bool)
                 if replies.is_valid:
                     n = max(0, len(w.doc) - window + 1)
-                    at, h = c.hashes(window, 0, np.flatnonzero(np.unpackbits(np.frombuffer(near.as_py(), np.uint8), count=n)))
-                    values, back = np.unique(h, return_inverse=True)
-                    gone = W.spread(at[answered(values, replies.as_py(), parts, 8)[back]], window, len(w.doc))
+                    at = np.flatnonzero(np.unpackbits(np.frombuffer(near.as_py(), np.uint8), count=n))
+                    values, back, _ = distinct(c.digests(window, at))
+                    gone = W.spread(at[answered(values[:, 0], replies.as_py(), parts, 8)[back]], window, len(w.doc))
                 yield from _kept(c.rows, text, w, gone, to)
 
     out = T.StructType([*docs.schema.fields, T.StructField(to, T.StructType([T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()), T.StructField("kept", T.StringType())]))])

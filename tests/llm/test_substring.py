@@ -2,9 +2,11 @@ import hashlib
 import random
 from collections import Counter
 
+import pyarrow as pa
 import pytest
 
 from likertlake.llm import queries, substring
+from likertlake.llm import words as W
 
 
 def brute(texts, window):
@@ -33,6 +35,23 @@ def test_random_texts_over_many_small_chunks_and_parts(spark, window, block):
     assert [got[i] for i in range(200)] == list(brute(texts, window))
 
 
+def test_words_of_equal_hashes_are_no_repeat(spark):
+    """Two words that the short hash takes for one: windows that begin with them stay, equal ones go."""
+    one = "a"
+    while len(one) < 1024:
+        one += one.translate(str.maketrans("ab", "ba"))
+    other = one.translate(str.maketrans("ab", "ba"))
+    tables = W.powers()
+    w = W.split(*W.column(pa.array([one, other])), W.NOT_BLANK)
+    h = W.word_hashes(w, tables[0])
+    assert h[0] == h[1]
+    tail = " ".join(f"w{i}" for i in range(34))
+    texts = [f"{one} {tail}", f"{other} {tail}", f"x {one}  {tail}\n", f"{other[:-1]}c {tail}"]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, text string")
+    got = {r.i: tuple(r.repeats) for r in substring.repeats(df).collect()}
+    assert [got[i] for i in range(4)] == list(brute(texts, 35)) and [got[i][1] for i in range(4)] == [35, 0, 35, 0]
+
+
 def test_odd_rows(odd, none):
     rows = odd.collect()
     got = substring.repeats(odd).collect()
