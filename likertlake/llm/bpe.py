@@ -10,8 +10,9 @@ from __future__ import annotations
 
 import base64
 import heapq
+import re
 from collections.abc import Iterator
-from itertools import chain
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -25,8 +26,8 @@ from likertlake.session import Workspace
 
 #: Characters of a chunk and of its overlap with the next. Shorter texts are one piece.
 CHUNK, OVERLAP = 1 << 15, 1 << 11
-#: Pre-tokens whose ids a task keeps, and the longest that it keeps.
-CACHE, CACHED_LENGTH = 100_000, 64
+#: Pre-tokens whose ids a worker keeps, the longest that it keeps, and characters encoded at once.
+CACHE, CACHED_LENGTH, AT_ONCE = 200_000, 64, 1 << 19
 #: A pre-token that ends this close to a cut could go on, or begin otherwise, beyond it.
 MARGIN = 3
 #: Pre-tokens beyond this many bytes are merged with a heap.
@@ -38,26 +39,68 @@ class Tokenizer:
 
     def __init__(self, ranks: dict[bytes, int], pattern: str) -> None:
         self.ranks, self.pattern = ranks, pattern
-        self.cache: dict[str, tuple[int, ...]] = {}
+        self.pairs, self.joined = _pairs(ranks)
+        self._prepare()
+
+    def _prepare(self) -> None:
+        self.cache: dict[str, bytes] = {}
+        self.split, self.split_ascii = regex.compile(self.pattern).findall, _ascii_split(self.pattern)
 
     def __getstate__(self) -> dict:
-        return {"ranks": self.ranks, "pattern": self.pattern, "cache": {}}
+        return {k: self.__dict__[k] for k in ("ranks", "pattern", "pairs", "joined")}
+
+    def __setstate__(self, state: dict) -> None:
+        self.__dict__.update(state)
+        self._prepare()
 
     def cuts(self, text: str) -> Iterator[tuple[int, int]]:
         return (m.span() for m in regex.finditer(self.pattern, text))
 
+    def pieces(self, text: str) -> list[str]:
+        """Pre-tokens in turn."""
+        plain = self.split_ascii and text.isascii() and not _SEPARATORS.search(text)
+        return self.split_ascii(text) if plain else self.split(text)
+
+    def packed(self, texts: list[str]) -> list[bytes]:
+        """Token ids of the pre-tokens of each text in turn, four bytes each."""
+        out, k = [], 0
+        while k < len(texts):
+            some, size = [], 0
+            while k < len(texts) and (not some or size + len(texts[k]) <= AT_ONCE):
+                some.append(self.pieces(texts[k]))
+                size += len(texts[k])
+                k += 1
+            ids = self._known(set().union(*some)).__getitem__
+            out += [b"".join(map(ids, x)) for x in some]
+        return out
+
+    def _known(self, wanted: set[str]) -> dict[str, bytes]:
+        """A table with the ids of the wanted pre-tokens at least."""
+        if len(self.cache) + len(wanted) > CACHE:  # the older half goes
+            for p in list(islice(self.cache, len(self.cache) // 2)):
+                del self.cache[p]
+        new = sorted(wanted - self.cache.keys())
+        if not new:
+            return self.cache
+        found = dict(zip(new, self._merged([p.encode() for p in new])))
+        self.cache.update((p, x) for p, x in found.items() if len(p) <= CACHED_LENGTH)
+        long = {p: x for p, x in found.items() if len(p) > CACHED_LENGTH}
+        return {**self.cache, **long} if long else self.cache
+
+    def _merged(self, pieces: list[bytes]) -> list[bytes]:
+        whole = [self.ranks.get(p) for p in pieces]
+        few = [k for k, p in enumerate(pieces) if whole[k] is None and len(p) <= HEAP_FROM]
+        out = [b"" if r is None else _pack([r]) for r in whole]
+        for k, ids in zip(few, merge_all([pieces[k] for k in few], self.ranks, self.pairs, self.joined)):
+            out[k] = ids
+        for k, p in enumerate(pieces):
+            if whole[k] is None and len(p) > HEAP_FROM:
+                out[k] = _pack(merge(p, self.ranks))
+        return out
+
     def encode(self, text: str) -> list[int]:
         """Token ids of each pre-token in turn."""
-        pieces, cache = regex.findall(self.pattern, text), self.cache
-        if len(cache) > CACHE:
-            cache.clear()
-        own: dict[str, tuple[int, ...]] = {}
-        for p in set(pieces):
-            if p not in cache:
-                (cache if len(p) <= CACHED_LENGTH else own)[p] = tuple(merge(p.encode(), self.ranks))
-        if own:
-            return list(chain.from_iterable(cache.get(p) or own[p] for p in pieces))
-        return list(chain.from_iterable([cache[p] for p in pieces]))
+        return np.frombuffer(self.packed([text])[0], np.int32).tolist()
 
     def vocabulary(self) -> tuple[np.ndarray, np.ndarray]:
         """All tokens' bytes in a row by id, and where each begins."""
@@ -74,6 +117,101 @@ def load(spark: SparkSession, path: str, pattern: str) -> Tokenizer:
     return Tokenizer({base64.b64decode(p[0]): int(p[1]) for p in pairs if p}, pattern)
 
 
+def _pack(ids: list[int]) -> bytes:
+    return np.array(ids, np.int32).tobytes()
+
+
+#: Control characters that one library takes for white space and the other does not.
+_SEPARATORS = re.compile("[\x1c-\x1f]")
+
+
+def _ascii_split(pattern: str):
+    """The same split for ASCII texts by the standard library, which is faster; None if it cannot have the pattern."""
+    plain = {r"\p{L}": "A-Za-z", r"\p{N}": "0-9"}
+    out, inside, k = "", False, 0
+    while k < len(pattern):
+        if pattern[k : k + 5] in plain:
+            own = plain[pattern[k : k + 5]]
+            out, k = out + (own if inside else f"[{own}]"), k + 5
+            continue
+        step = 2 if pattern[k] == "\\" else 1
+        if step == 1:
+            inside = pattern[k] == "[" or (inside and pattern[k] != "]")
+        out, k = out + pattern[k : k + step], k + step
+    try:
+        return re.compile(out).findall
+    except re.error:
+        return None
+
+
+def _pairs(ranks: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of tokens whose bytes make up a token, as one number each, sorted, and the rank of that token."""
+    found = {}
+    for token, rank in ranks.items():
+        for k in range(1, len(token)):
+            a, b = ranks.get(token[:k]), ranks.get(token[k:])
+            if a is not None and b is not None:
+                found[a << 32 | b] = rank
+    keys = np.fromiter(found.keys(), np.int64, len(found))
+    order = np.argsort(keys)
+    return keys[order], np.fromiter(found.values(), np.int64, len(found))[order]
+
+
+def merge_all(pieces: list[bytes], ranks: dict[bytes, int], pairs: np.ndarray, joined: np.ndarray) -> list[bytes]:
+    """``merge`` for many pieces at once, none of which is a token; ids as four bytes each.
+
+    In every round each piece joins its pair of the lowest rank, leftmost first, until it has none.
+    """
+    if not pieces:
+        return []
+    single = np.array([ranks.get(bytes([b]), -1) for b in range(256)], np.int64)
+    part = single[np.frombuffer(b"".join(pieces), np.uint8)]
+    if (part < 0).any():
+        raise KeyError("a byte is no token")
+    of = np.repeat(np.arange(len(pieces)), [len(p) for p in pieces])
+
+    def rank(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        if not len(pairs):
+            return np.full(len(left), NONE)
+        key = left << 32 | right
+        at = np.minimum(np.searchsorted(pairs, key), len(pairs) - 1)
+        return np.where(pairs[at] == key, joined[at], NONE)
+
+    def following(at: np.ndarray) -> np.ndarray:
+        """Ranks of the pairs that begin at ``at``."""
+        ends = (at + 1 >= len(of)) | (of[np.minimum(at + 1, len(of) - 1)] != of[at])
+        return np.where(ends, NONE, rank(part[at], part[np.minimum(at + 1, len(of) - 1)]))
+
+    pair = following(np.arange(len(of)))
+    done_part, done_of = [], []
+    while len(of):
+        first = np.flatnonzero(np.r_[True, of[1:] != of[:-1]])
+        least = np.minimum.reduceat(pair, first)
+        size = np.diff(np.r_[first, len(of)])
+        open_ = np.repeat(least != NONE, size)
+        if not open_.all():  # these have no pair left
+            done_part.append(part[~open_])
+            done_of.append(of[~open_])
+            part, of, pair = part[open_], of[open_], pair[open_]
+            least, size = least[least != NONE], size[least != NONE]
+            if not len(of):
+                break
+        hits = np.flatnonzero(pair == np.repeat(least, size))
+        at = hits[np.r_[True, of[hits][1:] != of[hits][:-1]]]
+        part[at] = least
+        stay = np.ones(len(of), bool)
+        stay[at + 1] = False
+        part, of, pair = part[stay], of[stay], pair[stay]
+        at -= np.arange(len(at))  # one part fewer in every piece before
+        pair[at] = following(at)
+        before = at[(at > 0) & (of[np.maximum(at - 1, 0)] == of[at])] - 1
+        pair[before] = following(before)
+    of, part = np.concatenate(done_of), np.concatenate(done_part)
+    flat = part[np.argsort(of, kind="stable")].astype(np.int32).tobytes()
+    ends = np.cumsum(np.bincount(of, minlength=len(pieces))).tolist()
+    return [flat[4 * a : 4 * b] for a, b in zip([0, *ends], ends)]
+
+
 def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     """Join the neighbours of the lowest rank, leftmost first, until none is a token."""
     if piece in ranks:
@@ -123,9 +261,9 @@ def _merge_long(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     return out
 
 
-def _id_lists(lists: list[list[int]]) -> pa.Array:
-    flat = np.fromiter(chain.from_iterable(lists), np.int32, sum(map(len, lists)))
-    return pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum([len(x) for x in lists])].astype(np.int32)), pa.array(flat))
+def _id_lists(lists: list[bytes]) -> pa.Array:
+    offsets = np.r_[0, np.cumsum([len(x) // 4 for x in lists])].astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(lists), np.int32) if offsets[-1] else np.zeros(0, np.int32)))
 
 
 def encode(docs: DataFrame, tokenizer: Tokenizer, text: str = "text", to: str = "ids", chunk: int = CHUNK, overlap: int = OVERLAP) -> DataFrame:
@@ -141,13 +279,13 @@ def encode(docs: DataFrame, tokenizer: Tokenizer, text: str = "text", to: str =
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         t = get()
         for batch in batches:
-            yield _id_lists([t.encode(x or "") for x in batch.to_pylist()])
+            yield _id_lists(t.packed([x or "" for x in batch.to_pylist()]))
 
     ids = column_udf(run, "array<int>")
     rows = docs.select(F.struct(*[f"`{c}`" for c in docs.columns]).alias("_row"), F.col(f"`{text}`").alias("_text"))
     is_long = F.coalesce(F.length("_text") > chunk, F.lit(False))
     short = rows.where(~is_long).select("_row", ids("_text").alias("_ids"))
-    long = rows.where(is_long).withColumn("_node", F.md5("_text"))
+    long = rows.where(is_long).withColumn("_node", F.sha2("_text", 256))
     stitched = _pieces(long.select(F.col("_node").alias("node"), F.col("_text").alias("text")), get, chunk, overlap)
     pieces = stitched.select("node", "seg", ids("piece").alias("ids"))
     whole = pieces.groupBy("node").agg(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("seg", "ids"))), lambda x: x["ids"])).alias("_ids"))
@@ -159,9 +297,17 @@ def encode(docs: DataFrame, tokenizer: Tokenizer, text: str = "text", to: str =
 def _pieces(texts: DataFrame, get, chunk: int, overlap: int) -> DataFrame:
     """Pieces of long texts that begin and end at true pre-token boundaries: node, seg, piece."""
     space = Workspace(texts.sparkSession, "bpe")
-    bodies = F.regexp_extract_all("text", F.lit(f"(?s)(.{{1,{chunk}}})"), F.lit(1))
-    cut = texts.dropDuplicates(["node"]).select("node", bodies.alias("b"))
-    each = F.transform("b", lambda x, i: F.struct(i.alias("k"), x.alias("body"), F.coalesce(F.substring(F.get("b", i + 1), 1, overlap), F.lit("")).alias("tail"), (i == F.size("b") - 1).alias("last")))
+    def chunked(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        kind = pa.list_(pa.struct([("k", pa.int32()), ("body", pa.string()), ("tail", pa.string()), ("last", pa.bool_())]))
+        for batch in batches:
+            for x in batch:
+                text = x.as_py()
+                starts = range(0, len(text), chunk)
+                own = [{"k": k, "body": text[a : a + chunk], "tail": text[a + chunk : a + chunk + overlap], "last": k == len(starts) - 1} for k, a in enumerate(starts)]
+                yield pa.array([own], kind)
+
+    cut = texts.dropDuplicates(["node"])
+    each = column_udf(chunked, "array<struct<k: int, body: string, tail: string, last: boolean>>")("text")
     chunks = space.cut(cut.select("node", F.inline(each)), "chunks")
 
     def boundaries(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:

@@ -1,6 +1,7 @@
 import base64
 import hashlib
 
+import numpy as np
 import public_tokenizers as P
 import pytest
 import tiktoken
@@ -50,6 +51,32 @@ def test_stitched_chunks(spark, texts, model, chunk, overlap):
         assert r.ids == TIKTOKEN.encode_ordinary(own[r.i] or ""), own[r.i]
 
 
+@pytest.mark.parametrize("chunk", [1000, 1023, bpe.CHUNK])
+def test_characters_of_changing_width(spark, model, chunk):
+    """A long text whose every other character has another width, and one of all widths."""
+    texts = ["\U0001f600a" * 40_000, "aé你\U0001d4b3 " * 8_000]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, text string")
+    for r in bpe.encode(df, model, chunk=chunk, overlap=100).collect():
+        assert r.ids == TIKTOKEN.encode_ordinary(texts[r.i])
+
+
+@settings(deadline=None, max_examples=100)
+@given(st.lists(st.binary(min_size=2, max_size=40).filter(lambda b: b not in RANKS), max_size=20))
+def test_merges_of_many_pieces_at_once(pieces):
+    got = bpe.merge_all(pieces, RANKS, OWN.pairs, OWN.joined)
+    assert [np.frombuffer(x, np.int32).tolist() for x in got] == [bpe.merge(p, RANKS) for p in pieces]
+
+
+def test_few_pre_tokens_are_kept(monkeypatch):
+    """Those needed for what is encoded are there, however few are kept."""
+    monkeypatch.setattr(bpe, "CACHE", 50)
+    monkeypatch.setattr(bpe, "AT_ONCE", 200)
+    own = bpe.Tokenizer(RANKS, P.PATTERN)
+    texts = [" ".join(f"wörd{i * j % 97}x{'y' * (i % 90)}" for j in range(30)) for i in range(60)]
+    assert [np.frombuffer(x, np.int32).tolist() for x in own.packed(texts)] == [TIKTOKEN.encode_ordinary(t) for t in texts]
+    assert len(own.cache) <= 100
+
+
 def test_odd_rows(odd, none, model):
     rows = bpe.decode(bpe.encode(odd, model, chunk=1000, overlap=100), model).collect()
     assert len(rows) == odd.count() and set(rows[0].asDict()) == set(odd.columns)
