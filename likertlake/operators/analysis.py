@@ -16,7 +16,7 @@ from likertlake.operators.star import ID
 
 
 def trait_descriptives(scores: DataFrame, spec: Instrument) -> DataFrame:
-    stats = S.summary(star.score_counts(scores, spec))
+    stats = S.summary(star.score_counts(scores, spec), lattice=True)
     names = ("media", "desvio_padrao", "mediana", "minimo", "maximo")
     return stats.select("traco", *[F.round(c, 2).alias(c) for c in names]).orderBy(
         F.desc("media"), "traco"
@@ -55,7 +55,7 @@ def lattice_histogram(scores: DataFrame, cuts: DataFrame, spec: Instrument) -> D
         F.lit(0).cast("bigint").alias("n"),
     )
     binned = seen.unionByName(attainable).groupBy("traco", "bin").agg(F.sum("n").alias("qtd"))
-    means = S.moments(counts).select("traco", F.round("media", 4).alias("media"))
+    means = S.moments(counts, lattice=True).select("traco", F.round("media", 4).alias("media"))
     beside = cuts.select("traco", "corte").join(means, "traco", "left")
     return (
         binned.join(F.broadcast(beside), "traco")

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import add
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -126,6 +128,49 @@ def distinct_value_histogram(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     )
 
 
+def answer_variability(df: DataFrame, cols: Sequence[str], missing: int = 0, keep: Sequence[str] = ()) -> DataFrame:
+    """How much each respondent's answers vary: a row-local deviation and the longest run of one answer.
+
+    ``validas`` counts answers above the missing code; ``desvio_linha`` is their sample deviation, from whole-number sums
+    (null for fewer than two). ``maior_sequencia`` is the most neighbouring items, in the order of ``cols``, with the same
+    valid answer (0 without any); a blank or null between two equal answers ends a run.
+    """
+    valid = [F.when(F.col(c) > missing, F.col(c)) for c in cols]
+    n, total, squares = "validas", "_total", "_quadrados"
+    sums = df.select(
+        *keep,
+        F.array(*valid).alias("_valid"),
+        C.count_of_valid(cols, missing).alias(n),
+        C.sum_of_valid(cols, missing).alias(total),
+        reduce(add, (F.when(F.col(c) > missing, F.col(c).cast("bigint") * F.col(c)).otherwise(F.lit(0)) for c in cols)).alias(squares),
+    )
+    spread = F.col(n) * F.col(squares) - F.col(total) * F.col(total)
+    start = F.struct(F.lit(None).cast("int").alias("last"), F.lit(0).alias("run"), F.lit(0).alias("best"))
+
+    def step(state: Column, x: Column) -> Column:
+        run = F.when(x.isNull(), 0).when(x == state["last"], state["run"] + 1).otherwise(1)
+        return F.struct(x.alias("last"), run.alias("run"), F.greatest(state["best"], run).alias("best"))
+
+    return sums.select(
+        *keep,
+        F.col(n).cast("int").alias(n),
+        F.when(F.col(n) > 1, F.sqrt(spread / (F.col(n) * (F.col(n) - 1)))).alias("desvio_linha"),
+        F.aggregate("_valid", start, step, lambda state: state["best"]).alias("maior_sequencia"),
+    )
+
+
+def low_variability(df: DataFrame, cols: Sequence[str], missing: int = 0, keep: Sequence[str] = (), below: float = 0.5, run: int | None = None) -> DataFrame:
+    """Respondents whose answers hardly vary: a deviation under ``below``, or ``run`` equal answers in a row (a third of the items).
+
+    Those with fewer than two valid answers have no deviation and are judged by their run alone.
+    """
+    longest = run if run is not None else max(2, -(-len(cols) // 3))
+    found = answer_variability(df, cols, missing, keep)
+    flat = F.coalesce(F.col("desvio_linha") < below, F.lit(False))
+    reason = F.when(flat & (F.col("maior_sequencia") >= longest), "desvio e sequencia").when(flat, "desvio").otherwise("sequencia")
+    return found.where(flat | (F.col("maior_sequencia") >= longest)).withColumn("motivo", reason)
+
+
 # -- outliers ---------------------------------------------------------------
 
 

@@ -143,7 +143,7 @@ def score_counts(scores: DataFrame, spec: Instrument, keep_null: bool = False) -
 
 def cutoffs(scores: DataFrame, spec: Instrument, prob: float = 0.75) -> DataFrame:
     """The sample quantile of each trait that an elevated score must exceed."""
-    return S.quantiles(score_counts(scores, spec), {"corte": prob})
+    return S.quantiles(score_counts(scores, spec), {"corte": prob}, lattice=True)
 
 
 def score_profiles(scores: DataFrame, cuts: DataFrame, spec: Instrument) -> DataFrame:

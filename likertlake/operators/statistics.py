@@ -70,11 +70,11 @@ def grouped_value_counts(df: DataFrame, group: str, col: str, value: str = "valo
     return rows.groupBy(group, value).agg(F.count(F.lit(1)).alias("n"))
 
 
-# Cells over which the moments of a group are first taken, and copies of a small
-# row that meet the rows of one key, so that no key is one task's work.
-CELLS, COPIES = 256, 16
-# Parts of a band in the quantile search.
-PARTS = 1024
+# Copies of a small row that meet the rows of one key, so that no key is one task's work.
+COPIES = 16
+# Parts into which the quantile search cuts a band, and how often it cuts again. A band of 1 % holds
+# 7e13 doubles, so what is ordered in the end are 65,536 values at most, however they are clustered.
+PARTS, CUTS = 1024, 3
 
 
 def _attach(rows: DataFrame, small: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -124,8 +124,10 @@ def share(p: float) -> Rank:
     return lambda total: F.greatest(F.ceil(F.lit(p) * total), F.lit(1))
 
 
-def _sizes(rows: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
-    return rows.groupBy(*keys).agg(F.sum("n").alias("_size"), F.min(value).alias("_lo"), F.max(value).alias("_hi"))
+def _sizes(rows: DataFrame, keys: Sequence[str], value: str, carry: Sequence[str] = ()) -> DataFrame:
+    """Rows and range of each cell, and what all of its rows ``carry``."""
+    carried = [F.first(c).alias(c) for c in carry]
+    return rows.groupBy(*keys).agg(F.sum("n").alias("_size"), F.min(value).alias("_lo"), F.max(value).alias("_hi"), *carried)
 
 
 def _holding(
@@ -141,27 +143,32 @@ def _holding(
 
 
 def values_at(
-    counts: DataFrame, ranks: Mapping[str, Rank], group: str = "traco", value: str = "valor"
+    counts: DataFrame, ranks: Mapping[str, Rank], group: str = "traco", value: str = "valor", lattice: bool = False
 ) -> DataFrame:
     """Exact values at the given ranks of each group.
 
-    Totals per band place every band in the cumulative order. The few bands that hold
-    a wanted rank are cut into even parts between their least and greatest value, and
-    only the parts that hold it are ordered value by value. Windows run over the bands of
-    a group, the parts of a band, or the values of a part; none gathers those of a band.
+    With ``lattice`` the caller knows that a group has few values, as scores of an instrument do:
+    one window orders them. Otherwise totals per band place every band in the cumulative order. The few bands that hold
+    a wanted rank are cut into even parts between their least and greatest value, those that hold it are cut again
+    (``CUTS`` times in all), and only the last are ordered value by value. Windows run over the bands of
+    a group, the parts of a part, or the values of a last part; none gathers those of a band.
     """
+    if lattice:
+        total = F.col("_total")
+        return _ordered(counts, group, value).groupBy(group).agg(
+            *[F.min(F.when(F.col("_upto") >= rank(total), F.col(value))).alias(name) for name, rank in ranks.items()]
+        )
     rows = counts.select(group, value, "n").withColumn("_band", _band(value))
     sizes = _sizes(rows, [group, "_band"], value).withColumns(
         {"_total": F.sum("_size").over(Window.partitionBy(group)), "_start": F.lit(0)}
     )
-    wanted = _holding(sizes, [group], "_band", ranks, ["_lo", "_hi"])
-    keys = [group, "_band"]
-    parted = _meet(rows, wanted, keys, value).withColumn("_part", _part(value))
-    inside = parted.groupBy(*keys, "_part").agg(
-        F.sum("n").alias("_size"), F.first("_before").alias("_start"), F.first("_total").alias("_total")
-    )
-    wanted = _holding(inside, keys, "_part", ranks)
-    keys = [*keys, "_part"]
+    wanted, keys = _holding(sizes, [group], "_band", ranks, ["_lo", "_hi"]), [group, "_band"]
+    parted = rows
+    for cut in range(CUTS):
+        part = f"_part{cut}"
+        parted = _meet(parted.select(*keys, value, "n"), wanted, keys, value).withColumn(part, _part(value))
+        inside = _sizes(parted, [*keys, part], value, ["_before", "_total"]).withColumnRenamed("_before", "_start")
+        wanted, keys = _holding(inside, keys, part, ranks, ["_lo", "_hi"]), [*keys, part]
     inner = Window.partitionBy(*keys).orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
     ranked = _meet(parted.select(*keys, value, "n"), wanted, keys, value).withColumn(
         "_upto", F.col("_before") + F.sum("n").over(inner)
@@ -175,59 +182,80 @@ def values_at(
     )
 
 
+def _ordered(counts: DataFrame, group: str, value: str) -> DataFrame:
+    """The values of each group in order, with the rows up to each and in all. For few values."""
+    whole = Window.partitionBy(group)
+    upto = F.sum("n").over(whole.orderBy(value).rowsBetween(Window.unboundedPreceding, 0))
+    return counts.select(group, value, "n", upto.alias("_upto"), F.sum("n").over(whole).alias("_total"))
+
+
 def quantiles(
-    counts: DataFrame, probs: Mapping[str, float], group: str = "traco", value: str = "valor"
+    counts: DataFrame, probs: Mapping[str, float], group: str = "traco", value: str = "valor", lattice: bool = False
 ) -> DataFrame:
     """Exact discrete quantiles per group: smallest value with share >= p."""
-    return values_at(counts, {name: share(p) for name, p in probs.items()}, group, value)
+    return values_at(counts, {name: share(p) for name, p in probs.items()}, group, value, lattice)
 
 
-def moments(counts: DataFrame, group: str = "traco", value: str = "valor") -> DataFrame:
+def moments(counts: DataFrame, group: str = "traco", value: str = "valor", lattice: bool = False) -> DataFrame:
     """Count, mean, sample deviation and range.
 
-    Deviations are taken from the mean of a cell, a share of the group's values chosen
-    by hash, and the cells are then combined by their means: no digits cancel, whatever
-    the size of the values.
+    Deviations are taken from the mean, which a first sum gives, and corrected by their own sum: no digits
+    cancel, whatever the size of the values. Both sums are combined in each task; no window is needed.
+    ``lattice`` as in :func:`values_at`: few values are read once.
     """
-    n, x, keys = F.col("n"), F.col(value), [group, "_cell"]
-    cell = Window.partitionBy(*keys)
-    rows = counts.select(group, value, "n", F.pmod(F.xxhash64(value), F.lit(CELLS)).alias("_cell"))
-    rows = rows.withColumn("_mean", F.sum(n * x).over(cell) / F.sum(n).over(cell))
+    if lattice:
+        return _few_summary(counts, group, value).drop(*_SUMMARY_RANKS)
+    n, x = F.col("n"), F.col(value)
+    rows = counts.select(group, value, "n")
+    whole = rows.groupBy(group).agg((F.sum(n * x) / F.sum(n)).alias("_mean"))
     off = x - F.col("_mean")
-    cells = rows.groupBy(*keys).agg(
-        F.sum(n).alias("_n"),
-        F.max("_mean").alias("_mean"),
-        F.sum(n * off * off).alias("_spread"),
+    total = F.sum(n)
+    spread = F.sum(n * off * off) - F.sum(n * off) * F.sum(n * off) / total
+    return _meet(rows, whole, [group], value).groupBy(group).agg(
+        total.alias("n"),
+        (F.max("_mean") + F.sum(n * off) / total).alias("media"),
+        F.when(total > 1, F.sqrt(F.try_divide(F.greatest(spread, F.lit(0.0)), total - 1))).alias("desvio_padrao"),
         F.min(x).alias("minimo"),
         F.max(x).alias("maximo"),
     )
-    whole = Window.partitionBy(group)
-    size, mean = F.col("_n"), F.col("_mean")
-    cells = cells.withColumn("media", F.sum(size * mean).over(whole) / F.sum(size).over(whole))
-    away = mean - F.col("media")
-    total = F.sum(size)
-    return cells.groupBy(group).agg(
-        total.alias("n"),
-        F.max("media").alias("media"),
-        F.when(total > 1, F.sqrt(F.try_divide(F.sum(F.col("_spread") + size * away * away), total - 1))).alias(
-            "desvio_padrao"
-        ),
-        F.min("minimo").alias("minimo"),
-        F.max("maximo").alias("maximo"),
+
+
+_SUMMARY_RANKS: dict[str, Rank] = {
+    "q25": share(0.25),
+    "q50": share(0.5),
+    "q75": share(0.75),
+    "_lower": lambda total: F.floor((total + 1) / 2),
+    "_upper": lambda total: F.floor(total / 2) + 1,
+}
+
+
+def _few_summary(counts: DataFrame, group: str, value: str) -> DataFrame:
+    """Moments and ranks of few values from one ordering of them."""
+    n, x, total = F.col("n"), F.col(value), F.col("_total")
+    mean = F.sum(n * x).over(Window.partitionBy(group)) / total
+    placed = _ordered(counts, group, value).withColumn("_mean", mean)
+    off = x - F.col("_mean")
+    size = F.sum(n)
+    return placed.groupBy(group).agg(
+        size.alias("n"),
+        F.max("_mean").alias("media"),
+        F.when(size > 1, F.sqrt(F.try_divide(F.sum(n * off * off), size - 1))).alias("desvio_padrao"),
+        F.min(x).alias("minimo"),
+        F.max(x).alias("maximo"),
+        *[F.min(F.when(F.col("_upto") >= rank(total), x)).alias(name) for name, rank in _SUMMARY_RANKS.items()],
     )
 
 
-def summary(counts: DataFrame, group: str = "traco", value: str = "valor") -> DataFrame:
-    """:func:`moments` with discrete quartiles and the interpolated median."""
-    ranks = {
-        "q25": share(0.25),
-        "q50": share(0.5),
-        "q75": share(0.75),
-        "_lower": lambda total: F.floor((total + 1) / 2),
-        "_upper": lambda total: F.floor(total / 2) + 1,
-    }
-    placed = values_at(counts, ranks, group, value)
-    return _attach(placed, moments(counts, group, value), [group]).select(
+def summary(counts: DataFrame, group: str = "traco", value: str = "valor", lattice: bool = False) -> DataFrame:
+    """:func:`moments` with discrete quartiles and the interpolated median.
+
+    ``lattice`` as in :func:`values_at`; then one window serves all of it.
+    """
+    if lattice:
+        both = _few_summary(counts, group, value)
+    else:
+        both = _attach(values_at(counts, _SUMMARY_RANKS, group, value), moments(counts, group, value), [group])
+    return both.select(
         group,
         "n",
         "media",
@@ -241,39 +269,54 @@ def summary(counts: DataFrame, group: str = "traco", value: str = "valor") -> Da
     )
 
 
+def _with_fences(quart: DataFrame, factor: float, digits: int) -> DataFrame:
+    spread = F.lit(factor) * (F.col("q3") - F.col("q1"))
+    return quart.withColumns(
+        {
+            "limite_inf": F.round(F.col("q1") - spread, digits),
+            "limite_sup": F.round(F.col("q3") + spread, digits),
+        }
+    )
+
+
 def iqr_outliers(
     counts: DataFrame,
     group: str = "traco",
     value: str = "valor",
     factor: float = 1.5,
     digits: int = 9,
+    lattice: bool = False,
 ) -> DataFrame:
     """Interquartile fences and the rows beyond them, low and high side apart.
 
     Fences are rounded before they are compared, because a fence can fall on an
-    attainable value and then differ from it in the last bit only.
+    attainable value and then differ from it in the last bit only. ``lattice`` as in :func:`values_at`.
     """
-    quart = quantiles(counts, {"q1": 0.25, "q3": 0.75}, group, value)
-    spread = F.lit(factor) * (F.col("q3") - F.col("q1"))
-    fences = quart.withColumns(
-        {
-            "limite_inf": F.round(F.col("q1") - spread, digits),
-            "limite_sup": F.round(F.col("q3") + spread, digits),
-        }
-    )
+    names = [group, "q1", "q3", "limite_inf", "limite_sup"]
     low, high = F.col("limite_inf"), F.col("limite_sup")
+    x = F.round(F.col(value), digits)
+    quarts = {"q1": 0.25, "q3": 0.75}
+    if lattice:
+        whole = Window.partitionBy(group)
+        at = {q: F.min(F.when(F.col("_upto") >= share(p)(F.col("_total")), F.col(value))).over(whole) for q, p in quarts.items()}
+        rows = _with_fences(_ordered(counts, group, value).withColumns(at), factor, digits)
+        return rows.groupBy(group).agg(
+            *[F.max(c).alias(c) for c in names[1:]],
+            F.sum(F.when(x < low, F.col("n")).otherwise(0)).alias("n_low"),
+            F.sum(F.when(x > high, F.col("n")).otherwise(0)).alias("n_high"),
+            F.sum(F.when((x < low) | (x > high), F.col("n")).otherwise(0)).alias("n_total"),
+        )
+    fences = _with_fences(quantiles(counts, quarts, group, value), factor, digits)
     rows = counts.select(group, value, "n").withColumn("_band", _band(value))
     bands = _attach(_sizes(rows, [group, "_band"], value), fences, [group])
     least, most = F.round("_lo", digits), F.round("_hi", digits)
     # A band beyond a fence counts whole; only those that a fence runs through are opened.
     cut = ((least < low) & (most >= low)) | ((least <= high) & (most > high))
-    names = [group, "q1", "q3", "limite_inf", "limite_sup"]
     whole = bands.select(
         *names,
         F.when(~cut & (most < low), F.col("_size")).otherwise(0).alias("_low"),
         F.when(~cut & (least > high), F.col("_size")).otherwise(0).alias("_high"),
     )
-    x = F.round(F.col(value), digits)
     opened = _meet(rows, bands.where(cut).select(*names, "_band"), [group, "_band"], value).select(
         *names,
         F.when(x < low, F.col("n")).otherwise(0).alias("_low"),

@@ -7,11 +7,12 @@ written tables are also the lineage cuts: a lost executor costs a re-read.
 from __future__ import annotations
 
 import hashlib
+import json
 import math
 import threading
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from likertlake.functions.columns import PackedVector
@@ -61,6 +62,9 @@ COLUMN_NOTES = {
     "corte": "75 % sample quantile, discrete",
 }
 
+# Property of the silver table with the counts of its write.
+FUNNEL = "likertlake.funil"
+
 # Rows per range of the dense id: small ranges to use every core on small data, else
 # ranges that a task sorts in memory. Their number has no limit.
 SMALL_PART, LARGE_PART = 20_000, 8_000_000
@@ -110,6 +114,7 @@ class Lake:
         build: Callable[[], DataFrame],
         bucketed: bool = False,
         partition_by: str | None = None,
+        checks: Mapping[str, Column] | None = None,
     ) -> DataFrame:
         with self._lock:
             target = self.names.get(name, name)
@@ -118,7 +123,7 @@ class Lake:
             df = build()
             notes = {c: COLUMN_NOTES[c] for c in df.columns if layer == "gold" and c in COLUMN_NOTES}
             saved = self.layers.save(
-                df, layer, target, COMMENTS[name], notes, star.ID if bucketed else None, partition_by
+                df, layer, target, COMMENTS[name], notes, star.ID if bucketed else None, partition_by, checks
             )
             self._built.add(name)
             return saved
@@ -150,7 +155,7 @@ class Lake:
 
         def build() -> DataFrame:
             context = [*self.spec.context, files.INGESTED]
-            valid = cleaning.clean(self.typed(), self.spec, self.drop_out_of_domain)
+            valid = cleaning.clean_observed(self.typed(), self.spec, counts, self.drop_out_of_domain)
             answers = PackedVector(self.spec.item_ids, min(self.spec.lo, self.spec.missing), self.spec.hi)
             # Range partitioning samples its input in a pass of its own; written down,
             # that pass reads a few compact columns instead of cleaning twice.
@@ -161,12 +166,31 @@ class Lake:
                 star.ID, *answers.unpack(), *context, *self.keep
             )
 
+        counts, dense = Observation(), F.count(F.lit(1)) == F.max(star.ID)
         staging = self.work.inner("staging")
         try:
-            return self._table("silver", SILVER, build, bucketed=True)
+            before = SILVER in self._built
+            saved = self._table("silver", SILVER, build, bucketed=True, checks={"ids run from 1 without gaps": dense})
+            if SILVER in self._built and not before:
+                note = json.dumps(counts.get).replace("'", "")
+                self.spark.sql(f"ALTER TABLE {self.layers.name('silver', self.names.get(SILVER, SILVER))} SET TBLPROPERTIES ('{FUNNEL}' = '{note}')")
+            return saved
         finally:
             staging.drop()
 
+    def funnel(self) -> DataFrame:
+        """Rows lost at each exclusion, as counted by the write of silver and kept with the table.
+
+        No row is read. Tables that have no such counts are diagnosed from the typed rows.
+        """
+        self.silver()
+        name = self.layers.name("silver", self.names.get(SILVER, SILVER))
+        kept = {r.key: r.value for r in self.spark.sql(f"SHOW TBLPROPERTIES {name}").collect()}
+        if FUNNEL not in kept:
+            return cleaning.exclusion_funnel(self.typed(), self.spec)
+        counts = json.loads(kept[FUNNEL])
+        return self.spark.createDataFrame([tuple(counts.values())], ", ".join(f"{c} bigint" for c in counts))
+
     def items(self) -> DataFrame:
         return self._table("gold", ITEMS, lambda: star.dim_item(self.spark, self.spec).coalesce(1))
 

@@ -308,7 +308,7 @@ def _corr(a: str, b: str) -> str:
     return f"round(corr({a}, {b}), 4)"
 
 
-def all_oracles() -> dict[str, str]:
+def _each() -> dict[str, str]:
     nulls = "(" + " + ".join(f"cast({c} IS NULL AS integer)" for c in ITEMS) + ")"
     blanks = "(" + " + ".join(f"cast(coalesce({c} = 0, false) AS integer)" for c in ITEMS) + ")"
     distinct = f"len(list_distinct([{LIST}])) + (CASE WHEN {nulls} > 0 THEN 1 ELSE 0 END)"
@@ -537,6 +537,63 @@ def all_oracles() -> dict[str, str]:
         "tsv_roundtrip": _with(
             "survey", f"SELECT cast(src_row AS varchar) AS src_row, {LIST}, nullif(country, '') AS country, source FROM survey"
         ),
+        "table_versions": _with(
+            "silver",
+            f"""SELECT situacao, count(*) AS registros FROM (
+              SELECT CASE WHEN {wild} THEN 'removido' WHEN {" AND ".join(f"{c} = 3" for c, _, _, turned in QUESTIONS if turned)} THEN 'igual'
+                     ELSE 'alterado' END AS situacao FROM silver
+              UNION ALL SELECT 'versao anterior' FROM silver
+              UNION ALL SELECT 'versao atual' FROM silver WHERE NOT {wild}) GROUP BY situacao""",
+        ),
+        "incremental_landing": _with(
+            "survey", f"SELECT cast(src_row AS varchar) AS src_row, {LIST}, nullif(country, '') AS country, source FROM survey"
+        ),
+        "stable_ids": _with(
+            "silver",
+            """SELECT src_row, primeira AS id_primeira_carga,
+              coalesce(primeira, n + row_number() OVER (PARTITION BY primeira IS NULL ORDER BY src_row)) AS id_respondente
+            FROM (SELECT src_row, CASE WHEN cedo THEN row_number() OVER (PARTITION BY cedo ORDER BY src_row) END AS primeira,
+                         count(*) FILTER (WHERE cedo) OVER () AS n
+                  FROM (SELECT src_row, coalesce(source IN (1, 2), false) AS cedo FROM silver))""",
+        ),
+        "sketched_price_cuts": """SELECT l_returnflag, count(*) AS n, count(DISTINCT l_linestatus) AS cargas, true AS dentro_do_erro
+            FROM lineitem WHERE l_extendedprice IS NOT NULL GROUP BY l_returnflag""",
+        "refreshed_descriptives": _with(
+            "long_scores",
+            """SELECT traco, count(*) AS n, round(avg(valor), 6) AS media, round(stddev_samp(valor), 6) AS desvio_padrao,
+            min(valor) AS minimo, max(valor) AS maximo FROM long_scores GROUP BY traco""",
+        ),
+        "refreshed_correlation": _with(
+            "scores",
+            " UNION ALL ".join(
+                f"SELECT '{x.label}' AS a, '{y.label}' AS b, count(*) AS n, round(corr({x.score_column}, {y.score_column}), 6) AS correlacao FROM scores"
+                for i, x in enumerate(TRAITS) for y in TRAITS[i + 1 :]
+            ),
+        ),
+        "ragged_lines": _with(
+            "survey",
+            """SELECT CASE WHEN source = '4' THEN 'campos a menos' WHEN country = '' THEN 'campos a mais' ELSE 'linha inteira' END AS motivo,
+            count(*) AS linhas FROM survey GROUP BY ALL""",
+        ),
+        "schema_versions": _with(
+            "survey",
+            f"""SELECT cast(src_row AS varchar) AS src_row, {LIST}, nullif(country, '') AS country,
+            CASE WHEN NOT coalesce(source IN ('1', '2'), false) THEN source END AS source,
+            CASE WHEN coalesce(source IN ('1', '2'), false) THEN 1 ELSE 2 END AS versao_esquema FROM survey""",
+        ),
+        "low_variability": _with(
+            "typed",
+            f"""SELECT src_row, len(v)::INTEGER AS validas, d AS desvio_linha, coalesce(m, 0)::INTEGER AS maior_sequencia,
+              CASE WHEN d < 0.5 AND m >= 9 THEN 'desvio e sequencia' WHEN d < 0.5 THEN 'desvio' ELSE 'sequencia' END AS motivo
+            FROM (SELECT src_row, v, round(list_aggregate(v, 'stddev_samp'), 6) AS d, list_aggregate(v, 'stddev_samp') AS exact
+                  FROM (SELECT src_row, [x FOR x IN [{LIST}] IF x > 0] AS v FROM typed))
+            LEFT JOIN (SELECT src_row, max(n) AS m FROM (
+                SELECT src_row, count(*) AS n FROM (
+                  SELECT src_row, x, p - row_number() OVER (PARTITION BY src_row, x ORDER BY p) AS island
+                  FROM (SELECT src_row, unnest([{LIST}]) AS x, unnest(range(27)) AS p FROM typed) WHERE x > 0)
+                GROUP BY src_row, x, island) GROUP BY src_row) USING (src_row)
+            WHERE coalesce(exact < 0.5, false) OR m >= 9""",
+        ),
         "text_head": _with(
             "typed",
             "SELECT concat_ws(chr(9), campo, lo, hi, mean) AS linha FROM ("
@@ -596,3 +653,12 @@ def all_oracles() -> dict[str, str]:
             for c in ("event_id", "ts", "user_id", "event_type", "value", "props")
         ),
     }
+
+
+#: Questions that two queries answer by different ways.
+_SAME = {"observed_funnel": "exclusion_funnel", "score_bands_sql": "score_bands", "item_endorsement_sql": "item_endorsement"}
+
+
+def all_oracles() -> dict[str, str]:
+    each = _each()
+    return each | {name: each[other] for name, other in _SAME.items()}

@@ -8,17 +8,23 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from likertlake.functions import columns as C
+from likertlake.functions import sql as sql_functions
 from likertlake.instrument import SHORT_FORM_27 as SPEC
-from likertlake.operators import analysis, cleaning, quality, star
+from likertlake.operators import analysis, cleaning, quality, star, state
 from likertlake.operators import statistics as S
 from likertlake.plans import lake as L
-from likertlake.plans.lake import Lake, derived_lake
+from likertlake.operators.ids import IdMap
+from likertlake.plans.lake import Lake, derived_lake, range_parts
+from likertlake.session import Workspace
 from likertlake.sources import files
+from likertlake.sources.loads import LoadFolder
 from likertlake.sources.survey import KEY
-from likertlake.sources.tables import LAYERS
+from likertlake.sources.tables import LAYERS, Layers
+from likertlake.streaming.landing import Landing
 
 Query = Callable[[SparkSession, str], DataFrame]
 ITEMS = SPEC.item_ids
@@ -129,12 +135,12 @@ def _six_digits(summary: DataFrame) -> DataFrame:
 
 @_on_lake
 def score_summary(lake: Lake) -> DataFrame:
-    return _six_digits(S.summary(quality.provisional_counts(lake.typed(), SPEC)))
+    return _six_digits(S.summary(quality.provisional_counts(lake.typed(), SPEC), lattice=True))
 
 
 @_on_lake
 def iqr_outliers(lake: Lake) -> DataFrame:
-    return S.iqr_outliers(quality.provisional_counts(lake.typed(), SPEC))
+    return S.iqr_outliers(quality.provisional_counts(lake.typed(), SPEC), lattice=True)
 
 
 @_on_lake
@@ -227,7 +233,7 @@ def trait_scores_pivot(lake: Lake) -> DataFrame:
 
 @_on_lake
 def gold_score_summary(lake: Lake) -> DataFrame:
-    return _six_digits(S.summary(star.score_counts(lake.scores(), SPEC)))
+    return _six_digits(S.summary(star.score_counts(lake.scores(), SPEC), lattice=True))
 
 
 @_on_lake
@@ -372,6 +378,167 @@ def table_description(lake: Lake) -> DataFrame:
     return lake.layers.column_catalogue("gold", L.SCORES)
 
 
+# -- loads that come one after the other -------------------------------------
+
+#: Answers of the first two routes are there first, those of the others (or of none) come later.
+RAW = [KEY, *SPEC.raw_columns]
+
+
+def _early(raw: bool = False) -> Column:
+    return F.coalesce(F.col("source").isin(*(("1", "2") if raw else (1, 2))), F.lit(False))
+
+
+@_on_lake
+def table_versions(lake: Lake) -> DataFrame:
+    """A table replaced by another version of itself, and what changed between the two.
+
+    First the answers as given, then reverse-coded and without codes beyond the scale.
+    """
+    space = lake.work.inner("versions")
+    layers = Layers(lake.spark, f"{lake.layers.prefix}v_", space.root)
+    given = lake.silver().select(star.ID, *ITEMS)
+    coded = given.where(~C.outside(ITEMS, SPEC.lo, SPEC.hi)).select(star.ID, *[star.corrected(i, SPEC).alias(i) for i in ITEMS])
+    for rows in (given, coded):
+        layers.save(rows, "silver", "respostas", checks={"ids are distinct": F.count(star.ID) == F.count_distinct(star.ID)})
+    old, new = [v.number for v in layers.versions("silver", "respostas").all()][-2:]
+    sizes = layers.history("silver", "respostas").select(F.when(F.col("em_uso"), "versao atual").otherwise("versao anterior").alias("situacao"), "registros")
+    return layers.changes("silver", "respostas", old, new, star.ID).unionByName(sizes)
+
+
+@_on_lake
+def incremental_landing(lake: Lake) -> DataFrame:
+    """The raw answers landed as two drops, each by a run of its own over one checkpoint."""
+    space = lake.work.inner("landing")
+    rows = lake.bronze().select(*RAW)
+    landing = Landing(lake.spark, f"{space.root}/drops/*", f"{space.root}/bronze", RAW)
+    for name, part in (("a", _early(raw=True)), ("b", ~_early(raw=True))):
+        files.write_delimited(rows.where(part), f"{space.root}/drops/{name}")
+        landing.run()
+    return landing.rows().select(*RAW)
+
+
+@_on_lake
+def stable_ids(lake: Lake) -> DataFrame:
+    """Ids of the respondents after a first load, and after a second one that has all of them."""
+    rows, space = lake.silver().select(KEY, "source"), lake.work.inner("ids")
+    known = IdMap(lake.spark, space.path("map"), [KEY])
+    parts = range_parts(rows.count(), int(lake.spark.conf.get("spark.sql.shuffle.partitions")))
+    first = known.add(rows.where(_early()), 1, space, parts)
+    known.add(rows, 2, space, parts)
+    return known.assign(rows.select(KEY)).join(first.withColumnRenamed(star.ID, "id_primeira_carga"), KEY, "left").select(KEY, "id_primeira_carga", star.ID)
+
+
+PRICE_PROBS = {"p25": 0.25, "p50": 0.5, "p75": 0.75, "p99": 0.99}
+
+
+@_on_tables
+def sketched_price_cuts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Price cuts per return flag from the sketches of two loads, held against the exact ranks."""
+    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    flag, cols = "l_returnflag", {"preco": "l_extendedprice"}
+    stored = LoadFolder(spark, Workspace(spark, "sketches").path("prices"))
+    for load, status in enumerate(("F", "O"), 1):
+        stored.write(load, state.sketches(lines.where(F.col("l_linestatus") == status), cols, [flag]))
+    kept = stored.read()
+    cuts = state.quantiles(state.merged_sketches(kept, [flag]), PRICE_PROBS, [flag])
+    off = state.rank_errors(lines, cols, cuts, PRICE_PROBS, flag)
+    sizes = kept.groupBy(flag).agg(F.count(F.lit(1)).alias("cargas"))
+    return off.join(sizes, flag).select(flag, "n", "cargas", (F.greatest(*PRICE_PROBS) <= state.RANK_ERROR).alias("dentro_do_erro"))
+
+
+def _score_loads(lake: Lake) -> DataFrame:
+    """Moments of the scores of two loads."""
+    scores = star.trait_scores(lake.silver(), SPEC, keep=[star.ID, "source"])
+    stored = LoadFolder(lake.spark, lake.work.path("moments"))
+    cols = {t.label: t.score_column for t in SPEC.traits}
+    for load, part in enumerate((_early(), ~_early()), 1):
+        stored.write(load, state.moments(scores.where(part), cols))
+    return state.merged(stored.read())
+
+
+@_on_lake
+def refreshed_descriptives(lake: Lake) -> DataFrame:
+    """Mean, deviation and range of the scores from the stored moments of two loads."""
+    return state.descriptives(_score_loads(lake)).withColumns({c: F.round(c, 6) for c in ("media", "desvio_padrao")})
+
+
+@_on_lake
+def refreshed_correlation(lake: Lake) -> DataFrame:
+    """Correlation of the scores from the same moments."""
+    return state.correlations(_score_loads(lake)).withColumn("correlacao", F.round("correlacao", 6))
+
+
+@_on_lake
+def observed_funnel(lake: Lake) -> DataFrame:
+    """The exclusion funnel as the write of silver counted it; nothing is scanned for it."""
+    return lake.funnel().drop("removidos_dominio")
+
+
+@_on_lake
+def ragged_lines(lake: Lake) -> DataFrame:
+    """Whole lines and rejected ones with the reason, from files with lines too short and too long.
+
+    Lines of route 4 lack their last field, those with an empty place have one too many.
+    """
+    space = lake.work.inner("ragged")
+    fields = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in RAW]
+    short, long = F.col("source") == "4", F.coalesce(F.col("country") == "", F.lit(False))
+    line = F.when(short, F.concat_ws("\t", *fields[:-1])).when(long, F.concat_ws("\t", *fields, F.lit("mais"))).otherwise(F.concat_ws("\t", *fields))
+    # One column whose name is the header line, and neither quotes nor separators of its own.
+    text = lake.bronze().select(line.alias("\t".join(RAW)))
+    text.write.option("header", True).option("sep", "\u0001").option("quote", "").csv(f"{space.root}/lines")
+    rows, rejects = files.split_ragged(lake.spark, f"{space.root}/lines", f"{space.root}/split", RAW)
+    parts = rows.select(F.lit("linha inteira").alias(files.REASON)).unionAll(rejects.select(files.REASON))
+    return parts.groupBy(files.REASON).agg(F.count(F.lit(1)).alias("linhas"))
+
+
+@_on_lake
+def schema_versions(lake: Lake) -> DataFrame:
+    """Files of two headers in one bronze: the first lack the route, the second have it in front."""
+    space, rows = lake.work.inner("headers"), lake.bronze().select(*RAW)
+    files.write_delimited(rows.where(_early(raw=True)).drop("source"), f"{space.root}/drops/a")
+    files.write_delimited(rows.where(~_early(raw=True)).select("source", *[c for c in RAW if c != "source"]), f"{space.root}/drops/b")
+    found = files.read_versions(lake.spark, f"{space.root}/drops")
+    return found.select(*RAW, F.col(files.SCHEMA_VERSION).alias("versao_esquema"))
+
+
+@_on_lake
+def low_variability(lake: Lake) -> DataFrame:
+    """Respondents whose answers hardly vary, by their deviation or by a run of equal answers."""
+    found = quality.low_variability(lake.typed(), ITEMS, SPEC.missing, keep=[KEY])
+    return found.withColumn("desvio_linha", F.round("desvio_linha", 6))
+
+
+@_on_lake
+def score_bands_sql(lake: Lake) -> DataFrame:
+    """Score bands asked in SQL, with the band as a function of the session."""
+    lake.scores()
+    sql_functions.register(lake.spark, SPEC)
+    scores = ", ".join(f"'{t.label}', {t.score_column}" for t in SPEC.traits)
+    return lake.spark.sql(f"""
+        SELECT traco, faixa_escore(valor, 2) AS faixa, count(*) AS qtd,
+               round(100 * count(*) / sum(count(*)) OVER (PARTITION BY traco), 2) AS percentual
+        FROM (SELECT stack({len(SPEC.traits)}, {scores}) AS (traco, valor) FROM {lake.layers.name("gold", L.SCORES)})
+        GROUP BY ALL
+    """)
+
+
+@_on_lake
+def item_endorsement_sql(lake: Lake) -> DataFrame:
+    """Item ranking asked in SQL over the answers as given, reverse-coded by a function of the session."""
+    lake.responses(), lake.items()
+    sql_functions.register(lake.spark, SPEC)
+    facts, names = (lake.layers.name("gold", t) for t in (L.RESPONSES, L.ITEMS))
+    return lake.spark.sql(f"""
+        WITH given AS (SELECT id_item, resposta_corrigida(id_item, resposta_original) AS valor FROM {facts}),
+             per_item AS (
+               SELECT id_item, avg(valor) AS media, avg(CAST(valor >= 4 AS INT)) AS parte FROM given GROUP BY id_item)
+        SELECT traco, id_item, texto_item, item_invertido(id_item) AS invertido,
+               round(media, 2) AS media_corrigida, round(100 * parte, 2) AS pct_concordancia
+        FROM per_item JOIN {names} USING (id_item) ORDER BY traco, media_corrigida DESC
+    """)
+
+
 # -- the same operators on other supplied tables ----------------------------
 
 

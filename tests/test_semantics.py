@@ -249,3 +249,50 @@ def test_labels(spark):
     df = spark.createDataFrame([("N2", True, 7), ("M1", False, 8)], "i string, r boolean, n bigint")
     assert column(df.select(C.item_label("i", "r"))) == ["N2*", "M1"]
     assert column(df.select(C.group_label("i", "n"))) == ["N2 (n=7)", "M1 (n=8)"]
+
+
+# -- variability, SQL functions, observed counts ------------------------------
+
+
+def test_row_variability(spark):
+    from likertlake.operators import quality
+
+    cols = ["a", "b", "c", "d"]
+    rows = [(1, 3, 3, 3, 3), (2, 1, 5, 1, 5), (3, 0, 2, 2, None), (4, 2, 0, 2, 2), (5, None, None, 0, 0), (6, 4, 0, 0, 0), (7, 5, 5, 4, 5)]
+    df = spark.createDataFrame(rows, "k int, a int, b int, c int, d int")
+    got = {r.k: (r.validas, None if r.desvio_linha is None else round(r.desvio_linha, 6), r.maior_sequencia) for r in quality.answer_variability(df, cols, keep=["k"]).collect()}
+    assert got == {1: (4, 0.0, 4), 2: (4, 2.309401, 1), 3: (2, 0.0, 2), 4: (3, 0.0, 2), 5: (0, None, 0), 6: (1, None, 1), 7: (4, 0.5, 2)}
+    found = {r.k: r.motivo for r in quality.low_variability(df, cols, keep=["k"], below=0.5, run=3).collect()}
+    assert found == {1: "desvio e sequencia", 3: "desvio", 4: "desvio"}
+    assert {r.k for r in quality.low_variability(df, cols, keep=["k"], below=0.0, run=2).collect()} == {1, 3, 4, 7}
+
+
+def test_sql_functions_are_written_into_the_plan(spark):
+    from likertlake.functions import sql
+    from likertlake.instrument import SHORT_FORM_27 as spec
+
+    assert "resposta_corrigida" in sql.register(spark, spec) and sql.register(spark, spec)
+    one = lambda text: spark.sql(f"SELECT {text} AS x").first().x
+    assert [one(f"resposta_corrigida('{i}', {v})") for i, v in (("N2", 1), ("N2", 5), ("M1", 1), ("N2", "CAST(NULL AS INT)"))] == [5, 1, 1, None]
+    assert one("faixa_escore(3.74D, 2)") == 3.5 and one("codigo_perfil(true, false, true)") == 5 and one("codigo_perfil(true, NULL, true)") is None
+    assert one("rotulo_perfil(5)") == "Maquiavelismo + psicopatia" and one("rotulo_perfil(9)") is None
+    assert one("rotulo_origem(2)") == "Busca no Google" and one("rotulo_origem(NULL)") == "Não identificada"
+    assert one("media_validos(array(0, 4, NULL, 5))") == 4.5 and one("media_validos(array(0))") is None
+    assert one("rotulo_item('P7')") == "P7*" and one("item_invertido('P1')") is False
+    spark.range(3).selectExpr("'N2' AS i", "CAST(id AS INT) AS v").createOrReplaceTempView("respostas_de_teste")
+    plan = spark.sql("SELECT resposta_corrigida(i, v) AS x FROM respostas_de_teste WHERE resposta_corrigida(i, v) > 4")._jdf.queryExecution().optimizedPlan().toString()
+    assert "Python" not in plan and "resposta_corrigida(" not in plan
+
+
+def test_the_write_of_silver_counts_the_funnel(spark, lake):
+    from likertlake.operators import cleaning
+    from likertlake.plans.lake import FUNNEL
+
+    got = lake.funnel()
+    assert "FileScan" not in got._jdf.queryExecution().executedPlan().toString()
+    row = got.first().asDict()
+    assert row.pop("removidos_dominio") == 0
+    assert row == cleaning.exclusion_funnel(lake.typed(), lake.spec).first().asDict()
+    name = lake.layers.name("silver", "respostas")
+    spark.sql(f"ALTER TABLE {name} UNSET TBLPROPERTIES ('{FUNNEL}')")
+    assert lake.funnel().first().asDict() == row
