@@ -21,6 +21,7 @@ from likertlake.operators import cleaning, ids, quality, star
 from likertlake.session import Workspace, application_id
 from likertlake.sources import files, survey
 from likertlake.sources.tables import Layers
+from likertlake.streaming.landing import Landing
 
 BRONZE, TYPED, SILVER = "respostas_brutas", "respostas_tipadas", "respostas"
 ITEMS, RESPONDENTS, PROFILES = "dim_item", "dim_respondente", "dim_perfil"
@@ -88,17 +89,20 @@ class Lake:
         names: Mapping[str, str] | None = None,
         drop_out_of_domain: bool = False,
         attach: bool = False,
+        known: ids.IdMap | None = None,
     ) -> None:
         """``raw`` yields the text rows with lineage columns; ``order_by`` identifies a row.
 
         ``keep`` names order columns that stay in the silver table; ``names`` gives
         tables other names than the defaults above. ``drop_out_of_domain`` also leaves
         answers beyond the scale out of silver. With ``attach``, tables that exist are
-        taken as they are, and only missing ones are built. The session's settings are
+        taken as they are, also where only their files do, and only missing ones are built: a build
+        that was killed goes on after its last whole table. With ``known``, respondents keep the ids of
+        earlier loads, and those who are new are numbered after them. The session's settings are
         left alone; ``session.tune`` has those that help.
         """
         self.spark, self.raw, self.spec = spark, raw, spec
-        self.drop_out_of_domain, self.attach = drop_out_of_domain, attach
+        self.drop_out_of_domain, self.attach, self.known = drop_out_of_domain, attach, known
         self.order_by, self.layers, self.work = list(order_by), layers, work
         self.keep, self.names = list(keep), dict(names or {})
         self._lock = threading.RLock()
@@ -118,7 +122,10 @@ class Lake:
     ) -> DataFrame:
         with self._lock:
             target = self.names.get(name, name)
-            if (self.attach or name in self._built) and self.layers.exists(layer, target):
+            if name in self._built and self.layers.exists(layer, target):
+                return self.layers.read(layer, target)
+            if self.attach and (self.layers.exists(layer, target) or self.layers.recover(layer, target)):
+                self._built.add(name)
                 return self.layers.read(layer, target)
             df = build()
             notes = {c: COLUMN_NOTES[c] for c in df.columns if layer == "gold" and c in COLUMN_NOTES}
@@ -153,27 +160,35 @@ class Lake:
         vectors, a quarter of the bytes of 27 columns.
         """
 
+        built = []
+
         def build() -> DataFrame:
+            built.append(True)
             context = [*self.spec.context, files.INGESTED]
             valid = cleaning.clean_observed(self.typed(), self.spec, counts, self.drop_out_of_domain)
             answers = PackedVector(self.spec.item_ids, min(self.spec.lo, self.spec.missing), self.spec.hi)
             # Range partitioning samples its input in a pass of its own; written down,
             # that pass reads a few compact columns instead of cleaning twice.
             slim = staging.cut(answers.pack(valid, [*self.order_by, *context]), "valid")
-            numbered = ids.dense_id(slim, self.order_by, staging, self._parts(), star.ID)
+            if self.known is None:
+                numbered = ids.dense_id(slim, self.order_by, staging, self._parts(), star.ID)
+            else:
+                self.known.add(slim, max(self.known.stored.loads(), default=0) + 1, staging, self._parts())
+                numbered = self.known.assign(slim)
             placed = numbered.select(star.ID, *answers.names, *context, *self.keep)
             return placed.repartition(self.layers.buckets, star.ID).select(
                 star.ID, *answers.unpack(), *context, *self.keep
             )
 
-        counts, dense = Observation(), F.count(F.lit(1)) == F.max(star.ID)
+        # Ids of respondents who are gone by now leave gaps among those that are kept.
+        one_each = F.count(F.lit(1)) == (F.max(star.ID) if self.known is None else F.count_distinct(star.ID))
+        counts = Observation()
         staging = self.work.inner("staging")
         try:
-            before = SILVER in self._built
-            saved = self._table("silver", SILVER, build, bucketed=True, checks={"ids run from 1 without gaps": dense})
-            if SILVER in self._built and not before:
-                note = json.dumps(counts.get).replace("'", "")
-                self.spark.sql(f"ALTER TABLE {self.layers.name('silver', self.names.get(SILVER, SILVER))} SET TBLPROPERTIES ('{FUNNEL}' = '{note}')")
+            saved = self._table("silver", SILVER, build, bucketed=True, checks={"every respondent has an id of their own": one_each})
+            if built:
+                name = self.layers.name("silver", self.names.get(SILVER, SILVER))
+                self.spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ('{FUNNEL}' = '{json.dumps(counts.get)}')")
             return saved
         finally:
             staging.drop()
@@ -295,11 +310,13 @@ def file_lake(
     names: Mapping[str, str] | None = None,
     corrupt_column: str | None = None,
     drop_out_of_domain: bool = False,
+    resume: bool = False,
 ) -> Lake:
     """The lake over landed tab-separated files, numbered in file and line order.
 
     Bronze has the columns that the header names, also those beyond the instrument.
-    With ``corrupt_column`` lines of the wrong width keep their raw text there.
+    With ``corrupt_column`` lines of the wrong width keep their raw text there. With ``resume`` a build that
+    was killed goes on: tables it has finished are not built again.
     """
 
     def raw() -> DataFrame:
@@ -309,7 +326,28 @@ def file_lake(
         return files.with_file_order(files.with_lineage(scan))
 
     work = Workspace(spark, "files")
-    return Lake(spark, raw, files.FILE_ORDER, layers, work, spec, names=names, drop_out_of_domain=drop_out_of_domain)
+    return Lake(spark, raw, files.FILE_ORDER, layers, work, spec, names=names, drop_out_of_domain=drop_out_of_domain, attach=resume)
+
+
+def landing_lake(
+    landing: Landing,
+    layers: Layers,
+    known: ids.IdMap,
+    spec: Instrument = SHORT_FORM_27,
+    names: Mapping[str, str] | None = None,
+    drop_out_of_domain: bool = False,
+) -> Lake:
+    """The lake over all rows landed so far, in which respondents keep the ids of earlier lakes.
+
+    Land new files and make the lake anew: its tables replace those of the one before, each in one step.
+    ``known`` must be keyed by ``files.FILE_ORDER``.
+    """
+    if absent := set(spec.raw_columns) - set(landing.columns):
+        raise ValueError(f"the header lacks {sorted(absent)}")
+    if known.keys != list(files.FILE_ORDER):
+        raise ValueError(f"ids are to be keyed by {files.FILE_ORDER}")
+    work = Workspace(landing.spark, "landing")
+    return Lake(landing.spark, landing.rows, files.FILE_ORDER, layers, work, spec, names=names, drop_out_of_domain=drop_out_of_domain, known=known)
 
 
 def open_lake(

@@ -69,8 +69,14 @@ class Landing:
         return self.spark.read.schema(T.StructType(fields)).parquet(self.path)
 
     def rows(self) -> DataFrame:
-        """Bronze: the lines of the right width, as text."""
-        return self.lines().where(~F.col(files.REJECTED)).select(*self.columns, files.INGESTED, files.ORIGIN)
+        """Bronze: the lines of the right width, as text.
+
+        A landed file never changes, so its name and the number of the row in it are a key that a row keeps
+        (``files.FILE_ORDER``): ids can be given to answers that bring no key of their own.
+        """
+        whole = self.lines().where(~F.col(files.REJECTED))
+        place = [F.col("_metadata.file_name").alias(files.BLOCK), F.col("_metadata.row_index").alias(files.LINE)]
+        return whole.select(*self.columns, files.INGESTED, files.ORIGIN, *place)
 
     def rejects(self) -> DataFrame:
         """The other lines, with the reason."""
