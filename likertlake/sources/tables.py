@@ -152,8 +152,7 @@ class Layers:
         version = valid[-1]
         self.spark.sql(f"DROP TABLE IF EXISTS {name}__staged")
         if self.exists(layer, table):
-            at = self.describe(layer, table).where("col_name = 'Location'").first()
-            if at and at.data_type.rstrip("/").endswith(version.path.rsplit("/", 1)[1]):
+            if self.location(layer, table).endswith(version.path.rsplit("/", 1)[1]):
                 return True
             self.spark.sql(f"DROP TABLE {name}")
         shape = version.shape
@@ -207,21 +206,26 @@ class Layers:
         df.createOrReplaceTempView(name)
         return self.spark.table(name)
 
+    def rows_written(self, layer: str, table: str) -> int | None:
+        """The rows of the version in use, as its write counted them; None for a table of another make."""
+        valid = [] if self.fmt == "delta" else self.versions(layer, table).all()
+        return valid[-1].rows if valid and self.location(layer, table).endswith(valid[-1].path.rsplit("/", 1)[1]) else None
+
+    def location(self, layer: str, table: str) -> str:
+        at = self.describe(layer, table).where("col_name = 'Location'").first()
+        return at.data_type.rstrip("/") if at else ""
+
     def profile(self, layer: str) -> DataFrame:
-        """Rows, columns and comment of each table that the catalogue lists."""
-        out = None
+        """Rows, columns and comment of each table that the catalogue lists.
+
+        Rows were counted when they were written, so no table is read; one that was not written by ``save`` is counted.
+        """
+        out = []
         for table in sorted(r.tableName for r in self.listing(layer).where("not isTemporary").collect()):
-            df = self.read(layer, table)
+            df, rows = self.read(layer, table), self.rows_written(layer, table)
             note = self.spark.catalog.getTable(self.name(layer, table)).description or ""
-            row = df.agg(F.count(F.lit(1)).alias("registros")).select(
-                F.lit(layer).alias("camada"),
-                F.lit(table).alias("tabela"),
-                "registros",
-                F.lit(len(df.columns)).alias("colunas"),
-                F.lit(note).alias("comentario"),
-            )
-            out = row if out is None else out.unionByName(row)
-        return out
+            out.append((layer, table, df.count() if rows is None else rows, len(df.columns), note))
+        return self.spark.createDataFrame(out, "camada string, tabela string, registros bigint, colunas int, comentario string")
 
     def column_catalogue(self, layer: str, table: str) -> DataFrame:
         """Type and description as the catalogue has them, and observed domain of each column."""

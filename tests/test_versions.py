@@ -102,6 +102,17 @@ def test_files_without_a_catalogue_are_found_again(layers, rows, spark, form):
     assert joined.count() == 30
 
 
+def test_the_catalogue_knows_the_rows_without_counting(layers, rows, spark, tmp_path):
+    layers.save(rows, "gold", "t", "note")
+    layers.save(rows.where("id < 7"), "gold", "t", "note")
+    rows.limit(3).write.saveAsTable(layers.name("gold", "other"))
+    got = layers.profile("gold")
+    assert "FileScan" not in got._jdf.queryExecution().executedPlan().toString()
+    assert [tuple(r) for r in got.orderBy("tabela").collect()] == [("gold", "other", 3, 3, ""), ("gold", "t", 7, 3, "note")]
+    assert layers.rows_written("gold", "other") is None
+    assert layers.profile("silver").collect() == []
+
+
 KILLED = """
 import os, signal, sys, threading, time
 sys.path.insert(0, {repo!r})
