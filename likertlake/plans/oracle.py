@@ -656,7 +656,7 @@ def _each() -> dict[str, str]:
 
 
 #: Questions that two queries answer by different ways.
-_SAME = {"observed_funnel": "exclusion_funnel", "score_bands_sql": "score_bands", "item_endorsement_sql": "item_endorsement"}
+_SAME = {"growing_profiles": "profile_distribution", "observed_funnel": "exclusion_funnel", "score_bands_sql": "score_bands", "item_endorsement_sql": "item_endorsement"}
 
 
 def all_oracles() -> dict[str, str]:

@@ -18,6 +18,7 @@ from likertlake.operators import analysis, cleaning, quality, star, state
 from likertlake.operators import statistics as S
 from likertlake.plans import lake as L
 from likertlake.operators.ids import IdMap
+from likertlake.plans.growing import GrowingLake
 from likertlake.plans.lake import Lake, derived_lake, range_parts
 from likertlake.session import Workspace
 from likertlake.sources import files
@@ -428,6 +429,18 @@ def stable_ids(lake: Lake) -> DataFrame:
     return known.assign(rows.select(KEY)).join(first.withColumnRenamed(star.ID, "id_primeira_carga"), KEY, "left").select(KEY, "id_primeira_carga", star.ID)
 
 
+@_on_lake
+def growing_profiles(lake: Lake) -> DataFrame:
+    """Profiles after two refreshes of a lake that reads new files only."""
+    space, rows = lake.work.inner("growing"), lake.bronze().select(*RAW)
+    landing = Landing(lake.spark, f"{space.root}/drops/*", f"{space.root}/bronze", RAW)
+    grown = GrowingLake(landing, f"{space.root}/lake", SPEC, keys=[KEY])
+    for name, part in (("a", _early(raw=True)), ("b", ~_early(raw=True))):
+        files.write_delimited(rows.where(part), f"{space.root}/drops/{name}")
+        grown.refresh()
+    return analysis.profile_distribution(grown.scores(), lake.profiles())
+
+
 PRICE_PROBS = {"p25": 0.25, "p50": 0.5, "p75": 0.75, "p99": 0.99}
 
 

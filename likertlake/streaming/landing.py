@@ -62,19 +62,25 @@ class Landing:
         query.awaitTermination()
         return sum(p["numInputRows"] for p in query.recentProgress)
 
+    def _schema(self) -> T.StructType:
+        text = [T.StructField(c, T.StringType()) for c in [*self.columns, files.RAGGED]]
+        return T.StructType([*text, T.StructField(files.INGESTED, T.TimestampType()), T.StructField(files.ORIGIN, T.StringType())])
+
     def lines(self) -> DataFrame:
         """Everything landed. The sink's log is heeded: part files of unfinished batches are not read."""
-        fields = [T.StructField(c, T.StringType()) for c in [*self.columns, files.RAGGED]]
-        fields += [T.StructField(files.INGESTED, T.TimestampType()), T.StructField(files.ORIGIN, T.StringType()), T.StructField(files.REJECTED, T.BooleanType())]
-        return self.spark.read.schema(T.StructType(fields)).parquet(self.path)
+        return self.spark.read.schema(self._schema().add(files.REJECTED, T.BooleanType())).parquet(self.path)
+
+    def parts(self) -> list[str]:
+        """The landed files that hold rows, by name: what a later step takes in portions."""
+        return sorted(x for x in self.lines().inputFiles() if f"/{files.REJECTED}=false/" in x)
 
-    def rows(self) -> DataFrame:
-        """Bronze: the lines of the right width, as text.
+    def rows(self, parts: Sequence[str] | None = None) -> DataFrame:
+        """Bronze: the lines of the right width, as text; all of them, or those of some ``parts``.
 
         A landed file never changes, so its name and the number of the row in it are a key that a row keeps
         (``files.FILE_ORDER``): ids can be given to answers that bring no key of their own.
         """
-        whole = self.lines().where(~F.col(files.REJECTED))
+        whole = self.lines().where(~F.col(files.REJECTED)) if parts is None else self.spark.read.schema(self._schema()).parquet(*parts)
         place = [F.col("_metadata.file_name").alias(files.BLOCK), F.col("_metadata.row_index").alias(files.LINE)]
         return whole.select(*self.columns, files.INGESTED, files.ORIGIN, *place)
 
