@@ -4,7 +4,7 @@ A window of ``window`` words occurs twice only if a block of ``block`` words on
 grid of one occurrence (every ``block`` words from the start of its text) occurs
 somewhere else too. So the non-overlapping blocks of all texts are the index, and the
 rolling block at every position probes it. Windows around a hit are the candidates
-(a repeat of any length is a run of them). Of those alone a 128-bit digest is taken over
+(a repeat of any length is a run of them). Of those alone a 96-bit digest is taken over
 their words as they are written, and equal digests decide: the short hashes of the
 probes only choose what is looked at. What the decision covers is a maximal exact repeat.
 
@@ -36,6 +36,8 @@ CHUNK_BYTES = 1 << 20
 LEVEL = 6
 #: Hashes that one part compares.
 PART_HASHES = 2_000_000
+#: Bytes of a digest beyond the first eight.
+REST = 4
 #: Bits beyond those of the index's size; a probe hits by chance once in 2**14 times.
 SPARE_BITS = 14
 
@@ -71,7 +73,7 @@ class Chunk:
 
 
     def digests(self, k: int, at: np.ndarray) -> np.ndarray:
-        """BLAKE2b of the words of the windows that start at ``at``, a blank between two: two numbers each.
+        """BLAKE2b of the words of the windows that start at ``at``, a blank between two: numbers of 8 and 4 bytes.
 
         Words hold no blank, so windows have equal texts if and only if they have equal words.
         """
@@ -83,8 +85,9 @@ class Chunk:
         inside[first[1:] - 1] = False
         plain[inside] = w.data[self.letters[w.data]]
         text = memoryview(plain.tobytes())
-        found = b"".join([blake2b(text[a:b], digest_size=16).digest() for a, b in zip(first[at].tolist(), (first[at + k] - 1).tolist())])
-        return np.frombuffer(found, "<u8").reshape(-1, 2).astype(np.uint64)
+        found = b"".join([blake2b(text[a:b], digest_size=8 + REST).digest() for a, b in zip(first[at].tolist(), (first[at + k] - 1).tolist())])
+        parts = np.frombuffer(found, np.dtype([("first", "<u8"), ("rest", f"<u{REST}")]))
+        return np.stack([parts["first"], parts["rest"].astype(np.uint64)], 1)
 
 
 def distinct(digests: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -123,7 +126,7 @@ def probes(chunk: int, values: np.ndarray, flags: tuple[np.ndarray, ...], parts:
     """Sorted distinct values with their flags, a row for each part that gets any; ``rest`` is the second number of digests."""
     at = bounds(values, parts, width)
     own = np.flatnonzero(np.diff(at))
-    tail = lambda p: b"" if rest is None else planes(rest[at[p] : at[p + 1]], 8)
+    tail = lambda p: b"" if rest is None else planes(rest[at[p] : at[p + 1]], REST)
     return pa.record_batch(
         {
             "part": pa.array(own, pa.int32()),
@@ -142,8 +145,9 @@ def compare(rows: pa.Table, width: int, indexed: bool) -> pa.Table:
     packed = [b.as_py() for b in rows.column("hashes")]
     rest = None
     if not indexed:
-        rest = np.concatenate([unplanes(b[len(b) // 2 :], 8) for b in packed])
-        packed = [b[: len(b) // 2] for b in packed]
+        cut = [len(b) // (width + REST) * width for b in packed]
+        rest = np.concatenate([unplanes(b[c:], REST) for b, c in zip(packed, cut)])
+        packed = [b[:c] for b, c in zip(packed, cut)]
     values = [unplanes(b, width) for b in packed]
     flags = []
     for v, f in zip(values, rows.column("flags")):
