@@ -42,7 +42,7 @@ BLOCKS = frozenset(
     "h5 h6 header hgroup hr html legend li main menu nav ol optgroup option p pre search section summary table tbody td tfoot th thead tr ul".split()
 )
 NEVER = frozenset(
-    "aside button canvas datalist dialog embed fieldset footer form head iframe input label math menu nav noembed noframes noscript "
+    "aside button canvas datalist dialog embed fieldset footer form head iframe input label menu nav noembed noframes noscript "
     "object script search select style svg template textarea title".split()
 )
 ROLES = frozenset("alert alertdialog banner complementary contentinfo dialog form menu menubar navigation search toolbar tablist".split())
@@ -61,14 +61,15 @@ CLOSES = {
 }
 #: White space of HTML and the no-break and other spaces that a reader sees as one.
 SPACE = re.compile(r"\s+")
-UNFINISHED = re.compile(r"<(?:[a-zA-Z/!?][^<>]*)?$")
+#: A tag that the page ends in; a last bracket after text is text, one that is all there is would have been a tag.
+UNFINISHED = re.compile(r"<[a-zA-Z/!?][^<>]*$|^\s*<$")
 
 
 class Element:
-    __slots__ = ("tag", "attrs", "children")
+    __slots__ = ("tag", "attrs", "children", "quoted")
 
-    def __init__(self, tag: str, attrs: dict[str, str]) -> None:
-        self.tag, self.attrs = tag, attrs
+    def __init__(self, tag: str, attrs: dict[str, str], quoted: bool = False) -> None:
+        self.tag, self.attrs, self.quoted = tag, attrs, quoted
         self.children: list[Element | str] = []
 
     def is_article(self) -> bool:
@@ -76,7 +77,7 @@ class Element:
 
     def excluded(self, in_article: bool) -> bool:
         """Whether tag, role or name say that this is not the article."""
-        if self.tag in NEVER or (self.tag == "header" and not in_article):
+        if (self.tag in NEVER and not (self.quoted and self.tag == "footer")) or (self.tag == "header" and not in_article):
             return True
         if self.attrs.get("role") in ROLES or "hidden" in self.attrs or self.attrs.get("aria-hidden") == "true":
             return True
@@ -101,7 +102,8 @@ class Reader(HTMLParser):
             self._close(*CLOSES[tag])
         if tag in BLOCKS:
             self._close({"p"}, BLOCKS - {"p"})
-        element = Element(tag, {k: v or "" for k, v in attrs if k in ("class", "id", "role", "hidden", "aria-hidden", "href")})
+        kept = {k: v or "" for k, v in attrs if k in ("class", "id", "role", "hidden", "aria-hidden", "href")}
+        element = Element(tag, kept, tag == "footer" and any(e.tag == "blockquote" for e in self.stack))  # it names the source
         self.stack[-1].children.append(element)
         if tag not in VOID:
             self.stack.append(element)

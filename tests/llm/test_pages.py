@@ -105,6 +105,14 @@ def test_sections_of_a_large_host_lose_their_menus(spark):
     assert {r.page_id: r.text for r in got} == {s * 100 + i: f"Story {i} of {s}" for s in range(30) for i in range(8)}
 
 
+def test_formulas_sources_of_quotes_and_a_last_bracket_stay():
+    text = lambda html: pages.main_text(pages.read(html), frozenset())
+    assert text("<article><p>Let <math><mi>x</mi><mo>=</mo><mn>2</mn></math> hold.</p></article>") == "Let x=2 hold."
+    quote = "<article><blockquote><p>So it is.</p><footer>A. Author</footer></blockquote><footer>Site</footer></article>"
+    assert text(quote) == "So it is.\nA. Author"
+    assert text("<article><p>if a <") == "if a <" and text("<article><p>if a <b") == "if a"
+
+
 def test_odd_rows(spark):
     df = spark.createDataFrame([(None, None, None), (1, "", ""), (1, "", "")], "page_id int, url string, html string").selectExpr("*", "'x' AS text", "'y' AS host", "'z' AS template")
     got = pages.extract(df).collect()
