@@ -48,16 +48,25 @@ def _range_of(key: Column, splitters: list[str]) -> Column:
     return F.aggregate(steps, F.lit(0), lambda at, step: F.when(F.get(table, at + step - 1) <= key, at + step).otherwise(at))
 
 
-def _sample(rows: DataFrame, n: int, seed: int) -> list[str]:
-    """``n`` keys, each drawn in proportion to size, sorted."""
+def _sample(rows: DataFrame, n: int, seed: int, total: int, n_rows: int) -> list[str]:
+    """``n`` keys, each drawn in proportion to size, sorted: those of the least draws.
+
+    About twice as many draws lie below the threshold that the rows' ``total`` size gives, whatever the number of tasks,
+    and only these are fetched. Where they are too few, because few large rows have most of the size, it is raised.
+    """
     unit = (F.pmod(F.xxhash64("key", F.lit(seed)), F.lit(1 << 52)) + F.lit(0.5)) / F.lit(float(1 << 52))
-    drawn = rows.select("key", (-F.log(unit) / F.col("size")).alias("draw")).orderBy("draw", "key").limit(n)
-    return sorted(r.key for r in drawn.select("key").collect())
+    drawn = rows.select("key", (-F.log(unit) / F.col("size")).alias("draw"))
+    below = 2.0 * n / max(1, total)
+    while True:
+        found = [(r.draw, r.key) for r in drawn.where(F.col("draw") < below).collect()]
+        if len(found) >= min(n, n_rows):
+            return sorted(key for _, key in sorted(found)[:n])
+        below *= 4
 
 
 def _splitters(rows: DataFrame, total: int, n_rows: int, ranges: int) -> tuple[list[str], list[tuple[int, int]]]:
     """Splitters of ranges none of which is overfull, and bytes and rows of each range."""
-    keys, bytes_most, rows_most = _sample(rows, ranges * PER_RANGE, 0), OVERFULL * total / ranges, max(1.0, OVERFULL * n_rows / ranges)
+    keys, bytes_most, rows_most = _sample(rows, ranges * PER_RANGE, 0, total, n_rows), OVERFULL * total / ranges, max(1.0, OVERFULL * n_rows / ranges)
     splitters = sorted(set(keys[PER_RANGE::PER_RANGE]))
     for seed in range(1, 1 << 20):
         ranged = rows.withColumn("range", _range_of(F.col("key"), splitters))
@@ -68,7 +77,7 @@ def _splitters(rows: DataFrame, total: int, n_rows: int, ranges: int) -> tuple[l
             break
         parts = sum(int(max(sizes[k][0] / bytes_most, sizes[k][1] / rows_most)) + 1 for k in over)
         inner = ranged.where(F.get(_table([int(k in set(over)) for k in range(len(sizes))], "int"), F.col("range")) == 1)
-        more = _sample(inner, 2 * parts * PER_RANGE, seed)
+        more = _sample(inner, 2 * parts * PER_RANGE, seed, sum(sizes[k][0] for k in over), sum(sizes[k][1] for k in over))
         grown = sorted(set(splitters) | set(more[PER_RANGE::PER_RANGE] or more[len(more) // 2 :][:1]))
         if len(grown) == len(splitters):  # a range of few large rows: cut at any of them
             grown = sorted(set(splitters) | set(more))

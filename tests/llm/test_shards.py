@@ -34,6 +34,17 @@ def test_a_text_that_most_rows_share(spark):
         check(got, 5)
 
 
+def test_the_sample_is_that_of_the_least_draws(spark):
+    """Also where few rows have nearly all of the size, and where more are asked for than there are."""
+    sizes = [10] * 2000 + [10_000_000] * 3
+    rows = spark.createDataFrame([(f"{i:016x}", s) for i, s in enumerate(sizes)], "key string, size bigint").repartition(7)
+    draw = lambda n: shards._sample(rows, n, 1, sum(sizes), len(sizes))
+    for n in (1, 50, 500, 5000):
+        got = draw(n)
+        assert len(got) == len(set(got)) == min(n, len(sizes)) and got == sorted(got)
+    assert {f"{i:016x}" for i in (2000, 2001, 2002)} <= set(draw(50)) <= set(draw(500))  # a smaller sample begins a larger one
+
+
 def test_odd_rows(odd, none):
     got = shards.assign(odd, shards=3, carry=("text", "shard", "size")).collect()
     check(got, 3)
