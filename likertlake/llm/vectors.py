@@ -26,6 +26,8 @@ COSINE, RECALL = 0.93, 0.995
 SAMPLE, BLOCK = 8192, 1024
 #: Codewords of a half: one for the square root of so many vectors, within these bounds.
 PER_CELL, LEAST_WORDS, MOST_WORDS = 512, 2, 256
+#: Sums of distances that the driver holds at once to see how many cells are to be visited.
+RANKED = 1 << 22
 STRIP = 256
 
 
@@ -90,8 +92,12 @@ class Grid:
         noise -= (noise * x).sum(1, keepdims=True) * x
         noise /= np.maximum(np.linalg.norm(noise, axis=1, keepdims=True), 1e-12)
         other = self.cells(cosine * x + math.sqrt(max(0.0, 1 - cosine * cosine)) * noise)
-        size = self.shape[0] * self.shape[1]
-        rank = (self.visited(x, size) == other[:, None]).argmax(1)
+        a, b = self.distances(x)
+        own = np.take_along_axis(a, other[:, None] // self.shape[1], 1) + np.take_along_axis(b, other[:, None] % self.shape[1], 1)
+        rank, strip = np.zeros(len(x), np.int64), max(1, RANKED // (self.shape[0] * self.shape[1]))
+        for k in range(0, len(x), strip):  # the cells that come before the wanted one
+            s = slice(k, k + strip)
+            rank[s] = (a[s, :, None] + b[s, None, :] < own[s, :, None]).sum((1, 2))
         return int(np.sort(rank)[min(len(rank) - 1, int(recall * len(rank)))]) + 1
 
 

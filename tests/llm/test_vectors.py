@@ -83,3 +83,14 @@ def test_query(spark, sf_dir):
     rows = [tuple(r) for r in spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", "embedding", "label").collect()]
     got = sorted(((r.vec_id, r.n_links, r.component_id) for r in queries.op10_vector_duplicates(spark, sf_dir).collect()), key=str)
     assert got == brute(rows, 0.93)
+
+
+def test_visits_are_counted_as_the_traversal_orders_cells():
+    rng = np.random.default_rng(4)
+    x = vectors.unit(rng.normal(size=(400, 8)))
+    grid = vectors.Grid(x, 4, 0.93, 0.95)
+    a, b = grid.distances(x)
+    seen = grid.visited(x, a.shape[1] * b.shape[1])
+    every = (a[:, :, None] + b[:, None, :]).reshape(len(x), -1)
+    assert (np.diff(np.take_along_axis(every, seen, 1), axis=1) >= -1e-12).all()
+    assert 1 <= grid.visits <= every.shape[1]
