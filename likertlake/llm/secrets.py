@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_right
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 
@@ -29,7 +30,7 @@ LEAST = {"assign": 6, "access": 20, "hex": 24}
 
 BASE = ("assign", "access", "hex")
 LEARNED = "format"
-#: Tokens that could be credentials are of this length, or of the shortest labelled one if that is less.
+#: Tokens that could be credentials are of this length, or as short as labelled ones usually are if that is less.
 CANDIDATE = 16
 ALPHABET = 68
 #: Distinct credentials of each kind, and distinct ordinary tokens, to learn from.
@@ -54,6 +55,21 @@ _ACCESS = re.compile(ACCESS)
 _HEX = re.compile(HEX.replace("+", f"{{{LEAST['hex']},}}"))
 
 
+def _outside(pattern: re.Pattern[str], text: str, spans: list[tuple[str, int, int]]) -> Iterator[re.Match[str]]:
+    """Matches that touch none of the spans, which are in order of their start."""
+    starts, ends = [], []  # of runs of overlapping spans
+    for _, s, e in spans:
+        if ends and s <= ends[-1]:
+            ends[-1] = max(ends[-1], e)
+        else:
+            starts.append(s)
+            ends.append(e)
+    for m in pattern.finditer(text):
+        k = bisect_right(ends, m.start())
+        if k == len(starts) or starts[k] >= m.end():
+            yield m
+
+
 def token(least: int) -> re.Pattern[str]:
     return re.compile(rf"(?<![A-Za-z0-9+/_.=-])[A-Za-z0-9+/_.=-]{{{least},}}")
 
@@ -189,8 +205,8 @@ def fit(docs: DataFrame, text: str = "text", sample: int = SAMPLE, ordinary: int
     """Learn the formats of the credentials that the patterns find in all texts.
 
     Of each kind the ``sample`` distinct values of the least hash are learned from, and
-    as many ``ordinary`` tokens that no pattern matches, as short as the shortest credential
-    of the whole corpus. With no credentials there are no formats, and only the patterns
+    as many ``ordinary`` tokens that no pattern matches, as short as the credentials of the whole corpus
+    are (but for the shortest twentieth). With no credentials there are no formats, and only the patterns
     find anything.
     """
     space, kind = Workspace(docs.sparkSession, "secrets"), "array<struct<kind string, value string>>"
@@ -205,15 +221,16 @@ def fit(docs: DataFrame, text: str = "text", sample: int = SAMPLE, ordinary: int
                     t = x or ""
                     spans = base_spans(t)
                     own = [(k, (_ASSIGN.match(t, s).group(2) if k == "assign" else t[s:e])) for k, s, e in spans] if labelled else []
-                    own += [("", m.group()) for m in pattern.finditer(t) if not any(s < m.end() and m.start() < e for _, s, e in spans)]
+                    own += [("", m.group()) for m in _outside(pattern, t, spans)]
                     out.append([{"kind": k, "value": v} for k, v in own])
                 yield pa.array(out, pa.list_(pa.struct([("kind", pa.string()), ("value", pa.string())])))
 
         return space.cut(docs.select(F.inline(column_udf(found, kind)(f"`{text}`"))).distinct(), "labelled")
 
     each = values(CANDIDATE, True)
-    shortest = each.where("kind <> ''").agg(F.min(F.length("value"))).first()[0] or CANDIDATE
-    shortest = min(CANDIDATE, max(LEAST["assign"], shortest))
+    # A length that all but a share of the credentials have: a single short one changes nothing for the rest.
+    usual = each.where("kind <> ''").agg(F.percentile(F.length("value"), BELOW)).first()[0]
+    shortest = min(CANDIDATE, max(LEAST["assign"], CANDIDATE if usual is None else int(usual)))
     plain = each if shortest == CANDIDATE else values(shortest, False)
     got: dict[str, list[str]] = {}
     for k in (*BASE, ""):
@@ -252,10 +269,9 @@ _TYPE = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end"
 def _spans(text: str, formats: Formats, pattern: re.Pattern[str]) -> list[dict]:
     base = base_spans(text)
     out = [{"kind": k, "start": s, "end": e, "score": 1.0} for k, s, e in base]
-    for m in pattern.finditer(text):
-        if not any(s < m.end() and m.start() < e for _, s, e in base):
-            if (score := formats.score(m.group())) is not None:
-                out.append({"kind": LEARNED, "start": m.start(), "end": m.end(), "score": score})
+    for m in _outside(pattern, text, base):
+        if (score := formats.score(m.group())) is not None:
+            out.append({"kind": LEARNED, "start": m.start(), "end": m.end(), "score": score})
     rank = {k: i for i, k in enumerate((*BASE, LEARNED))}
     return sorted(out, key=lambda x: (x["start"], rank[x["kind"]]))
 

@@ -72,6 +72,26 @@ def test_short_and_letter_only_formats(spark):
         assert found == {1: [("format", 5, 5 + len(new))], 2: []}
 
 
+def test_one_short_credential_changes_nothing_else(spark):
+    """The least length of a candidate follows what credentials usually are, not the shortest one."""
+    rng = random.Random(8)
+    make = lambda n: "".join(rng.choice("ABCDEFGHJKLMNPQRSTUVWXYZ23456789") for _ in range(n))
+    rows = [(i, f"some words here token = 'ghx-{make(20)}' and more") for i in range(100)]
+    schema = "doc_id int, text string"
+    known = secrets.fit(spark.createDataFrame(rows, schema))
+    again = secrets.fit(spark.createDataFrame([*rows, (100, "password = 'abc123'")], schema))
+    assert known.shortest == again.shortest == secrets.CANDIDATE
+
+
+def test_tokens_beside_many_spans():
+    """Only those that touch no span, in time that grows with the text alone."""
+    text = " ".join(["0123456789abcdef01234567", "plainwordplainword"] * 3000) + " secret=abcdef0123456789abcdef0123"
+    spans = secrets.base_spans(text)
+    got = [m.span() for m in secrets._outside(secrets.token(6), text, spans)]
+    every = [m.span() for m in secrets.token(6).finditer(text)]
+    assert got == [x for k, x in enumerate(every[:6000]) if k % 2]
+
+
 def test_merging_generalises_and_keeps_prefixes():
     words = ["AKIA" + "".join(random.Random(i).choices("ABCDEFGH", k=12)) for i in range(300)]
     a = secrets.learn(words)
