@@ -16,11 +16,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from likertlake.llm import words as W
-from likertlake.llm.share import column_udf, share
+from likertlake.llm.share import column_udf, give_back, share
 
 LENGTH, WIDTHS, FILTERS = 256, (2, 3, 4), 16
-#: The sample: documents of each language, windows of each document.
-SAMPLE_DOCS, SAMPLE_WINDOWS = 800, 6
+#: The sample: documents of each language, windows of each document, and how many languages are learned.
+SAMPLE_DOCS, SAMPLE_WINDOWS, LANGS = 800, 6, 1000
 UNKNOWN = "und"
 #: Of the training windows, mixed and hardened ones too, so many stay below the level of noise.
 BELOW = 0.999
@@ -30,6 +30,8 @@ SCRIPTS = [
     (0x370, 0x3FF), (0x400, 0x4FF), (0x5D0, 0x5EA), (0x621, 0x64A), (0x905, 0x939),
     (0xE01, 0xE2E), (0x3041, 0x3096), (0x4E00, 0x9FA5), (0xAC00, 0xD7A3),
 ]
+#: How many times the sample is ordered to choose it; that fewer are below the threshold does not happen.
+MARGIN = 4
 #: Windows that the network reads at once, and that are laid out at once.
 BATCH, AT_ONCE = 128, 2048
 
@@ -181,33 +183,47 @@ def rejecting(langs: list[str], parts: list[str], y: np.ndarray) -> Network:
 
 def fit(
     docs: DataFrame, text: str = "text", lang: str = "lang", id: str = "doc_id",
-    sample_docs: int = SAMPLE_DOCS, sample_windows: int = SAMPLE_WINDOWS, reject: bool = False,
+    sample_docs: int = SAMPLE_DOCS, sample_windows: int = SAMPLE_WINDOWS, reject: bool = False, langs: int = LANGS,
 ) -> Network | None:
     """A network for the languages of the labelled training folds; None if there is no label.
 
     Learns from ``sample_windows`` windows, spread over the whole text, of at most
-    ``sample_docs`` documents of each language, chosen by a hash of the id. The sample
-    is all that reaches the driver. Rows with a null text, language or id are left out.
+    ``sample_docs`` documents of each language, chosen by a hash of the id. Of more than ``langs``
+    languages the most frequent are learned, and so many share the sample of a hundred. The sample
+    is all that reaches the driver. Rows with a null text, language or id are left out; rows of one id
+    count one by one, equal ones once.
     With ``reject``, the network also learns to tell languages from noise.
     """
     rows = docs.select(F.col(f"`{id}`").alias("id"), F.col(f"`{text}`").alias("text"), F.col(f"`{lang}`").alias("lang"))
     rows = rows.where(in_training(F.col("id")) & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id")
-    chosen = rows.select("lang", "id").withColumn("r", F.row_number().over(order)).where(F.col("r") <= sample_docs).select("lang", "id")
-    picked = rows.join(F.broadcast(chosen.distinct()), ["lang", "id"])  # bounded by the sample
+    sizes = {r.lang: r.n for r in rows.groupBy("lang").agg(F.approx_count_distinct("id").alias("n")).orderBy(F.desc("n"), "lang").limit(langs).collect()}
+    if not sizes:
+        return None
+    sample_docs = max(1, min(sample_docs, sample_docs * 100 // len(sizes)))
+    # Few more than the sample lie below a threshold that falls with the size of a language: no language is one task's rows.
+    least = {lang: 1 - MARGIN * sample_docs / n for lang, n in sizes.items() if n > MARGIN * sample_docs}
+    level = F.create_map(*[F.lit(x) for lang in sizes for x in (lang, least.get(lang, 0.0))])[F.col("lang")]
+    drawn = F.xxhash64("id").alias("h"), F.xxhash64("text").alias("t")
+    near = rows.select("lang", "id", *drawn).where(0.5 - F.col("h") / F.lit(2.0**64) >= level).distinct()
+    order = Window.partitionBy("lang").orderBy("h", "id", "t")
+    chosen = near.withColumn("r", F.row_number().over(order)).where(F.col("r") <= sample_docs).select("lang", "id", "t")
+    picked = rows.withColumn("t", F.xxhash64("text")).join(F.broadcast(chosen), ["lang", "id", "t"])  # bounded by the sample
     k = F.explode(F.sequence(F.lit(0), F.lit(sample_windows - 1)))
     at = 1 + F.floor(F.greatest(F.length("text") - LENGTH, F.lit(0)) * F.col("k") / max(1, sample_windows - 1))
     part = picked.withColumn("k", k).select("lang", "id", F.substring("text", at.cast("int"), F.lit(LENGTH)).alias("part")).distinct()
-    got = part.orderBy("lang", "id", "part").limit(sample_docs * sample_windows * 1000).toArrow()
-    if not got.num_rows:
-        return None
+    got = part.orderBy("lang", "id", "part").toArrow()
     names = got.column("lang").to_pylist()
-    langs = sorted(set(names))
-    label = np.array([langs.index(v) for v in names])
+    known = sorted(set(names))
+    label = np.array([known.index(v) for v in names])
     if reject:
-        return rejecting(langs, got.column("part").to_pylist(), label)
-    x, doc = _first_windows(got.column("part"))
-    return Network(langs).fit(x, label[doc])
+        net = rejecting(known, got.column("part").to_pylist(), label)
+    else:
+        x, doc = _first_windows(got.column("part"))
+        net = Network(known).fit(x, label[doc])
+        del x, doc
+    del got, names
+    give_back()  # the driver lives on, too
+    return net
 
 
 def predict(docs: DataFrame, net: Network | None, text: str = "text", to: str = "language") -> DataFrame:

@@ -42,3 +42,12 @@ def test_every_window_counts(net):
     data = np.frombuffer(b"the " * 200 + "der die das und nicht ".encode() * 200, np.uint8)
     x, doc, count = langid.windows(data, np.array([0, len(data)]))
     assert count.sum() == len(data) and len(x) == -(-len(data) // langid.LENGTH)
+
+
+def test_the_sample_of_a_language_does_not_depend_on_its_size(spark):
+    """The rows of the least hashes, as when all are ordered; of many languages the most frequent ones."""
+    rows = [(i, f"{'das ist gut ' if i % 9 else 'this is fine '}{i}", "de" if i % 9 else "en") for i in range(4000)] + [(i, "x y", f"l{i}") for i in range(4000, 4030)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string").repartition(7)
+    net = langid.fit(df, sample_docs=40, sample_windows=1, langs=2)
+    assert net.langs == ["de", "en"]
+    assert len(langid.fit(df, sample_docs=40, sample_windows=1).langs) > 2
