@@ -16,7 +16,8 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from likertlake.llm import words as W
@@ -30,6 +31,8 @@ SIZE, SIMILARITY = 5, 0.8
 BANDS, ROWS = 16, 4
 #: Cells of the table of document frequencies; shingles share them by hash.
 CELLS, CELL_BLOCK = 1 << 20, 1 << 15
+#: Tables of tasks that are added up at once, and how often before the last time: 64 ** 3 tasks make 64 at most.
+ADDED, ADDED_TIMES = 64, 2
 #: How much more a shingle of one text weighs than one of all texts. What copies share is
 #: less rare than what tells them apart, so with more the threshold would ask for more.
 STRENGTH = 0.25
@@ -145,15 +148,20 @@ def frequencies(docs: DataFrame, text: str, size: int, cells: int) -> tuple[np.n
                 np.add.at(total, pair % cells, 1)
         rows = [(k, total[k * CELL_BLOCK : (k + 1) * CELL_BLOCK]) for k in range(-(-cells // CELL_BLOCK))]
         rows = [(-1, np.array([n]))] + [(k, x) for k, x in rows if x.any()]
-        yield pa.record_batch({"k": pa.array([k for k, _ in rows], pa.int32()), "n": pa.array([x.astype("<i8").tobytes() for _, x in rows], pa.binary())})
+        part = TaskContext.get().partitionId()
+        yield pa.record_batch({"k": pa.array([k for k, _ in rows], pa.int32()), "part": pa.array([part] * len(rows), pa.int64()), "n": pa.array([x.astype("<i8").tobytes() for _, x in rows], pa.binary())})
         give_back()
 
     def add(group: pa.Table) -> pa.Table:
         total = sum(np.frombuffer(x.as_py(), "<i8") for x in group.column("n"))
-        return pa.table({"k": group.column("k").slice(0, 1), "n": pa.array([total.astype("<i8").tobytes()], pa.binary())})
-
-    kind = "k int, n binary"
-    rows = docs.select(f"`{text}`").mapInArrow(count, kind).groupBy("k").applyInArrow(add, kind).collect()  # bounded by the cells
+        part = pa.array([group.column("part")[0].as_py() // ADDED], pa.int64())
+        return pa.table({"k": group.column("k").slice(0, 1), "part": part, "n": pa.array([total.astype("<i8").tobytes()], pa.binary())})
+
+    kind = "k int, part bigint, n binary"
+    sums = docs.select(f"`{text}`").mapInArrow(count, kind)
+    for _ in range(ADDED_TIMES):  # sums of a few tasks, of a few of those, then of what is left
+        sums = sums.groupBy("k", F.floor(F.col("part") / ADDED).alias("next")).applyInArrow(add, kind)
+    rows = sums.groupBy("k").applyInArrow(add, kind).select("k", "n").collect()  # bounded by the cells
     out, n = np.zeros(cells, np.int64), 0
     for k, x in rows:
         if k < 0:
@@ -163,6 +171,11 @@ def frequencies(docs: DataFrame, text: str, size: int, cells: int) -> tuple[np.n
     return out, n
 
 
+def node_of(text: Column) -> Column:
+    """Digest that equal texts share."""
+    return F.unhex(F.md5(text))
+
+
 def classes(
     docs: DataFrame, text: str = "text", id: str = "doc_id", size: int = SIZE, similarity: float = SIMILARITY,
     bands: int = BANDS, rows: int = ROWS, cells: int = CELLS, leaders: int = LEADERS,
@@ -177,7 +190,7 @@ def classes(
     spark = docs.sparkSession
     space = Workspace(spark, "neardup")
     base = docs.select(F.col(f"`{id}`").alias("id"), F.col(f"`{text}`").alias("text")).where("text is not null")
-    node = F.unhex(F.md5("text")).alias("node")
+    node = node_of(F.col("text")).alias("node")
     frequency, n_docs = frequencies(base, "text", size, cells)
     weights = share(spark, Weights(frequency, n_docs))
 
@@ -274,7 +287,7 @@ def deduplicated(docs: DataFrame, text: str = "text", id: str = "doc_id", **how)
     """
     found, _ = classes(docs, text, id, **how)
     best = found.where(F.col("node") == F.col("class_node")).select(F.col("node").alias("_node"), F.col("class_id").alias("_id"))
-    rows = docs.select(F.struct(*[f"`{c}`" for c in docs.columns]).alias("_row"), F.col(f"`{id}`").alias("_own"), F.unhex(F.md5(F.col(f"`{text}`"))).alias("_node"))
+    rows = docs.select(F.struct(*[f"`{c}`" for c in docs.columns]).alias("_row"), F.col(f"`{id}`").alias("_own"), node_of(F.col(f"`{text}`")).alias("_node"))
     first = rows.join(best, "_node").where(F.col("_own").eqNullSafe(F.col("_id"))).dropDuplicates(["_node"])
     kept = first.select("_row").unionByName(rows.where("_node is null").select("_row"))
     return kept.select(*[F.col("_row").getField(c).alias(c) for c in docs.columns])

@@ -16,6 +16,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def op1_language_identification(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every whole text, learned from the labelled folds that are not held out.
+
+    ``und`` and score 0 for a null text or one without a letter. A null id is never held out; rows of one id and equal rows
+    are predicted one by one. Without any label all are ``und``; no documents, no rows.
+    """
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     found = langid.predict(docs.select("doc_id", "text"), langid.fit(docs))
     held = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.lit(False))
@@ -23,9 +28,14 @@ def op1_language_identification(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document's class of near duplicates, by its least id, and how many rows have its text.
+
+    A null text is a class of its own, an empty one is equal to other empty ones only. Rows of one id are rows each, and
+    ``kept`` where the id is that of the class, so two rows of that id and text are both kept (the pipeline keeps one).
+    """
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     found, _ = neardup.classes(docs)
-    rows = docs.select("doc_id", F.unhex(F.md5("text")).alias("node")).join(found, "node", "left")
+    rows = docs.select("doc_id", neardup.node_of(F.col("text")).alias("node")).join(found, "node", "left")
     return rows.select(
         "doc_id", F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("n", F.lit(1)).alias("n_copies"),
         F.coalesce("class_id", "doc_id").eqNullSafe(F.col("doc_id")).alias("kept"),
@@ -33,11 +43,19 @@ def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page and its length in code points; empty for null or empty html.
+
+    Pages without a host lose no site blocks; repeated rows have the same text; no pages, no rows.
+    """
     found = pages.extract(_table(spark, sf_dir, "pages").select("page_id", "url", "html"))
     return found.select("page_id", "url", "text", F.length("text").cast("bigint").alias("n_chars"))
 
 
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Score, votes and posterior of every text by the weak-label model; ``kept`` from its threshold on.
+
+    Null and empty texts are scored by the heuristics that apply to them; repeated rows have the same result; no documents, no rows.
+    """
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     found = quality.score(docs, *quality.fit(docs))
     q = F.col("quality")
@@ -45,6 +63,10 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every text: counts and digest of the fixed patterns, and all spans.
+
+    Spans of inferred formats are in ``spans`` as ``format``. A null or empty text has none; repeated rows have the same ones.
+    """
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     found = secrets.scan(docs, secrets.fit(docs))
     number = lambda kind: F.size(F.filter("secrets", lambda x: x["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
@@ -53,6 +75,10 @@ def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_repeated_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every text, those removed with repeated windows, and the digest of those kept.
+
+    A null text, an empty one or one shorter than the window loses nothing; repeated rows are texts each, so that all their windows go.
+    """
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     r = F.col("repeats")
     return substring.repeats(docs).select(
@@ -67,6 +93,10 @@ def tokenizer(spark: SparkSession) -> bpe.Tokenizer:
 
 
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Number and digest of every text's token ids, and the digest of the bytes they decode to.
+
+    A null or empty text has no ids; repeated rows have the same ones.
+    """
     docs, model = _table(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer(spark)
     coded = bpe.decode(bpe.encode(docs, model).select("doc_id", "ids"), model)
     return coded.select(
@@ -76,6 +106,10 @@ def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every text, those inside benchmark windows, the items they are of, and whether they are too many.
+
+    A null or empty text has no words and is clean. Items without words or id have no window; items with one id are one.
+    """
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     found = decontam.contamination(docs, _table(spark, sf_dir, "benchmark"))
     f = F.col("found")
@@ -86,6 +120,10 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shard and slot of every document by the law ``bytes``; equal texts are neighbours.
+
+    A null text has no bytes and no checksum; null or repeated ids and equal rows are placed like others.
+    """
     placed = shards.assign(_table(spark, sf_dir, "documents").select("doc_id", "text"))
     return placed.select(
         F.col("id").alias("doc_id"), "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
@@ -93,6 +131,10 @@ def op9_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_vector_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many vectors each is linked to directly, and the least id that links reach.
+
+    A vector that is null, zero or not finite, or has no label, links with nothing; rows of one id are vectors each.
+    """
     found = vectors.classes(_table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label"))
     return found.select(F.col("id").alias("vec_id"), "n_links", "component_id", F.col("id").eqNullSafe(F.col("component_id")).alias("kept"))
 
