@@ -66,10 +66,10 @@ UNFINISHED = re.compile(r"<[a-zA-Z/!?][^<>]*$|^\s*<$")
 
 
 class Element:
-    __slots__ = ("tag", "attrs", "children", "quoted")
+    __slots__ = ("tag", "attrs", "children")
 
-    def __init__(self, tag: str, attrs: dict[str, str], quoted: bool = False) -> None:
-        self.tag, self.attrs, self.quoted = tag, attrs, quoted
+    def __init__(self, tag: str, attrs: dict[str, str]) -> None:
+        self.tag, self.attrs = tag, attrs
         self.children: list[Element | str] = []
 
     def is_article(self) -> bool:
@@ -77,7 +77,7 @@ class Element:
 
     def excluded(self, in_article: bool) -> bool:
         """Whether tag, role or name say that this is not the article."""
-        if (self.tag in NEVER and not (self.quoted and self.tag == "footer")) or (self.tag == "header" and not in_article):
+        if (self.tag in NEVER and "source" not in self.attrs) or (self.tag == "header" and not in_article):
             return True
         if self.attrs.get("role") in ROLES or "hidden" in self.attrs or self.attrs.get("aria-hidden") == "true":
             return True
@@ -103,7 +103,9 @@ class Reader(HTMLParser):
         if tag in BLOCKS:
             self._close({"p"}, BLOCKS - {"p"})
         kept = {k: v or "" for k, v in attrs if k in ("class", "id", "role", "hidden", "aria-hidden", "href")}
-        element = Element(tag, kept, tag == "footer" and any(e.tag == "blockquote" for e in self.stack))  # it names the source
+        if tag == "footer" and any(e.tag == "blockquote" for e in self.stack):
+            kept["source"] = ""  # of the quote, and no footer of the page
+        element = Element(tag, kept)
         self.stack[-1].children.append(element)
         if tag not in VOID:
             self.stack.append(element)
