@@ -18,7 +18,7 @@ from likertlake.operators import cleaning, star, state
 from likertlake.operators import statistics as S
 from likertlake.operators.ids import IdMap
 from likertlake.plans.lake import range_parts
-from likertlake.session import Workspace
+from likertlake.session import Workspace, tuned
 from likertlake.sources import files
 from likertlake.sources.loads import LOAD, LoadFolder
 from likertlake.streaming.landing import Landing
@@ -52,6 +52,10 @@ class GrowingLake:
 
     def refresh(self) -> int | None:
         """Take what has arrived since the last refresh; the number of its load, or None if there was nothing."""
+        with tuned(self.spark):
+            return self._refresh()
+
+    def _refresh(self) -> int | None:
         self.landing.run()
         load = max(self.loads(), default=0) + 1
         if load not in self.stored[PARTS].loads():

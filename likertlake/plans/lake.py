@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from likertlake.functions.columns import PackedVector
 from likertlake.instrument import SHORT_FORM_27, Instrument
 from likertlake.operators import cleaning, ids, quality, star
-from likertlake.session import Workspace, application_id
+from likertlake.session import Workspace, application_id, tuned
 from likertlake.sources import files, survey
 from likertlake.sources.tables import Layers
 from likertlake.streaming.landing import Landing
@@ -69,6 +69,8 @@ FUNNEL = "likertlake.funil"
 # Rows per range of the dense id: small ranges to use every core on small data, else
 # ranges that a task sorts in memory. Their number has no limit.
 SMALL_PART, LARGE_PART = 20_000, 8_000_000
+# Respondents in a bucket: a task sorts their answers, 27 rows each. Spark takes no more buckets than the second number.
+BUCKET_ROWS, MOST_BUCKETS = 150_000, 100_000
 
 
 def range_parts(rows: int, wanted: int) -> int:
@@ -76,6 +78,10 @@ def range_parts(rows: int, wanted: int) -> int:
     return max(math.ceil(rows / LARGE_PART), min(wanted, small))
 
 
+def bucket_count(rows: int, least: int) -> int:
+    return max(least, min(MOST_BUCKETS, math.ceil(rows / BUCKET_ROWS)))
+
+
 class Lake:
     def __init__(
         self,
@@ -99,7 +105,7 @@ class Lake:
         taken as they are, also where only their files do, and only missing ones are built: a build
         that was killed goes on after its last whole table. With ``known``, respondents keep the ids of
         earlier loads, and those who are new are numbered after them. The session's settings are
-        left alone; ``session.tune`` has those that help.
+        left alone but for the time of a write, which has those of ``session.tuned``.
         """
         self.spark, self.raw, self.spec = spark, raw, spec
         self.drop_out_of_domain, self.attach, self.known = drop_out_of_domain, attach, known
@@ -127,21 +133,32 @@ class Lake:
             if self.attach and (self.layers.exists(layer, target) or self.layers.recover(layer, target)):
                 self._built.add(name)
                 return self.layers.read(layer, target)
-            df = build()
-            notes = {c: COLUMN_NOTES[c] for c in df.columns if layer == "gold" and c in COLUMN_NOTES}
-            saved = self.layers.save(
-                df, layer, target, COMMENTS[name], notes, star.ID if bucketed else None, partition_by, checks
-            )
+            with tuned(self.spark):
+                df = build()
+                notes = {c: COLUMN_NOTES[c] for c in df.columns if layer == "gold" and c in COLUMN_NOTES}
+                saved = self.layers.save(
+                    df, layer, target, COMMENTS[name], notes, star.ID if bucketed else None, partition_by, checks,
+                    self._buckets() if bucketed else None,
+                )
             self._built.add(name)
             return saved
 
-    def _parts(self) -> int:
-        """Ranges for the id; the raw rows are counted once, from file footers."""
-        wanted = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+    def _raw_rows(self) -> int:
+        """The raw rows, counted once, from file footers."""
         bronze = self.bronze()
         if self._rows is None:
             self._rows = bronze.count()
-        return range_parts(self._rows, wanted)
+        return self._rows
+
+    def _parts(self) -> int:
+        """Ranges for the id."""
+        return range_parts(self._raw_rows(), int(self.spark.conf.get("spark.sql.shuffle.partitions")))
+
+    def _buckets(self) -> int:
+        """Files of a table of respondents: those of silver, so that all of them join without a shuffle."""
+        if SILVER in self._built:
+            return self.layers.buckets_of("silver", self.names.get(SILVER, SILVER))
+        return bucket_count(self._raw_rows(), self.layers.buckets)
 
     # -- layers -------------------------------------------------------------
 
@@ -176,7 +193,7 @@ class Lake:
                 self.known.add(slim, max(self.known.stored.loads(), default=0) + 1, staging, self._parts())
                 numbered = self.known.assign(slim)
             placed = numbered.select(star.ID, *answers.names, *context, *self.keep)
-            return placed.repartition(self.layers.buckets, star.ID).select(
+            return placed.repartition(self._buckets(), star.ID).select(
                 star.ID, *answers.unpack(), *context, *self.keep
             )
 

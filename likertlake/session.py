@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import os
 import tempfile
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -18,7 +21,12 @@ RUNTIME_CONF = {
     "spark.sql.codegen.hugeMethodLimit": "4000",
 }
 
+# Tables of respondents are written from other such tables. Read by bucket, a task has the rows
+# of one, however large the table; else Spark packs files up to a size, whatever a row becomes.
+WRITE_CONF = RUNTIME_CONF | {"spark.sql.sources.bucketing.autoBucketedScan.enabled": "false"}
+
 _local_roots: dict[str, str] = {}
+_tuning = threading.RLock()
 
 
 def tune(spark: SparkSession) -> SparkSession:
@@ -28,6 +36,23 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
+@contextmanager
+def tuned(spark: SparkSession) -> Iterator[None]:
+    """``WRITE_CONF`` for the writes made inside, in a session that nobody tuned.
+
+    What the session sets itself holds, and afterwards its settings are as before.
+    """
+    with _tuning:
+        unset = {k: v for k, v in WRITE_CONF.items() if spark.conf.get(k, None) is None}
+        for key, value in unset.items():
+            spark.conf.set(key, value)
+        try:
+            yield
+        finally:
+            for key in unset:
+                spark.conf.unset(key)
+
+
 def local_session(cores: str = "8", app: str = "likertlake", memory: str = "8g") -> SparkSession:
     """Session for tests and the benchmark; a cluster brings its own."""
     builder = (

@@ -23,10 +23,10 @@ class Layers:
 
     ``location`` puts the managed tables of every layer below one shared folder;
     without it they go to the warehouse of the session. ``fmt`` is any table
-    format the session knows. ``buckets`` is the number of files that tables of
-    respondents are dealt to by id, so that they join without a shuffle; choose it for
-    the data to come, some 10 million respondents in each. Delta tables have no buckets:
-    they are clustered by the id instead, and their joins do shuffle.
+    format the session knows. ``buckets`` is the least number of files that tables of
+    respondents are dealt to by id, so that they join without a shuffle; a lake takes more
+    for more respondents. Delta tables have no buckets: they are clustered by the id
+    instead, and their joins do shuffle.
 
     A table is replaced by a new version of its files beside the old one (``save``);
     ``keep`` versions stay. Delta has versions of its own and is left to them.
@@ -68,6 +68,7 @@ class Layers:
         bucket_by: str | None = None,
         partition_by: str | None = None,
         checks: Mapping[str, Column] | None = None,
+        buckets: int | None = None,
     ) -> DataFrame:
         """Replace the table and its schema, then document it.
 
@@ -88,7 +89,7 @@ class Layers:
         if self.fmt == "delta":
             self._save_delta(noted, self.name(layer, table), bucket_by, partition_by)
         else:
-            self._publish(noted, layer, table, bucket_by, partition_by, checks or {})
+            self._publish(noted, layer, table, bucket_by, partition_by, checks or {}, buckets or self.buckets)
         if comment:
             self.comment(layer, table, comment)
         return self.read(layer, table)
@@ -107,8 +108,13 @@ class Layers:
         root = self.spark.catalog.getDatabase(self.schema(layer)).locationUri
         return VersionFolder(self.spark, f"{root.rstrip('/')}/{table}")
 
+    def buckets_of(self, layer: str, table: str) -> int:
+        """Files of the newest version of a bucketed table; the least number for a table that is none or of another make."""
+        valid = [] if self.fmt == "delta" else self.versions(layer, table).all()
+        return (valid[-1].shape.buckets if valid else 0) or self.buckets
+
     def _publish(
-        self, df: DataFrame, layer: str, table: str, bucket_by: str | None, partition_by: str | None, checks: Mapping[str, Column]
+        self, df: DataFrame, layer: str, table: str, bucket_by: str | None, partition_by: str | None, checks: Mapping[str, Column], buckets: int
     ) -> None:
         folder, live = self.versions(layer, table), self.name(layer, table)
         before = folder.all()
@@ -120,9 +126,9 @@ class Layers:
         if partition_by:
             writer = writer.partitionBy(partition_by)
         if bucket_by:
-            writer = writer.bucketBy(self.buckets, bucket_by).sortBy(bucket_by)
+            writer = writer.bucketBy(buckets, bucket_by).sortBy(bucket_by)
         writer.saveAsTable(staged)
-        shape = Shape(self.fmt, self.spark.table(staged).schema.json(), partition_by, bucket_by, self.buckets if bucket_by else 0)
+        shape = Shape(self.fmt, self.spark.table(staged).schema.json(), partition_by, bucket_by, buckets if bucket_by else 0)
         version = Version(number, path, written.get["rows"], shape)
         try:
             folder.validate(version, checks)
@@ -196,7 +202,8 @@ class Layers:
         self.spark.sql(f"COMMENT ON TABLE {self.name(layer, table)} IS {_quoted(text)}")
 
     def listing(self, layer: str) -> DataFrame:
-        return self.spark.sql(f"SHOW TABLES IN {self.schema(layer)}")
+        """The tables of a layer; the catalogue lists views of the session with those of every schema."""
+        return self.spark.sql(f"SHOW TABLES IN {self.schema(layer)}").where("not isTemporary")
 
     def describe(self, layer: str, table: str) -> DataFrame:
         return self.spark.sql(f"DESCRIBE EXTENDED {self.name(layer, table)}")
@@ -221,7 +228,7 @@ class Layers:
         Rows were counted when they were written, so no table is read; one that was not written by ``save`` is counted.
         """
         out = []
-        for table in sorted(r.tableName for r in self.listing(layer).where("not isTemporary").collect()):
+        for table in sorted(r.tableName for r in self.listing(layer).collect()):
             df, rows = self.read(layer, table), self.rows_written(layer, table)
             note = self.spark.catalog.getTable(self.name(layer, table)).description or ""
             out.append((layer, table, df.count() if rows is None else rows, len(df.columns), note))
