@@ -234,10 +234,13 @@ def repeats(
                 yield probes(chunk, values[:, 0], (n > 1,), parts, 8, values[:, 1])
                 yield pa.record_batch({"part": pa.array([-1], pa.int32()), "chunk": pa.array([chunk], pa.int64()), "hashes": pa.array([np.packbits(near).tobytes()], pa.binary()), "flags": pa.array([b""], pa.binary())})
 
-    # Only chunks with a hit have candidates.
-    found = space.cut(chunks.select("chunk", "blob").join(mine(hits), "chunk").mapInArrow(candidates, PROBES), "candidates")
-    again = found.where("part >= 0").groupBy("part").applyInArrow(lambda t: compare(t, 8, False), REPLIES)
-    near = found.where("part < 0").select("chunk", F.col("hashes").alias("near"))
+    # Only chunks with a hit have candidates. Their digests have gone once they are compared, for
+    # the chunks then travel again: what is kept are the bits of the answers and of the places.
+    held = space.inner("held")
+    found = held.cut(chunks.select("chunk", "blob").join(mine(hits), "chunk").mapInArrow(candidates, PROBES), "candidates")
+    again = space.cut(found.where("part >= 0").groupBy("part").applyInArrow(lambda t: compare(t, 8, False), REPLIES), "again")
+    near = space.cut(found.where("part < 0").select("chunk", F.col("hashes").alias("near")), "near")
+    held.drop()
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tables = W.powers()

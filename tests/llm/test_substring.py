@@ -63,3 +63,12 @@ def test_odd_rows(odd, none):
 def test_a_block_must_fit(odd):
     with pytest.raises(ValueError):
         substring.repeats(odd, window=10, block=6)
+
+
+def test_digests_do_not_stay_on_disk(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(substring.Workspace, "__init__", lambda self, spark, name="": setattr(self, "spark", spark) or setattr(self, "root", f"{tmp_path}/{name}"))
+    rows = spark.createDataFrame([(i, " ".join(str(k + 3 * (i % 4)) for k in range(90))) for i in range(12)], "doc_id int, text string")
+    found = substring.repeats(rows, window=8, block=2, chunk_bytes=500)
+    kept = {p.name.rsplit("-", 1)[0] for p in (tmp_path / "substring").iterdir()}
+    assert kept == {"chunks", "again", "near"}
+    assert found.where("repeats.n_removed = 90").count() == 12
