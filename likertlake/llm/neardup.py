@@ -4,8 +4,10 @@ A document is the weighted set of its ``size``-word shingles. Improved consisten
 weighted sampling draws from it samples that two documents share with a probability
 equal to their weighted Jaccard similarity; bands of samples make the buckets. In a
 bucket all texts are compared with a few heads, and what is still in different classes
-then is compared with more in further rounds. The samples rule out most pairs, and the
-weighted Jaccard similarity of the whole texts decides. Equal texts are one node.
+then is compared with more in further rounds. There a text counts only with the shingles that
+others left have too, so that pairs which cannot be similar enough are told from a few sums.
+The samples rule out most pairs of the rest, and the weighted Jaccard similarity of the whole
+texts decides. Equal texts are one node.
 """
 
 from __future__ import annotations
@@ -36,8 +38,13 @@ ADDED, ADDED_TIMES = 64, 2
 #: How much more a shingle of one text weighs than one of all texts. What copies share is
 #: less rare than what tells them apart, so with more the threshold would ask for more.
 STRENGTH = 0.25
-#: Heads of a bucket in the first round, and how many times more in each further round.
-LEADERS, MORE_LEADERS = 4, 8
+#: Heads of a bucket in the first round, how many times more in the second, and in each one after it. By then
+#: texts that link with many are in their class, and the shared weights rule out most pairs of the others.
+LEADERS, MORE_LEADERS, MORE_THEN = 4, 8, 64
+#: Classes of shingles, by hash, whose shared weights bound what two texts have in common.
+PARTS = 64
+#: Sums of the same weights in another order differ by less.
+ROUNDING = 1 + 1e-9
 
 
 def shingles(w: W.Words, size: int, tables: tuple[W.Powers, W.Powers]) -> tuple[np.ndarray, np.ndarray]:
@@ -134,6 +141,28 @@ def weighted_jaccard(a: pa.Array, b: pa.Array, weights: Weights, size: int) -> n
     return out
 
 
+def shared_weights(texts: pa.Array, alone: pa.Array, weights: Weights, size: int) -> pa.Array:
+    """Weight of each text, that of its shingles not listed in ``alone``, and the latter by class.
+
+    ``alone`` holds shingles of one text each, so all lists of a batch are one. Weights of
+    classes are rounded up: the sum of the lesser ones of two texts is no less than what they share.
+    """
+    tables, whole, parts = W.powers(), np.zeros(len(texts)), np.zeros((len(texts), PARTS))
+    none = np.sort(alone.flatten().to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64))
+    data, offsets = W.column(texts)
+    for i, part, at in W.slices(data, offsets):
+        doc, h, n = counted(*shingles(W.split(part, at, W.NOT_BLANK), size, tables))
+        weight, row = weights(h, n).astype(np.float64), doc + i
+        whole += np.bincount(row, weight, len(texts))
+        met = ~W.listed(h, none)
+        cell = row[met] * PARTS + ((h[met] >> np.uint64(20)) % np.uint64(PARTS)).astype(np.int64)
+        parts += np.bincount(cell, weight[met], parts.size).reshape(parts.shape)
+    up = parts.astype(np.float32)
+    up = np.where(up < parts, np.nextafter(up, np.float32(np.inf)), up)
+    lists = pa.ListArray.from_arrays(pa.array(np.arange(len(texts) + 1) * PARTS, pa.int32()), pa.array(up.ravel()))
+    return pa.StructArray.from_arrays([pa.array(whole), pa.array(parts.sum(1)), lists], ["weight", "shared", "parts"])
+
+
 def frequencies(docs: DataFrame, text: str, size: int, cells: int) -> tuple[np.ndarray, int]:
     """In how many texts some shingle of each cell occurs, and the number of texts."""
 
@@ -222,14 +251,50 @@ def classes(
         for batch in batches:
             yield pa.array(weighted_jaccard(batch.field(0), batch.field(1), weight, size))
 
+    def with_ends(pairs: DataFrame, texts: DataFrame, *columns: str) -> DataFrame:
+        for end in ("a", "b"):
+            pairs = pairs.join(texts.select(F.col("node").alias(end), *[F.col(c).alias(f"{c}_{end}") for c in columns]), end)
+        return pairs
+
+    def agreeing(pairs: DataFrame) -> DataFrame:
+        return pairs.where(column_udf(agree, "double")(F.concat("s_a", "s_b")) >= sure)
+
+    def hashes(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        tables = W.powers()
+        for batch in batches:
+            data, offsets = W.column(batch)
+            found, sizes = [], []
+            for _, part, at in W.slices(data, offsets):
+                doc, h, _ = counted(*shingles(W.split(part, at, W.NOT_BLANK), size, tables))
+                found.append(h.view(np.int64))
+                sizes.append(np.bincount(doc, minlength=len(at) - 1))
+            ends = np.r_[0, np.cumsum(np.concatenate(sizes))] if sizes else np.zeros(1)
+            flat = np.concatenate(found) if found else np.zeros(0, np.int64)
+            yield pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))
+
+    def shared(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        weight = weights()
+        for batch in batches:
+            yield shared_weights(batch.field(0), batch.field(1), weight, size)
+
+    def marked(entries: DataFrame, texts: DataFrame) -> DataFrame:
+        """Entries that may be similar to another of ``texts``, with what their text shares with the others."""
+        each = texts.select("node", F.explode(column_udf(hashes, "array<bigint>")("text")).alias("h"))
+        alone = each.groupBy("h").agg(F.count("*").alias("n"), F.min("node").alias("node")).where("n = 1")
+        alone = alone.groupBy("node").agg(F.collect_list("h").alias("alone"))
+        kind = "struct<weight:double,shared:double,parts:array<float>>"
+        marks = texts.join(alone, "node", "left").select("node", column_udf(shared, kind)(F.struct("text", "alone")).alias("m"))
+        marks = marks.select("node", "m.weight", "m.shared", "m.parts")
+        return entries.join(marks, "node").where(F.col("shared") * ROUNDING >= similarity * F.col("weight"))
+
     texts = base.select("id", node, column_udf(sample, "binary")("text").alias("s"))
     nodes = space.cut(texts.groupBy("node").agg(F.count("*").alias("n"), F.min("id").alias("id"), F.first("s").alias("s")), "nodes")
     live = nodes.where("s is not null").select("node", F.explode(column_udf(keys, "array<bigint>")("s")).alias("bucket"))
     crowd = live.groupBy("bucket").count().where("count > 1").select("bucket")
     live = space.cut(live.join(crowd, "bucket"), "live")
     active = live.select("node").distinct()
-    kept = space.cut(base.select(node, "text").join(active, "node", "left_semi").dropDuplicates(["node"]), "texts")
-    signed = nodes.select("node", "s").join(active, "node", "left_semi")
+    kept = base.select(node, "text").join(active, "node", "left_semi").dropDuplicates(["node"])
+    kept = space.cut(kept.join(nodes.select("node", "s"), "node"), "texts")
 
     # The samples of a pair at the threshold agree less often than this once in 10**5 times or less.
     sure = similarity - 4.5 * math.sqrt(similarity * (1 - similarity) / (bands * rows))
@@ -238,22 +303,38 @@ def classes(
         entries = space.cut(_unfinished(live, root), "entries")
         if entries.isEmpty():
             break
-        # Digests are in random order, so heads come from all classes of a bucket.
-        order = Window.partitionBy("bucket").orderBy("node")
+        # Digests are in random order, so heads come from all classes of a bucket. Once it is known
+        # what texts share, those with the least of their own come first, as they link with most.
+        first, may, known = [F.col("node")], F.col("root") != F.col("head_root"), []
+        if root is not None:
+            kept = space.cut(kept.join(entries.select("node").distinct(), "node", "left_semi"), "texts")
+            entries = space.cut(marked(entries, kept), "marked")
+            first, known = [F.col("weight") - F.col("shared"), *first], ["weight", "shared", "parts"]
+            # Similarity s asks for s / (1 + s) of both weights in common.
+            most = similarity / (1 + similarity) * (F.col("weight") + F.col("head_weight"))
+            in_parts = F.aggregate(F.zip_with("parts", "head_parts", lambda x, y: F.least(x, y)), F.lit(0.0), lambda x, y: x + y)
+            may = may & (F.least("shared", "head_shared") * ROUNDING >= most) & (in_parts * ROUNDING >= most)
+        order = Window.partitionBy("bucket").orderBy(*first)
         heads = entries.withColumn("r", F.row_number().over(order)).where(F.col("r") <= leaders)
-        heads = heads.select(F.col("bucket").alias("own"), F.col("node").alias("head"), F.col("root").alias("head_root"))
-        each = entries.join(heads, (F.col("bucket") == F.col("own")) & (F.col("root") != F.col("head_root")))
+        heads = heads.select(F.col("bucket").alias("own"), F.col("node").alias("head"), *[F.col(c).alias(f"head_{c}") for c in ["root", *known]])
+        each = entries.join(heads, (F.col("bucket") == F.col("own")) & may)
         pairs = each.select(F.least("node", "head").alias("a"), F.greatest("node", "head").alias("b")).distinct()
         if seen is not None:
             pairs = pairs.join(seen.select("a", "b"), ["a", "b"], "left_anti")
-        pairs = pairs.join(signed.select(F.col("node").alias("a"), F.col("s").alias("sa")), "a").join(signed.select(F.col("node").alias("b"), F.col("s").alias("sb")), "b")
-        pairs = pairs.where(column_udf(agree, "double")(F.concat("sa", "sb")) >= sure).select("a", "b")
-        pairs = pairs.join(kept.select(F.col("node").alias("a"), F.col("text").alias("ta")), "a").join(kept.select(F.col("node").alias("b"), F.col("text").alias("tb")), "b")
-        pairs = pairs.select("a", "b", column_udf(similar, "double")(F.struct("ta", "tb")).alias("similarity"))
-        seen = space.cut(pairs if seen is None else pairs.unionByName(seen), "pairs")
-        root = components(seen.where(F.col("similarity") >= similarity).select("a", "b"), space)
+        if root is None:
+            pairs = agreeing(with_ends(pairs, kept, "s")).select("a", "b")
+            pairs = with_ends(pairs, kept, "text")
+        else:  # few are left, and are joined once
+            pairs = agreeing(with_ends(pairs, kept, "s", "text"))
+        pairs = space.cut(pairs.select("a", "b", column_udf(similar, "double")(F.struct("text_a", "text_b")).alias("similarity")), "pairs")
+        seen = pairs if seen is None else seen.unionByName(pairs)
+        links = pairs.where(F.col("similarity") >= similarity).select("a", "b")
+        if root is None:
+            root = components(links, space)
+        elif not links.isEmpty():  # the stars of the rounds before stand for their links
+            root = components(links.union(root.select("node", "root")), space)
         live = entries.join(heads.select(F.col("own").alias("bucket"), F.col("head").alias("node")), ["bucket", "node"], "left_anti").select("bucket", "node")
-        leaders *= MORE_LEADERS
+        leaders *= MORE_THEN if known else MORE_LEADERS
     if seen is None:
         seen = spark.createDataFrame([], "a binary, b binary, similarity double")
         root = spark.createDataFrame([], "node binary, root binary")
@@ -265,7 +346,8 @@ def _unfinished(live: DataFrame, root: DataFrame | None) -> DataFrame:
 
     ``root`` is an entry's class so far. Heads are compared with all entries of other
     classes and leave; a bucket is done when the rest is of one class. So no pair of
-    different classes is left out, and pairs inside a class need no comparison.
+    different classes is left out but those whose shared weights rule it out, and pairs
+    inside a class need no comparison.
     """
     own = live.withColumn("root", F.col("node")) if root is None else live.join(root, "node", "left").select("bucket", "node", F.coalesce("root", "node").alias("root"))
     open_ = own.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")

@@ -1,4 +1,5 @@
 import random
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -50,6 +51,51 @@ def test_planted_copies(spark):
     assert sorted(r.doc_id for r in kept.collect()) == sorted(first.values())
 
 
+def test_passage_that_many_texts_share(spark, monkeypatch):
+    """Texts of one passage and words of their own meet in all buckets; few pairs are compared, and none that is similar is missed."""
+    rng = random.Random(9)
+    passage = [f"p{i}" for i in range(400)]
+    own = [rng.choice([5, 30, 90, 110, 130, 150]) for _ in range(150)]
+    texts = [" ".join(passage + [f"own{i}x{j}" for j in range(n)]) for i, n in enumerate(own)]
+    texts += [edited(rng, passage[:150], rng.randrange(9)) for _ in range(100)]
+    compared, cut = [], Workspace.cut
+
+    def counting(space, df, name):
+        out = cut(space, df, name)
+        if name == "pairs":
+            compared.append(out)
+        return out
+
+    monkeypatch.setattr(Workspace, "cut", counting)
+    found, links = neardup.classes(spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string"))
+    got = {r.id: r.class_id for r in found.collect()}
+    linked = {(r.a, r.b) for r in links.collect()}
+    first = {}
+    for i, t in enumerate(texts):
+        first.setdefault(t, i)
+    sets = {i: shingle_set(texts[i]) for i in first.values()}
+    clear = [(a, b) for a in sets for b in sets if a < b and jaccard(sets[a], sets[b]) >= 0.83]
+    assert clear and linked and all(got[a] == got[b] for a, b in clear)
+    assert len(set(got.values())) > 50
+    assert sum(x.count() for x in compared) < 12 * len(sets)
+
+
+def test_shared_weights_never_rule_out_a_similar_pair(texts):
+    weights = neardup.Weights(np.zeros(8, np.int64), 0)
+    rng = random.Random(4)
+    rows = [edited(rng, t.split(), k) for t in list(texts.values())[:15] if t.split() for k in (1, 3, 9)]
+    every = Counter(h for t in rows for h in set(neardup.shingles(W.split(*W.column(pa.array([t])), W.NOT_BLANK), 5, W.powers())[1].tolist()))
+    lists = pa.array([[h - (h >> 63 << 64) for h, n in every.items() if n == 1]] + [None] * (len(rows) - 1), pa.list_(pa.int64()))
+    marks = neardup.shared_weights(pa.array(rows), lists, weights, 5).to_pylist()
+    pairs = [(a, b) for a in range(len(rows)) for b in range(a)]
+    got = neardup.weighted_jaccard(pa.array([rows[a] for a, _ in pairs]), pa.array([rows[b] for _, b in pairs]), weights, 5)
+    for (a, b), x in zip(pairs, got):
+        common = x / (1 + x) * (marks[a]["weight"] + marks[b]["weight"])
+        assert min(marks[a]["shared"], marks[b]["shared"]) * neardup.ROUNDING >= common
+        assert sum(map(min, marks[a]["parts"], marks[b]["parts"])) * neardup.ROUNDING >= common
+    assert any(m["shared"] < 0.9 * m["weight"] for m in marks)
+
+
 def test_pairs_of_the_data(spark, sf_dir, texts):
     """Clear near copies share a class, and classes are joined by real similarity only."""
     got = {r.doc_id: r.class_id for r in queries.op2_near_duplicates(spark, sf_dir).collect()}
@@ -70,8 +116,6 @@ def test_weighted_jaccard(texts):
     pairs = [(a, b) for a, b in zip(list(texts.values())[:40], list(texts.values())[1:41])]
     pairs += [(t, t) for t in list(texts.values())[:5]] + [("", "a"), ("a b", "a b"), ("", "")]
     got = neardup.weighted_jaccard(pa.array([a for a, _ in pairs]), pa.array([b for _, b in pairs]), weights, 5)
-    from collections import Counter
-
     for (a, b), x in zip(pairs, got):
         ca, cb = (Counter(tuple(t.encode().split()[i : i + 5]) for i in range(max(1, len(t.split()) - 4))) if t.split() else Counter() for t in (a, b))
         total = sum((ca | cb).values())
