@@ -82,14 +82,19 @@ def domain_profile(df: DataFrame, cols: Sequence[str], missing: int = 0) -> Data
 # -- uniqueness -------------------------------------------------------------
 
 
+def packed(spec: Instrument) -> C.PackedVector:
+    """The answers of a row as words; two rows have the same ones if and only if they answered the same."""
+    return C.PackedVector(spec.item_ids, min(spec.lo, spec.missing), spec.hi)
+
+
 def _packed_groups(df: DataFrame, spec: Instrument) -> tuple[C.PackedVector, DataFrame]:
-    packed = C.PackedVector(spec.item_ids, min(spec.lo, spec.missing), spec.hi)
-    groups = packed.pack(df).groupBy(*packed.names).agg(F.count(F.lit(1)).alias("count"))
-    return packed, groups
+    words = packed(spec)
+    rows = df if set(words.names) <= set(df.columns) else words.pack(df)
+    return words, rows.groupBy(*words.names).agg(F.count(F.lit(1)).alias("count"))
 
 
 def duplicate_summary(df: DataFrame, spec: Instrument) -> DataFrame:
-    """Rows, distinct response vectors and rows that repeat one; exact."""
+    """Rows, distinct response vectors and rows that repeat one; exact. ``df`` has the items, or their ``packed`` words."""
     _, groups = _packed_groups(df, spec)
     counted = groups.agg(F.sum("count").alias("total"), F.count(F.lit(1)).alias("distintas"))
     return counted.select(
@@ -100,9 +105,9 @@ def duplicate_summary(df: DataFrame, spec: Instrument) -> DataFrame:
 
 
 def duplicate_groups(df: DataFrame, spec: Instrument, top: int = 10) -> DataFrame:
-    """The most repeated response vectors, ties settled by the answers."""
-    packed, groups = _packed_groups(df, spec)
-    repeated = groups.where(F.col("count") > 1).select(*packed.unpack(), "count")
+    """The most repeated response vectors, ties settled by the answers. ``df`` has the items, or their ``packed`` words."""
+    words, groups = _packed_groups(df, spec)
+    repeated = groups.where(F.col("count") > 1).select(*words.unpack(), "count")
     order = [F.desc("count"), *[F.col(c).asc_nulls_first() for c in spec.item_ids]]
     return repeated.orderBy(*order).limit(top)
 

@@ -116,6 +116,7 @@ class Lake:
         self._rows: int | None = None
         self._landed: str | None = None
         self._codebook: str | None = None
+        self._vectors: DataFrame | None = None
 
     def _table(
         self,
@@ -170,6 +171,19 @@ class Lake:
         keep = [*self.order_by, files.INGESTED]
         return self._table("bronze", TYPED, lambda: cleaning.typed(self.bronze(), self.spec, keep))
 
+    def vectors(self) -> DataFrame:
+        """The typed answers of each row as packed words, written once: checks of uniqueness group them.
+
+        Packing 27 columns and grouping fuse into a method that the JVM never compiles, unless the session
+        is tuned; written, the packing is a stage of its own with the settings of a write.
+        """
+        with self._lock:
+            typed = self.typed()
+            if self._vectors is None:
+                with tuned(self.spark):
+                    self._vectors = self.work.cut(quality.packed(self.spec).pack(typed), "vectors")
+            return self._vectors
+
     def silver(self) -> DataFrame:
         """Valid respondents with a dense id, bucketed on it.
 

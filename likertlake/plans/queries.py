@@ -107,12 +107,12 @@ def domain_profile(lake: Lake) -> DataFrame:
 
 @_on_lake
 def duplicate_summary(lake: Lake) -> DataFrame:
-    return quality.duplicate_summary(lake.typed(), SPEC)
+    return quality.duplicate_summary(lake.vectors(), SPEC)
 
 
 @_on_lake
 def duplicate_groups(lake: Lake) -> DataFrame:
-    return quality.duplicate_groups(lake.typed(), SPEC)
+    return quality.duplicate_groups(lake.vectors(), SPEC)
 
 
 @_on_lake

@@ -3,9 +3,10 @@
 from pyspark.sql import functions as F
 
 from likertlake.instrument import SHORT_FORM_27 as SPEC
-from likertlake.operators import star
+from likertlake.operators import quality, star
 from likertlake.plans import lake as L
 from likertlake.plans.lake import BUCKET_ROWS, LARGE_PART, Lake, bucket_count, derived_lake, open_lake, range_parts
+from likertlake.plans.queries import all_queries
 from likertlake.session import RUNTIME_CONF, Workspace, tuned
 from likertlake.sources.files import INGESTED, ORIGIN
 from likertlake.sources.tables import Layers
@@ -93,3 +94,21 @@ def test_views_of_the_session_are_no_tables_of_a_layer(spark, tmp_path):
     layers.view(spark.range(1), "visao_da_sessao")
     layers.save(spark.range(2), "gold", "t")
     assert [r.tableName for r in layers.listing("gold").collect()] == ["t"]
+
+
+def orders(spark, path, n):
+    """``n`` rows, each answering like another one, in one row group of one file."""
+    spark.range(n).selectExpr(f"id % {n // 2} o_orderkey", f"id % {n // 2} o_custkey").coalesce(1).write.parquet(f"{path}/orders.parquet")
+    return derived_lake(spark, str(path))
+
+
+def test_uniqueness_groups_written_words(spark, tmp_path):
+    """What is grouped was packed by a write with its own settings; the grouping reads no item and packs nothing."""
+    plain = spark.newSession()
+    lake = orders(plain, tmp_path, 600)
+    found, summed = (f(lake.vectors(), SPEC) for f in (quality.duplicate_groups, quality.duplicate_summary))
+    assert found.collect() == quality.duplicate_groups(lake.typed(), SPEC).collect() and found.count() == 10
+    assert summed.collect() == quality.duplicate_summary(lake.typed(), SPEC).collect() and summed.first().repetidas >= 300
+    read = [r for r in found._jdf.queryExecution().executedPlan().toString().splitlines() if "ReadSchema" in r]
+    assert read and all("_w0" in r and "M1" not in r for r in read)
+    assert all("/vectors-" in f for name in ("duplicate_groups", "duplicate_summary") for f in all_queries()[name](plain, str(tmp_path)).inputFiles())
