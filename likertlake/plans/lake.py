@@ -326,8 +326,13 @@ def derived_lake(spark: SparkSession, sf_dir: str) -> Lake:
             layers = Layers(spark, prefix=f"lake_{tag}_", location=work.root)
 
             def raw() -> DataFrame:
-                scan = files.with_lineage(survey.read_orders(spark, sf_dir))
-                return survey.derive_survey(scan, keep=[files.INGESTED, files.ORIGIN])
+                # Two numbers become 29 texts, and later tables inherit the parts. Those of the scan are what the files
+                # allow: a row group is never split, so a compact file is one part.
+                orders = survey.read_orders(spark, sf_dir)
+                rows = orders.count()
+                even = files.with_lineage(orders).select(*survey.SOURCE, files.INGESTED, files.ORIGIN)
+                even = even.repartition(range_parts(rows, bucket_count(rows, layers.buckets)), *survey.SOURCE)
+                return survey.derive_survey(even, keep=[files.INGESTED, files.ORIGIN])
 
             _lakes[key] = Lake(spark, raw, [survey.KEY], layers, work, keep=[survey.KEY])
         return _lakes[key]

@@ -26,6 +26,8 @@ SHIFT = 12345
 BIAS_DRAW = 600
 
 KEY = "src_row"
+#: The columns of ``orders`` that the survey is derived from.
+SOURCE = ("o_orderkey", "o_custkey")
 
 
 def _draw(j: int) -> Column:

@@ -102,6 +102,17 @@ def orders(spark, path, n):
     return derived_lake(spark, str(path))
 
 
+def test_a_row_group_is_dealt_to_many_parts(spark, tmp_path, monkeypatch):
+    """No task of the first tables has more rows than planned, however few parts the files allow."""
+    monkeypatch.setattr(L, "SMALL_PART", 100)
+    monkeypatch.setattr(L, "BUCKET_ROWS", 100)
+    lake = orders(spark, tmp_path, 2000)
+    for rows in (lake.bronze(), lake.silver()):
+        sizes = [r["count"] for r in rows.groupBy("_metadata.file_name").count().collect()]
+        assert len(sizes) > 10 and max(sizes) < 250
+    assert lake.bronze().count() == 2000 and lake.bronze().select(ORIGIN).distinct().count() == 1
+
+
 def test_uniqueness_groups_written_words(spark, tmp_path):
     """What is grouped was packed by a write with its own settings; the grouping reads no item and packs nothing."""
     plain = spark.newSession()
