@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from likertlake.llm import words as W
-from likertlake.llm.share import column_udf, share
+from likertlake.llm.share import column_udf, portions, share
 from likertlake.session import Workspace
 
 #: Characters of a chunk and of its overlap with the next. Shorter texts are one piece.
@@ -278,7 +278,7 @@ def encode(docs: DataFrame, tokenizer: Tokenizer, text: str = "text", to: str =
 
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         t = get()
-        for batch in batches:
+        for batch in portions(batches):
             yield _id_lists(t.packed([x or "" for x in batch.to_pylist()]))
 
     ids = column_udf(run, "array<int>")
@@ -312,7 +312,7 @@ def _pieces(texts: DataFrame, get, chunk: int, overlap: int) -> DataFrame:
 
     def boundaries(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         t = get()
-        for batch in batches:
+        for batch in portions(batches):
             heads, tails = [], []
             for row in batch:
                 body, tail, last = row["body"].as_py(), row["tail"].as_py(), row["last"].as_py()
@@ -348,7 +348,7 @@ def decode(docs: DataFrame, tokenizer: Tokenizer, ids: str = "ids", to: str = "b
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         data, at = get()
         size = np.diff(at)
-        for batch in batches:
+        for batch in portions(batches):
             flat = batch.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
             bounds = np.r_[0, np.cumsum(batch.value_lengths().fill_null(0).to_numpy())]
             out = []

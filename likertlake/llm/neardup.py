@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from likertlake.llm import words as W
 from likertlake.llm.graph import components
-from likertlake.llm.share import column_udf, give_back, share
+from likertlake.llm.share import column_udf, give_back, share, tidy
 from likertlake.session import Workspace
 
 SIZE, SIMILARITY = 5, 0.8
@@ -175,19 +175,20 @@ def frequencies(docs: DataFrame, text: str, size: int, cells: int) -> tuple[np.n
                 doc, h = shingles(W.split(part, at, W.NOT_BLANK), size, tables)
                 pair = np.unique(doc.astype(np.int64) * cells + (h >> np.uint64(40)).astype(np.int64) % cells)
                 np.add.at(total, pair % cells, 1)
-        rows = [(k, total[k * CELL_BLOCK : (k + 1) * CELL_BLOCK]) for k in range(-(-cells // CELL_BLOCK))]
-        rows = [(-1, np.array([n]))] + [(k, x) for k, x in rows if x.any()]
-        part = TaskContext.get().partitionId()
-        yield pa.record_batch({"k": pa.array([k for k, _ in rows], pa.int32()), "part": pa.array([part] * len(rows), pa.int64()), "n": pa.array([x.astype("<i8").tobytes() for _, x in rows], pa.binary())})
-        give_back()
+        part = pa.array([TaskContext.get().partitionId()], pa.int64())
+        for k in range(-1, -(-cells // CELL_BLOCK)):  # a block at a time, so that the table is not there twice
+            x = total[k * CELL_BLOCK : (k + 1) * CELL_BLOCK] if k >= 0 else np.array([n])
+            if k < 0 or x.any():
+                yield pa.record_batch({"k": pa.array([k], pa.int32()), "part": part, "n": pa.array([x.astype("<i8").tobytes()], pa.binary())})
 
     def add(group: pa.Table) -> pa.Table:
         total = sum(np.frombuffer(x.as_py(), "<i8") for x in group.column("n"))
         part = pa.array([group.column("part")[0].as_py() // ADDED], pa.int64())
+        give_back(cycles=False)  # what the groups before held
         return pa.table({"k": group.column("k").slice(0, 1), "part": part, "n": pa.array([total.astype("<i8").tobytes()], pa.binary())})
 
     kind = "k int, part bigint, n binary"
-    sums = docs.select(f"`{text}`").mapInArrow(count, kind)
+    sums = docs.select(f"`{text}`").mapInArrow(tidy(count), kind)
     for _ in range(ADDED_TIMES):  # sums of a few tasks, of a few of those, then of what is left
         sums = sums.groupBy("k", F.floor(F.col("part") / ADDED).alias("next")).applyInArrow(add, kind)
     rows = sums.groupBy("k").applyInArrow(add, kind).select("k", "n").collect()  # bounded by the cells

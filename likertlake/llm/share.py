@@ -13,6 +13,9 @@ from pyspark import cloudpickle
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
+#: Bytes of a slice of a batch.
+PORTION = 1 << 20
+
 
 def share(spark: SparkSession, value: Any) -> Callable[[], Any]:
     """Broadcast ``value`` with the classes of this package by value; call to get it."""
@@ -20,9 +23,13 @@ def share(spark: SparkSession, value: Any) -> Callable[[], Any]:
     return lambda: pickle.loads(sent.value)
 
 
-def give_back() -> None:
-    """Return freed memory to the system: workers live on, and several share an executor."""
-    gc.collect()
+def give_back(cycles: bool = True) -> None:
+    """Return freed memory to the system: workers live on, and several share an executor.
+
+    Objects that hold each other are looked for first, which takes longer than the rest.
+    """
+    if cycles:
+        gc.collect()
     pa.default_memory_pool().release_unused()
     try:
         ctypes.CDLL(None).malloc_trim(0)
@@ -30,6 +37,27 @@ def give_back() -> None:
         pass
 
 
+def portions(batches: Iterator[pa.Array], most: int = PORTION) -> Iterator[pa.Array]:
+    """The same rows in slices of about ``most`` bytes, one row at least: what a worker makes of them is as small.
+
+    A batch has so many rows, however long they are; several workers share an executor.
+    """
+    for batch in batches:
+        rows = max(1, len(batch) * most // max(1, batch.nbytes))
+        for at in range(0, max(1, len(batch)), rows):
+            yield batch.slice(at, rows)
+
+
+def tidy(fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``fn`` for ``mapInArrow``; what it held is given back when it has ended."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from fn(batches)
+        give_back()
+
+    return run
+
+
 def column_udf(fn: Callable[[Iterator[pa.Array]], Iterator[pa.Array]], kind: str):
     """An Arrow UDF over batches of one column.
 

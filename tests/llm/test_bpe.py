@@ -9,6 +9,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from likertlake.llm import bpe, queries
+from likertlake.llm.share import PORTION
 
 RANKS = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(P.path("byte_bpe_multi_50k.tiktoken"), "rb"))}
 TIKTOKEN = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=RANKS, special_tokens={})
@@ -88,3 +89,17 @@ def test_decoding_of_unknown_ids(spark, model):
     df = spark.createDataFrame([([0, -1, 10**9],), (None,), ([],)], "ids array<int>")
     got = [r.bytes if r.bytes is None else bytes(r.bytes) for r in bpe.decode(df, model).collect()]
     assert got == [next(k for k, v in RANKS.items() if v == 0), None, b""]
+
+
+def test_a_worker_has_little_of_a_batch_in_hand(spark, model):
+    """All texts of a partition are one batch, of 15 MB here."""
+
+    class Sizes:  # the only id of each text is how many characters came with it
+        def packed(self, texts):
+            return [np.array([sum(map(len, texts))], np.int32).tobytes()] * len(texts)
+
+    docs = spark.range(3000).selectExpr("id", "repeat(concat('word', id, ' '), 5000 div length(concat('word', id, ' '))) text").coalesce(1)
+    sizes = {r.ids[0] for r in bpe.encode(docs, Sizes()).collect()}
+    assert max(sizes) < 2 * PORTION and len(sizes) > 1
+    same = bpe.decode(bpe.encode(docs, model), model).where("bytes = cast(text as binary)")
+    assert same.count() == 3000
